@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobgrain.functions.arrays import unfold
 from jobgrain.functions import dates, salary, text
 
 # What makes two postings the same, and the accepted years of experience.
@@ -118,7 +119,7 @@ def quality_report(
 
 def email_report(df: DataFrame, text_column: str, group: str) -> DataFrame:
     """Per group: words with an at sign, how many are well-formed addresses, and how many are not."""
-    words = df.select(group, F.explode(F.split(text_column, r"[ \t\r\n]+")).alias("word")).filter(
+    words = unfold(df, F.split(text_column, r"[ \t\r\n]+"), "word", group).filter(
         F.col("word").contains("@")
     )
     well_formed = F.col("word").rlike(EMAIL_PATTERN)

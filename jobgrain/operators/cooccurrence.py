@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobgrain.functions.arrays import unfold
+
 # Default thresholds.
 MIN_SUPPORT = 0.02
 TOP_ASSOCIATIONS = 100
@@ -16,7 +18,7 @@ DENSE_BLOCK = 4_096
 
 def split_skills(column: Column | str) -> Column:
     """Trimmed non-empty items of a ``;`` list, in order and with repeats; null gives an empty array."""
-    items = F.transform(F.split(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")), ";"), F.trim)
+    items = F.transform(F.split(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")), ";"), lambda s: F.trim(s))
     return F.filter(items, lambda s: s != "")
 
 
@@ -34,7 +36,7 @@ def collect_baskets(postings: DataFrame, mentions: DataFrame, id_column: str = "
 
 def skill_counts(basket_df: DataFrame) -> DataFrame:
     return (
-        basket_df.select(F.explode("skills").alias("skill")).groupBy("skill").agg(F.count("*").alias("skill_count"))
+        unfold(basket_df, "skills", "skill").groupBy("skill").agg(F.count("*").alias("skill_count"))
     )
 
 
@@ -81,7 +83,7 @@ def dense_matrix(basket_df: DataFrame, block: int = DENSE_BLOCK) -> DataFrame:
     both = pairs.select("skill1", "skill2", cell).unionByName(
         pairs.select(F.col("skill2").alias("skill1"), F.col("skill1").alias("skill2"), cell)
     )
-    names = basket_df.select(F.explode("skills").alias("skill")).distinct()
+    names = unfold(basket_df, "skills", "skill").distinct()
     zeros = all_pairs(names, "skill", names, "skill", block).toDF("skill1", "skill2")
     return (
         both.unionByName(zeros.withColumn("count", F.lit(0).cast("bigint")))

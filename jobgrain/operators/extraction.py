@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobgrain.functions.arrays import unfold
 from jobgrain.functions.text import TOKEN_PATTERN, tokens
 from jobgrain.sources.lexicon import phrase_keys
 
 # Up to this many phrases the lexicon travels inside the expression; beyond it the match is a join.
 INLINE_PHRASES = 2_000
+BROADCAST_PHRASES = 500_000
 TOP_FLAGS = 50
 
 
@@ -83,16 +85,25 @@ def extract_phrases(df: DataFrame, lexicon: DataFrame, text_column: str = "descr
 def match_phrases(df: DataFrame, lexicon: DataFrame, text_column: str, id_column: str) -> DataFrame:
     """Every phrase occurrence as (id, position, n_tokens, skill, phrase_key); position counts tokens from 0.
 
-    Tokens join the lexicon on its first tokens, then the rest of the phrase is compared. Catalyst broadcasts the
-    lexicon when its size allows and shuffles by token otherwise.
+    Each token becomes one narrow row with the few tokens after it, and joins the lexicon on its first tokens. The
+    lexicon is measured first: broadcast up to ``BROADCAST_PHRASES``, shuffled by token beyond.
     """
-    positions = df.select(id_column, tokens(F.col(text_column)).alias("_words")).select(
-        id_column, "_words", F.posexplode_outer("_words").alias("position", "token")
-    )
     keys = phrase_keys(lexicon)
-    same = F.array_join(F.slice("_words", F.col("position") + 1, F.col("n_tokens")), " ") == F.col("phrase_key")
+    size = keys.agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest")).first()
+    if size["n"] <= BROADCAST_PHRASES:
+        keys = F.broadcast(keys)
+    longest = size["longest"] or 1
+    words = F.col("_words")
+    following = [words, *[F.slice(words, k + 1, F.size(words)) for k in range(1, longest)]]
+    names = [f"_w{k}" for k in range(longest)]
+    rows = (
+        df.select(id_column, F.coalesce(tokens(F.col(text_column)), _literal([])).alias("_words"))
+        .select(id_column, F.posexplode_outer(F.arrays_zip(*following)).alias("position", "_z"))
+        .select(id_column, "position", *[F.col("_z").getField(str(k) if k else "_words").alias(n) for k, n in enumerate(names)])
+    )
+    same = F.array_join(F.slice(F.array(*names), F.lit(1), F.col("n_tokens")), " ") == F.col("phrase_key")
     return (
-        positions.join(keys, F.col("token") == F.col("first_token"))
+        rows.join(keys, F.col("_w0") == F.col("first_token"))
         .filter((F.col("n_tokens") == 1) | same)
         .select(id_column, "position", "n_tokens", "skill", "phrase_key")
     )
@@ -102,48 +113,93 @@ def phrase_offsets(df: DataFrame, lexicon: DataFrame, text_column: str, id_colum
                    inline_phrases: int = INLINE_PHRASES) -> DataFrame:
     """Phrase occurrences with character offsets: (id, start, end, skill, surface), end exclusive.
 
-    Offsets are running sums of token and gap lengths, kept per block of tokens so that a long text costs its own
-    length and not its square. Everything happens in the row of the text.
+    Everything happens in the row of the text and only the hits leave it, so there is no join and no shuffle. A
+    lexicon above ``inline_phrases`` takes one such pass per slice of it.
     """
+    keys = phrase_keys(lexicon).select("skill", "phrase_key")
+    total = keys.count()
+    slices = max(1, -(-total // inline_phrases))
+    slot = F.pmod(F.xxhash64("skill", "phrase_key"), F.lit(slices))
+    found = None
+    for number in range(slices):
+        phrases = [tuple(r) for r in keys.filter(slot == number).collect()]
+        part = _offsets_of(df, phrases, text_column, id_column)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str, id_column: str) -> DataFrame:
     block = 256
-    text = F.lower(F.col(text_column))
-    gaps = F.split(text, TOKEN_PATTERN)  # always one more than there are tokens
-    source = df.filter(F.col(text_column).isNotNull()).select(
-        id_column, F.col(text_column).alias("_text"), tokens(F.col(text_column)).alias("_words"), gaps.alias("_gaps")
-    )
-    pieces = F.zip_with("_words", "_gaps", lambda w, g: F.struct(F.length(g).alias("g"), F.length(w).alias("w")))
-    n_blocks = F.floor((F.size("_pieces") - 1) / block).cast("int")
-    block_sums = F.transform(
-        F.sequence(F.lit(0), n_blocks),
-        lambda b: F.aggregate(F.slice("_pieces", b * block + 1, F.lit(block)), F.lit(0).cast("bigint"),
-                              lambda acc, p: acc + p["g"] + p["w"]),
-    )
+    text = F.col(text_column)
+    # Lengths come from the text as written, the comparison from its lower case.
+    written = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    lexicon = F.array(
+        *[
+            F.struct(F.lit(s).alias("skill"), F.lit(k).alias("key"), F.lit(k.split(" ")[0]).alias("first"),
+                     F.lit(k.count(" ") + 1).alias("n"))
+            for s, k in sorted(phrases)
+        ]
+    ) if phrases else F.array().cast("array<struct<skill:string,key:string,first:string,n:int>>")
+    firsts = _literal(sorted({k.split(" ")[0] for _, k in phrases}))
+    words, pieces = F.col("_words"), F.col("_pieces")
+    length = lambda acc, p: acc + p["g"] + p["w"]
+    zero = lambda: F.lit(0).cast("bigint")
+
     source = (
-        source.withColumn("_pieces", F.slice(pieces, F.lit(1), F.greatest(F.size("_words"), F.lit(0))))
-        .filter(F.size("_words") > 0)
-        .withColumn("_sums", block_sums)
-    )
-    hits = source.select("*", F.posexplode_outer("_words").alias("position", "token")).join(
-        phrase_keys(lexicon), F.col("token") == F.col("first_token")
+        df.select(id_column, text_column, written.alias("_written"))
+        # One gap more than tokens: the last one follows the last token and is not needed.
+        .withColumn("_gaps", F.slice(F.split(text, TOKEN_PATTERN), F.lit(1), F.size("_written")))
+        .withColumn("_words", F.transform("_written", lambda w: F.lower(w)))
+        .withColumn("_starts", F.array_intersect("_words", firsts))
+        .withColumn("_lexicon", F.filter(lexicon, lambda c: F.array_contains("_starts", c["first"])))
+        .withColumn(
+            "_at",
+            F.filter(F.slice(F.sequence(F.lit(0), F.size("_words")), F.lit(2), F.size("_words")),
+                     lambda i: F.array_contains("_starts", F.element_at("_words", i))),
+        )
+        .withColumn(
+            "_pieces",
+            F.zip_with("_written", "_gaps", lambda w, g: F.struct(F.length(g).alias("g"), F.length(w).alias("w"))),
+        )
+        # Running lengths per block keep the offset of a hit cheap in long texts.
+        .withColumn(
+            "_sums",
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / block).cast("int")),
+                lambda b: F.aggregate(F.slice(pieces, b * block + 1, F.lit(block)), zero(), length),
+            ),
+        )
     )
-    same = F.array_join(F.slice("_words", F.col("position") + 1, F.col("n_tokens")), " ") == F.col("phrase_key")
-    hits = hits.filter((F.col("n_tokens") == 1) | same)
-    in_block = (F.col("position") / block).cast("int")
-    total = lambda pieces: F.aggregate(
-        pieces, F.lit(0).cast("bigint"), lambda acc, p: acc + p["g"] + p["w"]
+
+    def hit(i: Column, c: Column) -> Column:
+        in_block = F.floor((i - 1) / block).cast("int")
+        before = F.aggregate(F.slice("_sums", F.lit(1), in_block), zero(), lambda acc, s: acc + s)
+        before = before + F.aggregate(F.slice(pieces, in_block * block + 1, i - 1 - in_block * block), zero(), length)
+        gap = F.element_at(pieces, i)["g"]
+        size = F.aggregate(F.slice(pieces, i, c["n"]), zero(), length) - gap
+        return F.struct((before + gap).alias("start"), size.alias("size"), c["skill"].alias("skill"))
+
+    hits = F.flatten(
+        F.transform(
+            "_at",
+            lambda i: F.transform(
+                F.filter(
+                    "_lexicon",
+                    lambda c: (c["first"] == F.element_at(words, i))
+                    & ((c["n"] == 1) | (F.array_join(F.slice(words, i, c["n"]), " ") == c["key"])),
+                ),
+                lambda c: hit(i, c),
+            ),
+        )
     )
-    before = F.aggregate(F.slice("_sums", F.lit(1), in_block), F.lit(0).cast("bigint"), lambda acc, s: acc + s)
-    before = before + total(F.slice("_pieces", in_block * block + 1, F.col("position") - in_block * block))
-    start = before + F.element_at("_pieces", F.col("position") + 1)["g"]
-    phrase = F.slice("_pieces", F.col("position") + 1, F.col("n_tokens"))
-    length = total(phrase) - F.element_at("_pieces", F.col("position") + 1)["g"]
-    return hits.select(
-        id_column,
-        start.alias("start"),
-        (start + length).alias("end"),
-        "skill",
-        F.substring("_text", (start + 1).cast("int"), length.cast("int")).alias("surface"),
+    with_surface = F.transform(
+        hits,
+        lambda h: F.struct(
+            h["start"].alias("start"), (h["start"] + h["size"]).alias("end"), h["skill"].alias("skill"),
+            F.substring(text, (h["start"] + 1).cast("int"), h["size"].cast("int")).alias("surface"),
+        ),
     )
+    return source.select(id_column, F.inline_outer(with_surface)).filter(F.col("start").isNotNull())
 
 
 def union_skills(first: DataFrame, second: DataFrame, id_column: str = "job_id") -> DataFrame:
@@ -167,7 +223,7 @@ def add_skill_columns(df: DataFrame) -> DataFrame:
 def top_skills(df: DataFrame, top_n: int = TOP_FLAGS) -> DataFrame:
     """Skills by number of postings, ties by name."""
     return (
-        df.select(F.explode("skills").alias("skill"))
+        unfold(df, "skills", "skill")
         .groupBy("skill")
         .agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), "skill")
@@ -187,7 +243,7 @@ def add_skill_flags(df: DataFrame, top_n: int = TOP_FLAGS) -> DataFrame:
 
 def skill_statistics(df: DataFrame) -> DataFrame:
     """One row: postings, postings with skills, mean, median, maximum and distinct skills."""
-    distinct = df.select(F.explode("skills").alias("skill")).agg(F.count_distinct("skill"))
+    distinct = unfold(df, "skills", "skill").agg(F.count_distinct("skill"))
     # num_skills is at most the size of the lexicon, so the exact median keeps few distinct values.
     return df.agg(
         F.count("*").alias("total_jobs"),
@@ -203,7 +259,7 @@ def skills_by_category(df: DataFrame, lexicon: DataFrame) -> DataFrame:
 
     Postings are counted per skill first, so the join and the rollup see one row per skill.
     """
-    per_skill = df.select(F.explode("skills").alias("skill")).groupBy("skill").agg(F.count("*").alias("mentions"))
+    per_skill = unfold(df, "skills", "skill").groupBy("skill").agg(F.count("*").alias("mentions"))
     names = lexicon.select(F.trim(F.lower("skill_name")).alias("skill"), "category", "subcategory").distinct()
     return (
         per_skill.join(names, "skill")

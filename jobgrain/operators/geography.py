@@ -131,7 +131,7 @@ def location_skill_counts(df: DataFrame, location: str = "location_normalized",
     marked = F.array_append(skills, F.lit(None).cast("string"))
     known = df.filter(F.col(location).isNotNull() & (F.col(location) != UNKNOWN))
     cells = (
-        known.select(F.col(location).alias("location"), F.explode(marked).alias("skill"))
+        known.select(F.col(location).alias("location"), F.explode_outer(marked).alias("skill"))
         .groupBy("location", "skill")
         .agg(F.count("*").alias("count"))
     )

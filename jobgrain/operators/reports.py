@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobgrain.functions.arrays import unfold
 from jobgrain.functions.dates import period_label
 from jobgrain.functions.quantiles import exact_quantiles
 from jobgrain.functions.salary import LAKH
@@ -99,7 +100,7 @@ def experience_center(df: DataFrame, years: str = "experience_years") -> DataFra
 
 def headline(df: DataFrame, location: str = "location_normalized", day: str = "posted_date_parsed") -> DataFrame:
     """One row: postings, distinct skills, distinct locations, first and last day, mean salary."""
-    skills = df.select(F.explode("skills").alias("skill")).agg(F.count_distinct("skill")).scalar()
+    skills = unfold(df, "skills", "skill").agg(F.count_distinct("skill")).scalar()
     return df.agg(
         F.count("*").alias("total_jobs"),
         F.count_distinct(location).alias("unique_locations"),
@@ -142,7 +143,7 @@ def growth_between(df: DataFrame, day: str, start: str, end: str) -> DataFrame:
 
 def skills_by_group(df: DataFrame, group: str, skills: str = "skills", top_n: int | None = None) -> DataFrame:
     """(group, skill, count) for all skills, or for the ``top_n`` most frequent ones overall."""
-    cells = df.select(group, F.explode(skills).alias("skill")).groupBy(group, "skill").agg(F.count("*").alias("count"))
+    cells = unfold(df, skills, "skill", group).groupBy(group, "skill").agg(F.count("*").alias("count"))
     if top_n is None:
         return cells
     top = cells.groupBy("skill").agg(F.sum("count").alias("c")).orderBy(F.desc("c"), "skill").limit(top_n)

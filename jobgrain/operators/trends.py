@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from jobgrain.functions.arrays import unfold
 from jobgrain.functions.dates import period_label
 from jobgrain.operators.cooccurrence import all_pairs, split_skills
 
@@ -28,7 +29,7 @@ def mentions(df: DataFrame, frequency: str = "monthly", date_column: str = "post
     dated = df.filter(F.col(date_column).isNotNull())
     is_array = df.schema[skills_column].dataType.typeName() == "array"
     skills = F.col(skills_column) if is_array else split_skills(skills_column)
-    return dated.select(period_label(F.col(date_column), frequency).alias("period"), F.explode(skills).alias("skill"))
+    return unfold(dated, skills, "skill", period_label(F.col(date_column), frequency).alias("period"))
 
 
 def trend_counts(mention_df: DataFrame) -> DataFrame:
@@ -208,7 +209,7 @@ def trend_share(df: DataFrame, frequency: str = "monthly", date_column: str = "p
     marked = F.array_append(skills, F.lit(None).cast("string"))
     cells = (
         df.filter(F.col(date_column).isNotNull())
-        .select(period_label(F.col(date_column), frequency).alias("period"), F.explode(marked).alias("skill"))
+        .select(period_label(F.col(date_column), frequency).alias("period"), F.explode_outer(marked).alias("skill"))
         .groupBy("period", "skill")
         .agg(F.count("*").alias("count"))
     )
