@@ -103,10 +103,11 @@ def _input_audit(spark, sf):
 _SPANS = {
     "gaps": f"SELECT doc_id, regexp_split_to_array(lower(text), '{TOKEN_PATTERN}') AS g FROM documents",
     "gap_rows": "SELECT doc_id, unnest(g) AS g, generate_subscripts(g, 1) AS i FROM gaps",
-    "offsets": "SELECT doc_id, i, w, sum(length(g) + length(w)) OVER (PARTITION BY doc_id ORDER BY i) AS e "
+    "ends": "SELECT doc_id, i, w, sum(length(g) + length(w)) OVER (PARTITION BY doc_id ORDER BY i) AS e "
     "FROM (SELECT doc_id, i, w FROM words) a JOIN gap_rows USING (doc_id, i)",
-    "weak": "SELECT h.doc_id, CAST(a.e - length(a.w) AS BIGINT) AS s, CAST(b.e AS BIGINT) AS e, skill FROM hits h "
-    "JOIN offsets a ON a.doc_id = h.doc_id AND a.i = h.i JOIN offsets b ON b.doc_id = h.doc_id AND b.i = h.i + h.n - 1",
+    "offsets": "SELECT doc_id, i, e - length(w) AS s, [e, lead(e) OVER d, lead(e, 2) OVER d] AS es FROM ends "
+    "WINDOW d AS (PARTITION BY doc_id ORDER BY i)",
+    "weak": "SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(es[n] AS BIGINT) AS e, skill FROM hits JOIN offsets USING (doc_id, i)",
     "pred": f"SELECT doc_id, s + CASE WHEN doc_id % {SHIFTED} = 0 THEN 1 ELSE 0 END AS s, "
     f"e + CASE WHEN doc_id % {SHIFTED} = 0 THEN 1 ELSE 0 END AS e, skill FROM weak WHERE skill <> '{MISSED}'",
 }

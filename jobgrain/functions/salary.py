@@ -12,7 +12,8 @@ TOP_SALARY_BAND = "Expert (>15L)"
 
 LAKH = 100_000.0
 
-_AMOUNT = r"^([0-9]+(?:\.[0-9]+)?|\.[0-9]+)(l|lakhs?|k)?$"
+# The exponent form is how Spark prints large numbers.
+_AMOUNT = r"^((?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:e[0-9]+)?)(l|lakhs?|k)?$"
 
 
 def _amount(text: Column) -> Column:

@@ -63,8 +63,12 @@ def validate_postings(df: DataFrame) -> DataFrame:
 
 def preprocess(df: DataFrame, remove_dups: bool = True) -> DataFrame:
     """The whole cleaning step, narrow but for the optional de-duplication."""
-    numeric = {c: salary.clean_salary(F.col(c)) for c in ("salary_min", "salary_max") if c in df.columns}
-    df = df.withColumns(numeric).transform(validate_postings) if numeric else validate_postings(df)
+    for bound in ("salary_min", "salary_max"):
+        if bound in df.columns:
+            is_text = df.schema[bound].dataType.typeName() == "string"
+            amount = salary.clean_salary(F.col(bound)) if is_text else F.col(bound).cast("double")
+            df = df.withColumn(bound, amount)
+    df = validate_postings(df)
     if remove_dups:
         df = remove_duplicates(df, order_by="job_id" if "job_id" in df.columns else F.col("description"))
     added = {

@@ -102,7 +102,7 @@ def _by_blocks(texts, skills, top_k, threshold, id_column, text_vector, skill_ve
         texts.filter(F.col(text_vector).isNotNull())
         .select(F.col(id_column), unit_vector(F.col(text_vector)).alias("_t"))
         .withColumn("_copy", F.pmod(F.xxhash64(id_column), F.lit(spread)).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("bigint"))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>")))
     )
 
     def dot(vector: Column) -> Column:

@@ -129,7 +129,7 @@ def phrase_offsets(df: DataFrame, lexicon: DataFrame, text_column: str, id_colum
 
 
 def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str, id_column: str) -> DataFrame:
-    block = 256
+    block = 64
     text = F.col(text_column)
     # Lengths come from the text as written, the comparison from its lower case.
     written = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
@@ -141,9 +141,10 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
         ]
     ) if phrases else F.array().cast("array<struct<skill:string,key:string,first:string,n:int>>")
     firsts = _literal(sorted({k.split(" ")[0] for _, k in phrases}))
-    words, pieces = F.col("_words"), F.col("_pieces")
-    length = lambda acc, p: acc + p["g"] + p["w"]
-    zero = lambda: F.lit(0).cast("bigint")
+    words = F.col("_words")
+
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
 
     source = (
         df.select(id_column, text_column, written.alias("_written"))
@@ -157,27 +158,32 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
             F.filter(F.slice(F.sequence(F.lit(0), F.size("_words")), F.lit(2), F.size("_words")),
                      lambda i: F.array_contains("_starts", F.element_at("_words", i))),
         )
-        .withColumn(
-            "_pieces",
-            F.zip_with("_written", "_gaps", lambda w, g: F.struct(F.length(g).alias("g"), F.length(w).alias("w"))),
-        )
+        .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
         # Running lengths per block keep the offset of a hit cheap in long texts.
         .withColumn(
             "_sums",
             F.transform(
                 F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / block).cast("int")),
-                lambda b: F.aggregate(F.slice(pieces, b * block + 1, F.lit(block)), zero(), length),
+                lambda b: total(F.slice("_lengths", b * block + 1, F.lit(block))),
             ),
         )
     )
 
     def hit(i: Column, c: Column) -> Column:
         in_block = F.floor((i - 1) / block).cast("int")
-        before = F.aggregate(F.slice("_sums", F.lit(1), in_block), zero(), lambda acc, s: acc + s)
-        before = before + F.aggregate(F.slice(pieces, in_block * block + 1, i - 1 - in_block * block), zero(), length)
-        gap = F.element_at(pieces, i)["g"]
-        size = F.aggregate(F.slice(pieces, i, c["n"]), zero(), length) - gap
-        return F.struct((before + gap).alias("start"), size.alias("size"), c["skill"].alias("skill"))
+        before = total(F.slice("_sums", F.lit(1), in_block))
+        before = before + total(F.slice("_lengths", in_block * block + 1, i - 1 - in_block * block))
+        gap = F.length(F.element_at("_gaps", i))
+        size = total(F.slice("_lengths", i, c["n"])) - gap
+        # The text of a phrase is put together from its tokens and the gaps between them.
+        rest = F.zip_with(
+            F.slice("_gaps", i + 1, c["n"] - 1), F.slice("_written", i + 1, c["n"] - 1), lambda g, w: F.concat(g, w)
+        )
+        surface = F.concat(F.element_at("_written", i), F.when(c["n"] == 1, "").otherwise(F.array_join(rest, "")))
+        start = before + gap
+        return F.struct(
+            start.alias("start"), (start + size).alias("end"), c["skill"].alias("skill"), surface.alias("surface")
+        )
 
     hits = F.flatten(
         F.transform(
@@ -192,14 +198,7 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
             ),
         )
     )
-    with_surface = F.transform(
-        hits,
-        lambda h: F.struct(
-            h["start"].alias("start"), (h["start"] + h["size"]).alias("end"), h["skill"].alias("skill"),
-            F.substring(text, (h["start"] + 1).cast("int"), h["size"].cast("int")).alias("surface"),
-        ),
-    )
-    return source.select(id_column, F.inline_outer(with_surface)).filter(F.col("start").isNotNull())
+    return source.select(id_column, F.inline_outer(hits)).filter(F.col("start").isNotNull())
 
 
 def union_skills(first: DataFrame, second: DataFrame, id_column: str = "job_id") -> DataFrame:
