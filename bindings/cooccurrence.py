@@ -51,21 +51,21 @@ _EDGES_SQL = sql(
     "round(confidence, 6) AS confidence FROM edges",
 )
 
-# Forty rounds bring the change per node far below the tolerance on graphs of this density.
-_PAGERANK_SQL = sql(
-    "adj",
-    "SELECT node AS skill, round(r, 5) AS pagerank FROM ranks WHERE k = 40",
-    outw="SELECT src, sum(weight) AS o FROM adj GROUP BY src",
-    nn="SELECT count(*) AS n FROM outw",
-).replace(
-    "WITH ", "WITH RECURSIVE ", 1
-).replace(
-    " SELECT node AS skill",
-    ", ranks AS (SELECT src AS node, 1.0::DOUBLE / n AS r, 0 AS k FROM outw, nn UNION ALL "
-    "SELECT dst, (0.15 / any_value(n) + 0.85 * sum(ranks.r * adj.weight / o))::DOUBLE, k + 1 FROM ranks "
-    "JOIN adj ON adj.src = ranks.node JOIN outw ON outw.src = ranks.node, nn WHERE k < 40 GROUP BY dst, k) "
-    "SELECT node AS skill",
-    1,
+# All hundred rounds, then the first whose change is below the tolerance; zero when there is none.
+_PAGERANK_SQL = (
+    sql(
+        "adj", "@",
+        outw="SELECT src, sum(weight) AS o FROM adj GROUP BY src",
+        nn="SELECT count(*) AS n FROM outw",
+        ranks="SELECT src AS node, 1.0::DOUBLE / n AS r, 0 AS k FROM outw, nn UNION ALL "
+        "SELECT dst, (0.15 / any_value(n) + 0.85 * sum(ranks.r * adj.weight / o))::DOUBLE, k + 1 FROM ranks "
+        "JOIN adj ON adj.src = ranks.node JOIN outw ON outw.src = ranks.node, nn WHERE k < 100 GROUP BY dst, k",
+        change="SELECT a.k, sum(abs(a.r - b.r)) AS err FROM ranks a JOIN ranks b ON a.node = b.node AND a.k = b.k + 1 GROUP BY a.k",
+        stop="SELECT min(k) AS k FROM change, nn WHERE err < n * 1e-6",
+    )
+    .replace("WITH ", "WITH RECURSIVE ", 1)
+    .replace("@", "SELECT node AS skill, round(CASE WHEN stop.k IS NULL THEN 0 ELSE r END, 6) AS pagerank FROM ranks, stop "
+             "WHERE ranks.k = coalesce(stop.k, 100)")
 )
 
 QUERIES = {
@@ -85,7 +85,7 @@ QUERIES = {
     "degree_centrality": lambda s, d: rounded(graph.degree_centrality(_edges(s, d)), ["degree_centrality"]),
     "betweenness": lambda s, d: rounded(graph.betweenness(_edges(s, d)), ["betweenness"]),
     "closeness": lambda s, d: rounded(graph.closeness(_edges(s, d)), ["closeness"]),
-    "pagerank": lambda s, d: rounded(graph.pagerank(_edges(s, d)), ["pagerank"], 5),
+    "pagerank": lambda s, d: rounded(graph.pagerank(_edges(s, d)), ["pagerank"]),
     "network_metrics": _network_metrics,
     "skill_clusters": lambda s, d: communities.greedy_clusters(_edges(s, d)),
     "skill_clusters_parallel": lambda s, d: communities.parallel_clusters(_edges(s, d)),

@@ -16,7 +16,7 @@ PRIORITY = ["Brand#3", "Brand#7", "Brand#11", "Brand#20"]
 def _histogram_sql(views: str, source: str) -> str:
     return sql(
         views,
-        "SELECT CAST(b AS INTEGER) AS bin, round(lo + step * b, 4) AS lower, round(lo + step * (b + 1), 4) AS upper, count(v) AS count "
+        "SELECT CAST(b AS INTEGER) AS bin, round(lo + step * b, 10) AS lower, round(lo + step * (b + 1), 10) AS upper, count(v) AS count "
         "FROM bounds CROSS JOIN range(20) r(b) LEFT JOIN vals ON least(floor((v - lo) / step), 19) = b GROUP BY b, lo, step",
         vals=source,
         bounds="SELECT min(v) AS lo, (max(v) - min(v)) / 20 AS step FROM vals",
@@ -42,7 +42,7 @@ def _headline(spark, sf):
 
 QUERIES = {
     "hist_num_skills": lambda s, d: rounded(
-        reports.histogram(baskets(s, d).select(F.size("skills").alias("v")), "v"), ["lower", "upper"], 4
+        reports.histogram(baskets(s, d).select(F.size("skills").alias("v")), "v"), ["lower", "upper"], 10
     ),
     "top20_skills": lambda s, d: extraction.top_skills(baskets(s, d), 20),
     "top_locations": lambda s, d: reports.value_counts(jobs(s, d), "location", "location", 10),
@@ -51,12 +51,12 @@ QUERIES = {
         ["percentage"],
     ),
     "hist_salary": lambda s, d: rounded(
-        reports.histogram(reports.with_average_salary(jobs(s, d)), "avg_salary"), ["lower", "upper"], 4
+        reports.histogram(reports.with_average_salary(jobs(s, d)), "avg_salary"), ["lower", "upper"], 10
     ),
     "salary_boxplot": lambda s, d: rounded(
-        reports.salary_boxplot(jobs(s, d), "location"), ["q1", "median", "q3", "whisker_low", "whisker_high"]
+        reports.salary_boxplot(jobs(s, d), "location"), ["q1", "median", "q3", "whisker_low", "whisker_high"], 10
     ),
-    "salary_center": lambda s, d: rounded(reports.salary_center(jobs(s, d)), ["median_salary", "mean_salary"]),
+    "salary_center": lambda s, d: rounded(reports.salary_center(jobs(s, d)), ["median_salary", "mean_salary"], 10),
     "hist_experience": lambda s, d: reports.experience_histogram(jobs(s, d)),
     "experience_center": lambda s, d: rounded(reports.experience_center(jobs(s, d)), ["mean_experience"]),
     "headline": _headline,
@@ -111,8 +111,8 @@ ORACLE = {
     "hist_salary": _histogram_sql("jobs0", _LAKHS),
     "salary_boxplot": sql(
         "jobs0",
-        "SELECT location, round(q1, 6) AS q1, round(m, 6) AS median, round(q3, 6) AS q3, "
-        "round(min(v) FILTER (v >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low, round(max(v) FILTER (v <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high "
+        "SELECT location, round(q1, 10) AS q1, round(m, 10) AS median, round(q3, 10) AS q3, "
+        "round(min(v) FILTER (v >= q1 - 1.5 * (q3 - q1)), 10) AS whisker_low, round(max(v) FILTER (v <= q3 + 1.5 * (q3 - q1)), 10) AS whisker_high "
         "FROM vals JOIN boxes USING (location) GROUP BY location, q1, m, q3",
         vals=_LAKHS,
         top="SELECT location FROM vals WHERE location IS NOT NULL GROUP BY location ORDER BY count(*) DESC, location LIMIT 5",
@@ -120,7 +120,7 @@ ORACLE = {
         "FROM vals WHERE location IN (SELECT location FROM top) GROUP BY location",
     ),
     "salary_center": sql(
-        "jobs0", "SELECT round(quantile_cont(v, 0.5), 6) AS median_salary, round(avg(v), 6) AS mean_salary FROM vals", vals=_LAKHS
+        "jobs0", "SELECT round(quantile_cont(v, 0.5), 10) AS median_salary, round(avg(v), 10) AS mean_salary FROM vals", vals=_LAKHS
     ),
     "hist_experience": sql(
         "jobs0",

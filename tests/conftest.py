@@ -9,8 +9,14 @@ from jobgrain.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", "jobgrain-tests", **{"spark.sql.shuffle.partitions": "4"})
+def shared_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
+    conf = {"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared_folder}
+    session = local_session("8", "jobgrain-tests", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
