@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.views import baskets, rounded, sql
 from jobgrain.operators import communities, cooccurrence as co, graph
-from jobgrain.session import cut_lineage, shared_path
+from jobgrain.session import cut_lineage, materialise, shared_path
 from jobgrain.sources.sinks import write_table
 
 ASSOC_ROUND = ["support", "confidence_1_to_2", "confidence_2_to_1", "lift"]
@@ -19,7 +19,7 @@ SKILL = "Brand#7"
 
 
 def _assoc(spark, sf, min_support=None):
-    return co.association_metrics(baskets(spark, sf), min_support)
+    return co.association_metrics(materialise(baskets(spark, sf), "baskets"), min_support)
 
 
 def assoc_filtered(spark, sf):
@@ -74,7 +74,7 @@ QUERIES = {
     ),
     "skill_counts": lambda s, d: co.skill_counts(baskets(s, d)),
     "pair_counts": lambda s, d: co.pair_counts(baskets(s, d)),
-    "cooc_matrix": lambda s, d: co.dense_matrix(baskets(s, d)),
+    "cooc_matrix": lambda s, d: co.dense_matrix(materialise(baskets(s, d), "baskets")),
     "assoc_metrics": lambda s, d: rounded(_assoc(s, d), ASSOC_ROUND),
     "assoc_filtered": assoc_filtered,
     "assoc_confident": lambda s, d: rounded(co.confident(_assoc(s, d, co.MIN_SUPPORT), 0.15), ASSOC_ROUND),

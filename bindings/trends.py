@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.views import daily_counts, dated, grid_sql, rounded, sql
-from jobgrain.functions.dates import period_label
 from jobgrain.operators import trends
+from jobgrain.session import cut_lineage
 
 GROWTH_ROUND = [
     "mean_per_period", "std_per_period", "growth_rate", "trend_slope", "volatility_cv", "first_period_avg",
@@ -15,6 +15,15 @@ GROWTH_ROUND = [
 
 
 def _counts(spark, sf, frequency="monthly"):
+    """Counts that several aggregates read: a few rows per period, worked out once."""
+    return cut_lineage(_lazy_counts(spark, sf, frequency))
+
+
+def _daily(spark, sf):
+    return cut_lineage(daily_counts(spark, sf))
+
+
+def _lazy_counts(spark, sf, frequency="monthly"):
     return trends.trend_counts(trends.mentions(dated(spark, sf), frequency, "posted_date", "skills"))
 
 
@@ -62,24 +71,24 @@ _GRID_MONTHLY = sql("monthly", "SELECT period, skill, c AS count FROM grid", gri
 
 QUERIES = {
     "mentions": lambda s, d: trends.mentions(dated(s, d), "monthly", "posted_date", "skills"),
-    "trend_monthly": lambda s, d: _counts(s, d),
-    "trend_quarterly": lambda s, d: _counts(s, d, "quarterly"),
+    "trend_monthly": lambda s, d: _lazy_counts(s, d),
+    "trend_quarterly": lambda s, d: _lazy_counts(s, d, "quarterly"),
     "trend_grid": lambda s, d: trends.trend_grid(_counts(s, d)),
     "trend_long": lambda s, d: _trend_long(s, d),
     "growth_metrics": lambda s, d: rounded(trends.growth_metrics(_counts(s, d, "quarterly")), GROWTH_ROUND),
-    "emerging": lambda s, d: rounded(trends.emerging(trends.growth_metrics(daily_counts(s, d))), GROWTH_ROUND),
+    "emerging": lambda s, d: rounded(trends.emerging(trends.growth_metrics(_daily(s, d))), GROWTH_ROUND),
     "declining": lambda s, d: rounded(
         trends.declining(trends.growth_metrics(_counts(s, d, "quarterly"))), GROWTH_ROUND
     ),
     "anomalies": lambda s, d: _anomalies(_counts(s, d)),
-    "anomalies_daily": lambda s, d: _anomalies(daily_counts(s, d)),
+    "anomalies_daily": lambda s, d: _anomalies(_daily(s, d)),
     "trend_summary": lambda s, d: rounded(trends.trend_summary(_counts(s, d)), ["avg_jobs_per_period"]),
     "trend_share": lambda s, d: rounded(
         trends.trend_share(dated(s, d), "monthly", "posted_date", "skills"), ["percentage"]
     ),
     "top5_trends": lambda s, d: trends.top_skill_series(_counts(s, d), 5),
     "positive_growth": lambda s, d: trends.positive_growth(
-        trends.growth_metrics(daily_counts(s, d))
+        trends.growth_metrics(_daily(s, d))
     ).select("skill", F.round("growth_rate", 6).alias("growth_rate"), "total_mentions"),
 }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from jobgrain.session import cut_lineage
+
 _BINS = 4096
 _ROUNDS = 2
 _STATE = ["_p", "_pos", "_rank", "_below", "_lo", "_hi", "_after"]
@@ -20,7 +22,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
     by = by or []
     for key in [value, *by]:
         df = df.filter(F.col(key).isNotNull())
-    weighted = df.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
+    # Every round reads this table; written once, it spares the passes over the source.
+    weighted = cut_lineage(df.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w")))
     wanted = (
         weighted.groupBy(*by)
         .agg(F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))

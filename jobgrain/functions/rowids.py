@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobgrain.session import cut_lineage
+from jobgrain.session import fix_partitions
 
 _POSITION_BITS = 33
 
@@ -17,7 +17,7 @@ def with_row_number(df: DataFrame, name: str, order_by: list[Column] | None = No
     themselves, a sorted frame is written to the checkpoint folder first.
     """
     if order_by is not None:
-        df = cut_lineage(df.orderBy(*order_by))
+        df = fix_partitions(df.orderBy(*order_by))
     marked = df.withColumn("_mark", F.monotonically_increasing_id())
     part = F.shiftright("_mark", _POSITION_BITS)
     sizes = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))

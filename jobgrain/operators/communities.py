@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobgrain.functions.rowids import with_row_number
 from jobgrain.operators.graph import adjacency
-from jobgrain.session import cut_lineage
+from jobgrain.session import cut_lineage, sized
 
 
 def _singletons(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -20,13 +20,13 @@ def _singletons(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut_lineage(shares), labels
 
 
-def _gains(links: DataFrame) -> DataFrame:
+def _gains(links: DataFrame, nodes: int) -> DataFrame:
     """Modularity gain of joining each linked pair ci < cj: 2 (e_ij - a_i a_j)."""
-    ends = links.groupBy("ci").agg(F.sum("e").alias("a"))
+    ends = sized(links.groupBy("ci").agg(F.sum("e").alias("a")), nodes)
     return (
         links.filter(F.col("ci") < F.col("cj"))
         .join(ends, "ci")
-        .join(ends.select(F.col("ci").alias("cj"), F.col("a").alias("b")), "cj")
+        .join(sized(ends.select(F.col("ci").alias("cj"), F.col("a").alias("b")), nodes), "cj")
         .select("ci", "cj", (2 * (F.col("e") - F.col("a") * F.col("b"))).alias("gain"))
     )
 
@@ -45,9 +45,9 @@ def greedy_clusters(edges: DataFrame) -> DataFrame:
     the top-N graph; ``parallel_clusters`` takes logarithmically many rounds on large ones.
     """
     links, labels = _singletons(edges)
-    merges = 0
+    nodes, merges = labels.count(), 0
     while True:
-        best = _gains(links).orderBy(F.desc("gain"), "ci", "cj").first()
+        best = _gains(links, nodes).orderBy(F.desc("gain"), "ci", "cj").first()
         if best is None or best["gain"] < 0:
             return _numbered(labels)
         keep, gone = best["ci"], best["cj"]
@@ -68,8 +68,9 @@ def parallel_clusters(edges: DataFrame) -> DataFrame:
     progress. The partition may differ from the one-at-a-time merge.
     """
     links, labels = _singletons(edges)
+    nodes = labels.count()
     while True:
-        pairs = _gains(links).filter(F.col("gain") >= 0)
+        pairs = _gains(links, nodes).filter(F.col("gain") >= 0)
         choice = F.struct((-F.col("gain")).alias("g"), F.col("ci").alias("x"), F.col("cj").alias("y"))
         ends = F.array(
             F.struct(F.col("ci").alias("community"), choice.alias("pair")),
@@ -86,7 +87,7 @@ def parallel_clusters(edges: DataFrame) -> DataFrame:
             return _numbered(labels)
 
         def relabel(df: DataFrame, column: str, renames: DataFrame = renames) -> DataFrame:
-            joined = df.join(renames, F.col(column) == F.col("gone"), "left")
+            joined = df.join(sized(renames, nodes), F.col(column) == F.col("gone"), "left")
             return joined.withColumn(column, F.coalesce("keep", column)).drop("gone", "keep")
 
         links = cut_lineage(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.functions.arrays import unfold
+from jobgrain.session import cut_lineage
 
 # Default thresholds.
 MIN_SUPPORT = 0.02
@@ -119,8 +120,14 @@ def association_metrics(basket_df: DataFrame, min_support: float | None = None)
     With ``min_support`` only skills that reach it alone are kept before pairs are formed: a pair is never more
     frequent than its rarer skill. At most (mean set size / min_support) skills remain, whatever the data volume.
     """
-    total = basket_df.agg(F.count("*")).scalar()
-    counts = skill_counts(basket_df)
+    # One pass for skills and postings: a null marker per posting counts the postings themselves. The result is as
+    # small as the vocabulary and read several times below.
+    marked = F.array_append("skills", F.lit(None).cast("string"))
+    tallies = cut_lineage(
+        basket_df.select(F.explode_outer(marked).alias("skill")).groupBy("skill").agg(F.count("*").alias("skill_count"))
+    )
+    total = F.lit(tallies.filter(F.col("skill").isNull()).agg(F.sum("skill_count")).first()[0] or 0)
+    counts = tallies.filter(F.col("skill").isNotNull())
     if min_support is not None:
         counts = counts.filter(F.col("skill_count") / total >= min_support)
         frequent = counts.agg(F.collect_list("skill")).scalar()

@@ -242,15 +242,23 @@ def add_skill_flags(df: DataFrame, top_n: int = TOP_FLAGS) -> DataFrame:
 
 def skill_statistics(df: DataFrame) -> DataFrame:
     """One row: postings, postings with skills, mean, median, maximum and distinct skills."""
-    distinct = unfold(df, "skills", "skill").agg(F.count_distinct("skill"))
-    # num_skills is at most the size of the lexicon, so the exact median keeps few distinct values.
-    return df.agg(
-        F.count("*").alias("total_jobs"),
-        F.count_if(F.size("skills") > 0).alias("jobs_with_skills"),
-        F.avg(F.size("skills")).alias("avg_skills_per_job"),
-        F.median(F.size("skills")).alias("median_skills_per_job"),
-        F.max(F.size("skills")).alias("max_skills_per_job"),
-    ).withColumn("total_unique_skills", distinct.scalar())
+    # One pass: a posting yields its skills and its number of skills; the rest is arithmetic on these few counts.
+    size = F.struct(F.lit(None).cast("string").alias("skill"), F.size("skills").alias("size"))
+    items = F.transform("skills", lambda s: F.struct(s.alias("skill"), F.lit(None).cast("int").alias("size")))
+    counts = (
+        df.select(F.explode_outer(F.array_append(items, size)).alias("item"))
+        .groupBy("item.skill", "item.size")
+        .agg(F.count("*").alias("n"))
+    )
+    n = F.when(F.col("size").isNotNull(), F.col("n"))
+    return counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total_jobs"),
+        F.coalesce(F.sum(F.when(F.col("size") > 0, n)), F.lit(0)).alias("jobs_with_skills"),
+        F.try_divide(F.sum(F.col("size") * n), F.sum(n)).alias("avg_skills_per_job"),
+        F.percentile("size", F.lit(0.5), F.coalesce(n, F.lit(0))).alias("median_skills_per_job"),
+        F.max("size").alias("max_skills_per_job"),
+        F.count("skill").alias("total_unique_skills"),
+    )
 
 
 def skills_by_category(df: DataFrame, lexicon: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobgrain.operators.cooccurrence import TOP_ASSOCIATIONS, by_lift
-from jobgrain.session import cut_lineage
+from jobgrain.session import cut_lineage, sized
 
 # PageRank damping, tolerance per node and the most rounds.
 DAMPING = 0.85
@@ -67,8 +67,10 @@ def shortest_paths(edges: DataFrame) -> list[DataFrame]:
     are looked at.
     """
     links = cut_lineage(adjacency(edges).select("src", "dst"))
+    links = sized(links, links.count())
     start = links.select(F.col("src").alias("node")).distinct()
     levels = [cut_lineage(start.select(F.col("node").alias("src"), "node", F.lit(1.0).alias("sigma")))]
+    largest = levels[0].count()
     while True:
         reached = (
             levels[-1]
@@ -78,10 +80,13 @@ def shortest_paths(edges: DataFrame) -> list[DataFrame]:
             .agg(F.sum("f.sigma").alias("sigma"))
         )
         for seen in levels[-2:]:
-            reached = reached.join(seen.select("src", "node"), ["src", "node"], "left_anti")
+            known = seen.select("src", "node")
+            reached = reached.join(sized(known, largest), ["src", "node"], "left_anti")
         reached = cut_lineage(reached)
-        if reached.isEmpty():
+        rows = reached.count()
+        if rows == 0:
             return levels
+        largest = max(largest, rows)
         levels.append(reached)
 
 
@@ -102,6 +107,7 @@ def betweenness(edges: DataFrame, levels: list[DataFrame] | None = None) -> Data
     """(skill, betweenness): normalised share of shortest paths through a node, dependencies summed backwards."""
     levels = levels or shortest_paths(edges)
     links = cut_lineage(adjacency(edges).select(F.col("src").alias("node"), F.col("dst").alias("near")))
+    links = sized(links, links.count())
     below = levels[-1].withColumn("delta", F.lit(0.0))
     passed = below.select("src", "node", "delta")
     for level in reversed(levels[:-1]):
@@ -146,7 +152,7 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLE
         for _ in range(batch):
             last = F.element_at("ranks", -1)
             state = (
-                links.join(state, links["src"] == state["node"])
+                links.join(sized(state, n), links["src"] == F.col("node"))
                 .groupBy(F.col("dst").alias("node"))
                 .agg(
                     F.sum(F.col("share") * last).alias("_in"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -50,8 +50,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a frame that several passes read as a columnar table in the shared folder, and read it back.
+
+    Each later pass then reads only the columns it needs instead of repeating the joins behind them.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized(df: DataFrame, rows: int, limit: int = 200_000) -> DataFrame:
+    """Ask for a broadcast only when the counted rows stay below the limit; otherwise leave the join to Spark."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise to reliable storage so that iterative plans stay short and survive lost executors."""
+    """End a plan in a written table, so that iterative plans stay short and survive lost executors.
+
+    One job instead of the two of an eager checkpoint, and the scan knows its size, so joins on it are planned well.
+    """
+    return materialise(df, "cut")
+
+
+def fix_partitions(df: DataFrame) -> DataFrame:
+    """Checkpoint: unlike a written table it keeps which row is in which partition."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))

@@ -98,8 +98,10 @@ def test_regional_folders(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark, shared_folder):
     assert session.shared_root(spark) == shared_folder
     assert session.shared_path(spark, "x").startswith(shared_folder)
-    cut = session.cut_lineage(spark.range(5).withColumn("twice", F.col("id") * 2))
-    assert cut.count() == 5 and list(Path(shared_folder).rglob("rdd-*"))
+    doubled = spark.range(5).withColumn("twice", F.col("id") * 2)
+    assert session.cut_lineage(doubled).count() == 5 and list(Path(shared_folder).glob("cut-*"))
+    assert session.fix_partitions(doubled).count() == 5 and list(Path(shared_folder).rglob("rdd-*"))
+    assert session.cut_lineage(doubled.filter("id > 9")).isEmpty()
 
 
 def test_all_jobs(spark, posting_file, small_lexicon, tmp_path):
