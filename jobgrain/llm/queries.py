@@ -40,7 +40,7 @@ def _span_sql() -> str:
         pattern = rule.pattern.replace("'", "''")
         parts.append(f"""
             SELECT r, {order} AS ord, '{rule.kind}' AS kind, i,
-                   list_sum(list_transform(gaps[1:i], x -> length(x))) + coalesce(list_sum(list_transform(whole[1:i-1], x -> length(x))), 0) AS s,
+                   list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i-1], lambda x: length(x))), 0) AS s,
                    length(whole[i]) AS w, length(val[i]) >= {rule.least} AS passes
             FROM (SELECT r, whole, val, gaps, unnest(range(1, len(whole) + 1)) AS i FROM (
                 SELECT r, regexp_extract_all(t, '{pattern}', 0) AS whole, regexp_extract_all(t, '{pattern}', {rule.group}) AS val,
