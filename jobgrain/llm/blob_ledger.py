@@ -42,8 +42,9 @@ BASE_RULES = [
         r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
         r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{12}", 2, 12,
     ),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", r"AKIA[A-Z0-9]{14}", 0, 18),
-    Rule("hex", 1, r"[0-9a-f]+", r"[0-9a-f]{16}", 0, 16),
+    # A run that is too short holds no longer match, so these two may ask for the length at once.
+    Rule("access", 1, r"AKIA[A-Z0-9]{14,}", r"AKIA[A-Z0-9]{14}", 0, 18),
+    Rule("hex", 1, r"[0-9a-f]{16,}", r"[0-9a-f]{16}", 0, 16),
 ]
 #: Further rules of this library; they add spans and leave the base ones alone.
 MORE_RULES = [

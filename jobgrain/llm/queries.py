@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, exact
+from jobgrain.llm import blob_ledger, bpe, exact, token_counts
 from jobgrain.session import shared_path
 
 
@@ -12,6 +13,16 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under the byte-level vocabulary."""
+    return token_counts.count_tokens(_read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    return bpe.round_trip(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document, through a fresh ledger in the shared folder."""
     found = blob_ledger.scan_versions(_read(spark, folder, "documents"), shared_path(spark, "ledger"))
@@ -69,4 +80,4 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op4_token_counts": op4_token_counts, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
