@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, exact, token_counts
+from jobgrain.llm import blob_ledger, bpe, exact, token_counts, wavelet
 from jobgrain.session import shared_path
 
 
@@ -13,6 +13,13 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents written to wavelet matrix shards in the shared folder and read back."""
+    shards = shared_path(spark, "wavelet")
+    wavelet.write_shards(_read(spark, folder, "documents"), shards, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return wavelet.document_spans(spark, shards)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
     return token_counts.count_tokens(_read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -80,4 +87,4 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op4_token_counts": op4_token_counts, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
