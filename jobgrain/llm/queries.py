@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, exact, token_counts, wavelet
+from jobgrain.llm import blob_ledger, bpe, exact, simhash, token_counts, wavelet
 from jobgrain.session import shared_path
 
 
@@ -25,6 +25,11 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(_read(spark, folder, "documents"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     return bpe.round_trip(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -87,4 +92,4 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
