@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, exact, simhash, token_counts, wavelet
+from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, simhash, token_counts, wavelet
 from jobgrain.session import shared_path
 
 
@@ -30,6 +30,15 @@ def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"))
 
 
+def op6_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find_passages(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     return bpe.round_trip(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -92,4 +101,5 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
+    "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
