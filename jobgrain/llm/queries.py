@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, simhash, token_counts, wavelet
+from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, quality, simhash, token_counts, wavelet
 from jobgrain.session import shared_path
 
 
@@ -39,6 +39,11 @@ def op6_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by a network fitted on the labels outside the held-out part."""
+    return quality.score(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     return bpe.round_trip(_read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -102,4 +107,4 @@ ORACLE = {
 }
 
 QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
-    "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+    "op7_quality_scores": op7_quality_scores, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
