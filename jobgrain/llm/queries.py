@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, quality, simhash, token_counts, wavelet
+from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, quality, simhash, token_counts, url_lists, wavelet
 from jobgrain.session import shared_path
 
 
@@ -20,6 +20,39 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_spans(spark, shards)
 
 
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """The pages with a fetch date spread over one year by their id."""
+    return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(366)).cast("int")).alias("fetched"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries drawn from the hosts, domains and first path segments of the pages by a hash of the value."""
+    host, parts = url_lists.host_of(F.col("url")), url_lists.segments_of(F.col("url"))
+    places = pages.select(host.alias("host"), F.try_element_at(parts, F.lit(1)).alias("top")).filter("host != ''").distinct()
+    labels = F.split("host", r"\.")
+    values = (
+        places.select(F.lit("spam").alias("list"), F.lit("host").alias("kind"), F.col("host").alias("value"))
+        .unionByName(places.select(F.lit("adult").alias("list"), F.lit("domain").alias("kind"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("value")))
+        .unionByName(places.filter("top is not null").select(F.lit("ads").alias("list"), F.lit("prefix").alias("kind"), F.concat_ws("/", "host", "top").alias("value")))
+        .distinct()
+    )
+    mark = F.conv(F.substring(F.md5(F.concat_ws("|", "kind", "value").cast("binary")), 1, 4), 16, 10).cast("int")
+    marked = values.withColumn("m", mark).filter("m % 3 < 2")
+    start = F.lit("2024-01-01").cast("date")
+    steps = F.array(
+        F.struct(F.lit("add").alias("action"), F.date_add(start, F.col("m") % 200).alias("date")),
+        F.struct(F.lit("remove").alias("action"), F.date_add(start, F.col("m") % 200 + F.floor(F.col("m") / 16).cast("int") % 120).alias("date")),
+        F.struct(F.lit("add").alias("action"), F.date_add(start, F.lit(300) + F.col("m") % 50).alias("date")),
+    )
+    return marked.select("list", "kind", "value", F.explode(steps).alias("s")).select("list", "kind", "value", "s.*")
+
+
+def op3_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page judged by the list entries active when it was fetched."""
+    pages = _read(spark, folder, "pages")
+    return url_lists.judge(dated_captures(pages), dated_entries(pages))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
     return token_counts.count_tokens(_read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -86,6 +119,26 @@ def _span_sql() -> str:
 
 
 ORACLE = {
+    "op3_url_lists": rf"""
+        WITH c AS (SELECT row_number() OVER () AS r, page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 366 AS INT) AS fetched,
+                          regexp_replace(lower(regexp_extract(url, '{url_lists.HOST}', 1)), '\.$', '') AS host,
+                          list_filter(string_split(regexp_extract(url, '{url_lists.PATH}', 1), '/'), lambda s: s != '') AS seg FROM pages),
+        p AS (SELECT DISTINCT host, seg[1] AS top, string_split(host, '.') AS labels FROM c WHERE host != ''),
+        v AS (SELECT 'spam' AS list, 'host' AS kind, host AS value FROM p
+              UNION SELECT 'adult', 'domain', array_to_string(labels[-2:], '.') FROM p
+              UNION SELECT 'ads', 'prefix', host || '/' || top FROM p WHERE top IS NOT NULL),
+        m AS (SELECT *, CAST('0x' || md5(kind || '|' || value)[1:4] AS INT) AS m FROM v),
+        e AS (SELECT list, kind, value, 'add' AS action, DATE '2024-01-01' + m % 200 AS date FROM m WHERE m % 3 < 2
+              UNION ALL SELECT list, kind, value, 'remove', DATE '2024-01-01' + (m % 200 + (m // 16) % 120) FROM m WHERE m % 3 < 2
+              UNION ALL SELECT list, kind, value, 'add', DATE '2024-01-01' + (300 + m % 50) FROM m WHERE m % 3 < 2),
+        k AS (SELECT c.r, list FROM c JOIN (SELECT DISTINCT list, kind, value FROM e) e ON
+                  kind = 'host' AND value = host OR kind = 'domain' AND ('.' || host) LIKE '%.' || value
+                  OR kind = 'prefix' AND value = host || '/' || seg[1]
+              WHERE (SELECT arg_max(action, struct_pack(d := date, a := action)) FROM e x
+                     WHERE x.list = e.list AND x.kind = e.kind AND x.value = e.value AND x.date <= c.fetched) = 'add')
+        SELECT page_id, url, fetched, count(list) AS n_entries, coalesce(string_agg(DISTINCT list, ',' ORDER BY list), '') AS lists,
+               count(list) > 0 AS blocked
+        FROM c LEFT JOIN k USING (r) GROUP BY r, page_id, url, fetched""",
     "op9_secret_scan": f"""
         WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
         m AS ({_span_sql()}),
@@ -106,5 +159,5 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
+QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op3_url_lists": op3_url_lists, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
     "op7_quality_scores": op7_quality_scores, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
