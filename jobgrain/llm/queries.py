@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, quality, simhash, token_counts, url_lists, wavelet
+from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, html_text, quality, simhash, token_counts, url_lists, wavelet
 from jobgrain.session import shared_path
 
 
@@ -20,6 +20,11 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_spans(spark, shards)
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Article text of every page."""
+    return html_text.extract(_read(spark, folder, "pages"))
+
+
 def dated_captures(pages: DataFrame) -> DataFrame:
     """The pages with a fetch date spread over one year by their id."""
     return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(366)).cast("int")).alias("fetched"))
@@ -159,5 +164,5 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
 }
 
-QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op3_url_lists": op3_url_lists, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
+QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op2_main_text": op2_main_text, "op3_url_lists": op3_url_lists, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
     "op7_quality_scores": op7_quality_scores, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
