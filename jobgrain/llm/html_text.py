@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Dimensions of the path and word vectors, LSTM units each way, pages to learn from, passes, blocks projected at once.
 PATH_DIM, WORD_DIM, UNITS, SAMPLE, EPOCHS, SLAB = 96, 24, 16, 160, 12, 4096
+#: Least steps of fitting; few pages get more passes.
+STEPS = 200
 INPUTS = PATH_DIM + WORD_DIM + 3
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -273,6 +275,7 @@ def fit(pages: list[list[Leaf]], epochs: int = EPOCHS, batch: int = 10, seed: in
         rng.normal(0, 0.3, 2 * u).astype(np.float32), np.zeros(1, np.float32),
     ]
     first, second, step = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state], 0
+    epochs = max(epochs, -(-STEPS * batch // len(told)))
     for epoch in range(epochs):
         order, rate = rng.permutation(len(told)), 0.01 * (1 - epoch / epochs) + 0.0005
         for at in range(0, len(order), batch):

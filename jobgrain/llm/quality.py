@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of a filter, filters, bytes of half a chunk, labelled rows at most, passes over them, bytes scored at once.
 WIDTH, FILTERS, HALF, SAMPLE, EPOCHS, SLAB = 4, 8, 128, 1500, 12, 1 << 18
+#: Least steps of fitting; few labelled rows get more passes.
+STEPS = 600
 #: Share of the labelled texts shown as a random passage in a pass of fitting; scoring always reads the whole text.
 PASSAGES = 0.3
 #: Score from which a document counts as good.
@@ -103,13 +105,14 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, batch: int
     rng = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.5
     zero = np.zeros(FILTERS, np.float32)
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return Network(np.zeros((WIDTH, 256, FILTERS), np.float32), zero, zero, zero, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     state = [
         rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32), zero.copy(), rng.normal(0, 0.3, FILTERS).astype(np.float32),
         rng.normal(0, 0.3, FILTERS).astype(np.float32), np.full(1, np.log(share / (1 - share)), np.float32),
     ]
     first_moment, second_moment, step = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state], 0
+    epochs = max(epochs, -(-STEPS * batch // len(texts)))
     for epoch in range(epochs):
         order, rate = rng.permutation(len(texts)), 0.02 * (1 - epoch / epochs) + 0.001
         for at in range(0, len(order), batch):
