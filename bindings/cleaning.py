@@ -75,6 +75,7 @@ def _dirty_dates(spark, sf):
     printed = F
     for i, (pattern, _) in enumerate(DATE_PRINTS):
         printed = printed.when(_key() % 7 == i, F.date_format("o_orderdate", pattern))
+    printed = printed.otherwise("not a date")
     return _orders(spark, sf).select(_key().alias("job_id"), printed.otherwise("not a date").alias("posted_date"))
 
 
@@ -132,17 +133,18 @@ def _raw_postings(spark, sf):
     printed = F
     for i, (pattern, _) in enumerate(DATE_PRINTS):
         printed = printed.when(_key() % 7 == i, F.date_format("o_orderdate", pattern))
+    printed = printed.otherwise("not a date")
     return _orders(spark, sf).select(
         _key().alias("job_id"),
         _pick(TITLES, F.col("o_orderpriority")).alias("title"),
         F.concat(F.lit("Company "), F.col("o_custkey") % 10).alias("company"),
         _pick(CITIES, F.col("o_orderpriority")).alias("location"),
-        F.date_format("o_orderdate", "yyyy").alias("posted_date"),
+        printed.alias("posted_date"),
         F.concat(F.lit("  Wanted:  "), "o_orderpriority").alias("description"),
         F.format_number(F.floor("o_totalprice"), 0).alias("salary_min"),
         F.concat(F.floor(F.col("o_totalprice") / 1_000), F.lit("k")).alias("salary_max"),
         (_key() % 70 - 10).cast("int").alias("experience_years"),
-    ).withColumn("posted_date", F.concat("posted_date", F.lit("-1-5")))
+    )
 
 
 def _preprocess(spark, sf):
@@ -155,13 +157,13 @@ def _preprocess(spark, sf):
 
 _PREPROCESS_SQL = (
     "WITH raw AS (SELECT o_orderkey, " + _pick_sql(TITLES, "o_orderpriority") + " AS title, 'Company ' || (o_custkey % 10) AS company, "
-    + _pick_sql(CITIES, "o_orderpriority") + " AS location, year(o_orderdate) || '-1-5' AS posted_date, "
+    + _pick_sql(CITIES, "o_orderpriority") + " AS location, " + _DAY_SQL + " AS posted_date, o_orderdate, "
     "'  Wanted:  ' || o_orderpriority AS description, floor(o_totalprice) AS a, floor(o_totalprice / 1000) * 1000 AS b, "
     "CAST(o_orderkey % 70 - 10 AS INTEGER) AS e FROM orders), "
     "kept AS (SELECT * FROM raw WHERE trim(title) <> '' QUALIFY row_number() OVER "
     "(PARTITION BY title, company, location, posted_date ORDER BY o_orderkey) = 1), "
     "named AS (SELECT *, " + _NORM_SQL.format(c="title") + " AS tn, " + _NORM_SQL.format(c="location") + " AS ln, "
-    "CAST(strptime(posted_date, '%Y-%m-%d') AS DATE) AS d FROM kept) "
+    + _PARSED_SQL.replace("(d,", "(posted_date,") + " AS d FROM kept) "
     "SELECT o_orderkey AS job_id, " + _canonical_sql("tn", TITLE_SYNONYMS) + " AS title_normalized, "
     + _canonical_sql("ln", CITY_SYNONYMS) + " AS location_normalized, " + _NORM_SQL.format(c="description") + " AS description_clean, "
     "d AS posted_date_parsed, CAST(year(d) AS INTEGER) AS posted_year, CAST(month(d) AS INTEGER) AS posted_month, "

@@ -68,6 +68,50 @@ _PAGERANK_SQL = (
              "WHERE ranks.k = coalesce(stop.k, 100)")
 )
 
+# Breadth-first walks from every node, then path counts along the distances.
+_WALKS = {
+    "nodes": "SELECT DISTINCT src FROM adj",
+    "size": "SELECT count(*)::DOUBLE AS n FROM nodes",
+    "walk": "SELECT src, src AS node, 0 AS d FROM nodes UNION SELECT w.src, a.dst, w.d + 1 FROM walk w JOIN adj a ON a.src = w.node, size WHERE w.d + 1 < n",
+    "dist": "SELECT src, node, min(d) AS d FROM walk GROUP BY src, node",
+    "sig": "SELECT src, src AS node, 0 AS d, 1.0::DOUBLE AS s FROM nodes UNION ALL SELECT g.src, a.dst, g.d + 1, sum(g.s)::DOUBLE FROM sig g "
+    "JOIN adj a ON a.src = g.node JOIN dist t ON t.src = g.src AND t.node = a.dst AND t.d = g.d + 1 GROUP BY g.src, a.dst, g.d",
+    "close": "SELECT src AS skill, coalesce((count(*) - 1) / nullif(sum(d), 0)::DOUBLE * (count(*) - 1) / nullif(any_value(n) - 1, 0), 0) AS closeness "
+    "FROM dist, size GROUP BY src",
+    "between": "SELECT src AS skill, coalesce((SELECT sum(x.s * y.s / t.s) FROM sig x JOIN sig y ON y.src = x.node JOIN sig t ON t.src = x.src AND t.node = y.node "
+    "WHERE x.node = nodes.src AND x.src <> x.node AND y.node <> y.src AND x.d + y.d = t.d), 0) / CASE WHEN n > 2 THEN (n - 1) * (n - 2) ELSE 1 END "
+    "AS betweenness FROM nodes, size",
+}
+
+
+def _walk_sql(query: str) -> str:
+    return sql("adj", query, **_WALKS).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _metrics_sql() -> str:
+    return _walk_sql(
+        "SELECT skill, degree, degree_centrality, round(betweenness, 6) AS betweenness_centrality, round(closeness, 6) AS closeness_centrality, "
+        f"pagerank, coalesce(c, 0) AS count FROM ({ORACLE['degree_centrality']}) a JOIN between USING (skill) JOIN close USING (skill) "
+        f"JOIN ({_PAGERANK_SQL}) b USING (skill) LEFT JOIN ({ORACLE['network_nodes'].replace(' AS count FROM edges UNION', ' AS c FROM edges UNION')}) e USING (skill)"
+    )
+
+
+# One row a round: the labels so far. The best pair of communities joins until no gain is left.
+_CLUSTERS_SQL = sql(
+    "adj", "@",
+    total="SELECT sum(weight)::DOUBLE AS m FROM adj",
+    merges="SELECT 0 AS k, (SELECT list({'s': src, 'c': src} ORDER BY src) FROM (SELECT DISTINCT src FROM adj) q) AS labels UNION ALL "
+    "SELECT k + 1, list_transform(labels, lambda x: CASE WHEN x.c = best.gone THEN {'s': x.s, 'c': best.keep} ELSE x END) "
+    "FROM (SELECT k, labels, (WITH l AS (SELECT unnest(labels) AS x), e AS (SELECT a.x.c AS ci, b.x.c AS cj, sum(weight) / any_value(m) AS e "
+    "FROM adj JOIN l a ON a.x.s = src JOIN l b ON b.x.s = dst, total GROUP BY 1, 2), ends AS (SELECT ci, sum(e) AS a FROM e GROUP BY ci) "
+    "SELECT {'keep': e.ci, 'gone': e.cj} FROM e JOIN ends p ON p.ci = e.ci JOIN ends q ON q.ci = e.cj WHERE e.ci < e.cj AND 2 * (e - p.a * q.a) >= 0 "
+    "ORDER BY 2 * (e - p.a * q.a) DESC, e.ci, e.cj LIMIT 1) AS best FROM merges) r WHERE best IS NOT NULL",
+    final="SELECT unnest(arg_max(labels, k)) AS x FROM merges",
+    named="SELECT x.s AS skill, count(*) OVER (PARTITION BY x.c) AS n, min(x.s) OVER (PARTITION BY x.c) AS least FROM final",
+).replace("WITH ", "WITH RECURSIVE ", 1).replace(
+    "@", "SELECT skill, CAST(dense_rank() OVER (ORDER BY n DESC, least) - 1 AS INTEGER) AS cluster FROM named"
+)
+
 QUERIES = {
     "baskets": lambda s, d: baskets(s, d).select(
         "job_id", F.array_join("skills", ";").alias("skills"), F.size("skills").cast("bigint").alias("n")
@@ -137,3 +181,9 @@ ORACLE = {
         f"WHERE '{SKILL}' IN (skill1, skill2)",
     ),
 }
+ORACLE |= {
+    "closeness": _walk_sql("SELECT skill, round(closeness, 6) AS closeness FROM close"),
+    "betweenness": _walk_sql("SELECT skill, round(betweenness, 6) AS betweenness FROM between"),
+    "network_metrics": _metrics_sql(),
+    "skill_clusters": _CLUSTERS_SQL,
+}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.views import lexicon, rounded, sql, table
 from jobgrain.functions.arrays import unfold
+from jobgrain.functions import salary
 from jobgrain.functions.text import TOKEN_PATTERN
 from jobgrain.operators import extraction, spans
 from jobgrain.session import shared_path
@@ -87,16 +88,22 @@ def _read_postings(spark, sf):
     )
     path = shared_path(spark, "postings")
     write_table(df, path, "csv")
-    read = postings.read_postings(spark, path, multi_line=True)
-    return read.withColumn("description", F.md5("description"))
+    read = postings.read_postings(spark, path)
+    amounts = {c: salary.clean_salary(F.col(c)) for c in ("salary_min", "salary_max")}
+    return read.withColumns(amounts).withColumn("description", F.md5("description"))
 
 
 def _input_audit(spark, sf):
-    digests = files.file_digests(spark, sf, "sha256", "*.parquet")
-    copies = files.duplicate_files(digests).select("digest", "copies")
-    return digests.join(copies, "digest", "left").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "bytes", "digest",
-        F.coalesce("copies", F.lit(1)).alias("copies"),
+    """Size, digest and copies of every page; the host stands for the content too, so that copies occur."""
+    digests = files.content_digests(table(spark, sf, "pages"), "page_id", "html")
+    hosts = files.content_digests(
+        table(spark, sf, "pages").select("page_id", F.element_at(F.split("url", "/"), 3).alias("host")), "page_id", "host", "md5"
+    )
+    both = digests.unionByName(hosts)
+    copies = files.duplicate_content(both, "page_id").select("digest", "copies", "first_page_id")
+    return both.join(copies, "digest", "left").select(
+        "page_id", "bytes", "digest", F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.coalesce("first_page_id", "page_id").alias("first_page_id"),
     )
 
 
@@ -136,6 +143,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "input_audit": "WITH d AS (SELECT page_id, strlen(html) AS bytes, sha256(html) AS digest FROM pages UNION ALL "
+    "SELECT page_id, strlen(h), md5(h) FROM (SELECT page_id, string_split(url, '/')[3] AS h FROM pages) q) "
+    "SELECT page_id, bytes, digest, count(*) OVER g AS copies, min(page_id) OVER g AS first_page_id FROM d WINDOW g AS (PARTITION BY digest)",
     "weak_labels": sql(
         "words hits",
         "SELECT doc_id, s AS start, e AS \"end\", 'SKILL' AS label, skill, substr(text, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)) AS surface "

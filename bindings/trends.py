@@ -94,10 +94,8 @@ QUERIES = {
 
 
 def _trend_long(spark, sf):
-    """Through the wide form and back, as a reader of a wide file would."""
-    counts = _counts(spark, sf)
-    names = [r["skill"] for r in counts.select("skill").distinct().orderBy("skill").limit(1000).collect()]
-    return trends.long_grid(trends.wide_grid(counts, names))
+    """Long rows of all skills, however many there are; the wide form is for file sinks with a chosen list."""
+    return trends.trend_grid(_counts(spark, sf))
 
 
 ORACLE = {

@@ -7,17 +7,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 from jobgrain.session import cut_lineage
 
 _BINS = 4096
-_ROUNDS = 2
+#: Values that one task may order for a quantile.
+_REST = 50_000
 _STATE = ["_p", "_pos", "_rank", "_below", "_lo", "_hi", "_after"]
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None, rest: int = _REST
+) -> DataFrame:
     """Linearly interpolated quantiles: one row (*by, probability, quantile) per group and probability.
 
     Spark's own ``percentile`` keeps every distinct value of a group in one buffer. Here equal values are first
-    folded into weights (map-side, so a hot value costs nothing), then the range that holds the wanted rank is
-    narrowed twice by a histogram. Only the last sliver is ordered; it is 4096 squared times narrower than the
-    whole range. The bins steer the work only: ranks are exact counts throughout.
+    folded into weights (map-side, so a hot value costs nothing), then the range that holds the wanted rank is narrowed
+    by histograms until the counted rest is at most ``rest`` values; only that is ordered. Bins lie between the least and
+    the greatest value that is left, so every round leaves at least one of them out and outliers cost rounds, not memory.
+    The bins steer the work only: ranks are exact counts throughout.
     """
     by = by or []
     for key in [value, *by]:
@@ -35,8 +39,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
         .withColumn("_after", F.lit(None).cast("double"))
         .select(*by, *_STATE)
     )
-    for _ in range(_ROUNDS):
-        wanted = _narrow(weighted, wanted, by)
+    while _largest(weighted, wanted, by) > rest:
+        wanted = cut_lineage(_narrow(weighted, wanted, by))
     ordered = Window.partitionBy(*by, "_p").orderBy("_v")
     found = (
         _inside(weighted, wanted, by)
@@ -53,6 +57,12 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
     )
 
 
+def _largest(weighted: DataFrame, wanted: DataFrame, by: list[str]) -> int:
+    """Most values left for one quantile."""
+    left = _inside(weighted, wanted, by).groupBy(*by, "_p").agg(F.count("*").alias("n"))
+    return left.agg(F.max("n")).first()[0] or 0
+
+
 def _inside(weighted: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
     """Weighted values within the range of each wanted quantile."""
     if by:

@@ -22,20 +22,23 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 
 def remove_duplicates(df: DataFrame, keys: list[str] | None = None, order_by: Column | str = "job_id") -> DataFrame:
-    """First posting of each key by ``order_by``; null keys count as equal.
+    """First posting of each key by ``order_by``; null keys count as equal. Raises when a key column is missing.
 
     ``row_number() = 1`` keeps a deterministic row and plans as a group limit before and after the shuffle, so each
     task sends at most one row per key however many copies there are.
     """
-    present = [k for k in keys or DEDUP_KEYS if k in df.columns]
-    first = Window.partitionBy(*present).orderBy(order_by)
+    keys = DEDUP_KEYS if keys is None else keys
+    missing = [k for k in keys if k not in df.columns]
+    if missing or not keys:
+        raise ValueError(f"no column to tell duplicates by: {missing or 'no keys'}; name the keys that are there")
+    first = Window.partitionBy(*keys).orderBy(order_by)
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
 def drop_incomplete(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Rows whose required texts are neither null nor blank."""
     for name in required or REQUIRED_COLUMNS:
-        df = df.filter(F.trim(F.col(name)) != "")
+        df = df.filter(text.normalize_text(F.col(name)) != "")
     return df
 
 
@@ -61,8 +64,13 @@ def validate_postings(df: DataFrame) -> DataFrame:
     return df
 
 
-def preprocess(df: DataFrame, remove_dups: bool = True) -> DataFrame:
-    """The whole cleaning step, narrow but for the optional de-duplication."""
+def preprocess(df: DataFrame, remove_dups: bool = True, dedup_keys: list[str] | None = None) -> DataFrame:
+    """The whole cleaning step, narrow but for the optional de-duplication.
+
+    Absent optional columns are tolerated. De-duplication needs its keys: the usual four, or those named.
+    """
+    if "experience_years" in df.columns and df.schema["experience_years"].dataType.typeName() == "string":
+        df = df.withColumn("experience_years", F.col("experience_years").try_cast("double").try_cast("int"))
     for bound in ("salary_min", "salary_max"):
         if bound in df.columns:
             is_text = df.schema[bound].dataType.typeName() == "string"
@@ -70,7 +78,7 @@ def preprocess(df: DataFrame, remove_dups: bool = True) -> DataFrame:
             df = df.withColumn(bound, amount)
     df = validate_postings(df)
     if remove_dups:
-        df = remove_duplicates(df, order_by="job_id" if "job_id" in df.columns else F.col("description"))
+        df = remove_duplicates(df, dedup_keys, order_by="job_id" if "job_id" in df.columns else F.col("description"))
     added = {
         "title_normalized": text.normalize_title(F.col("title")),
         "description_clean": text.normalize_text(F.col("description")),

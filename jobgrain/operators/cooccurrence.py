@@ -46,9 +46,10 @@ def pair_counts(basket_df: DataFrame, inline_set: int = INLINE_SET) -> DataFrame
 
     Pairs are formed inside the row of a posting and summed in the same stage, so what is shuffled is at most one
     row per task and distinct pair, never the pairs themselves. A set larger than ``inline_set`` is cut into blocks;
-    each pair of blocks becomes a row of its own and is spread over the cluster before its pairs are formed.
+    each pair of blocks becomes a row of its own and is spread over the cluster before its pairs are formed. Repeated
+    items of a set count once.
     """
-    sets = basket_df.select(F.array_sort("skills").alias("skills")).filter(F.size("skills") > 1)
+    sets = basket_df.select(F.array_sort(F.array_distinct("skills")).alias("skills")).filter(F.size("skills") > 1)
     inline = (
         sets.filter(F.size("skills") <= inline_set)
         .select("skills", F.posexplode_outer("skills").alias("i", "skill1"))

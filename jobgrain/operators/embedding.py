@@ -100,8 +100,9 @@ def _by_blocks(texts, skills, top_k, threshold, id_column, text_vector, skill_ve
     )
     probes = (
         texts.filter(F.col(text_vector).isNotNull())
-        .select(F.col(id_column), unit_vector(F.col(text_vector)).alias("_t"))
-        .withColumn("_copy", F.pmod(F.xxhash64(id_column), F.lit(spread)).cast("int"))
+        # The number keeps vectors apart that share an id; nothing is read twice, so it needs no table.
+        .select(F.monotonically_increasing_id().alias("_row"), F.col(id_column), unit_vector(F.col(text_vector)).alias("_t"))
+        .withColumn("_copy", F.pmod(F.xxhash64("_row"), F.lit(spread)).cast("int"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>")))
     )
 
@@ -111,8 +112,8 @@ def _by_blocks(texts, skills, top_k, threshold, id_column, text_vector, skill_ve
     # Negative scores first: the natural struct order is then best score first, ties by name.
     scored = F.transform("_skills", lambda s: F.struct((-dot(s["v"])).alias("s"), s["skill"].alias("skill")))
     best = F.slice(F.array_sort(F.filter(scored, lambda c: -c["s"] >= threshold)), 1, top_k)
-    hits = probes.join(blocks, ["_block", "_copy"]).select(id_column, F.explode(best).alias("c"))
-    ordered = Window.partitionBy(id_column).orderBy(F.col("c"))
+    hits = probes.join(blocks, ["_block", "_copy"]).select("_row", id_column, F.explode(best).alias("c"))
+    ordered = Window.partitionBy("_row").orderBy(F.col("c"))
     return (
         hits.withColumn("rank", F.row_number().over(ordered))
         .filter(F.col("rank") <= top_k)

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.functions.arrays import unfold
 from jobgrain.functions.text import TOKEN_PATTERN, tokens
+from jobgrain.session import materialise
 from jobgrain.sources.lexicon import phrase_keys
 
 # Up to this many phrases the lexicon travels inside the expression; beyond it the match is a join.
 INLINE_PHRASES = 2_000
-BROADCAST_PHRASES = 500_000
 TOP_FLAGS = 50
 
 
@@ -62,7 +62,7 @@ def extract_phrases(df: DataFrame, lexicon: DataFrame, text_column: str = "descr
     """Add ``skills``, a sorted array, empty for null text. Raises on an unknown column.
 
     A lexicon of ordinary size is inlined and the step is a map over the rows: no join, no shuffle, no skew. A very
-    large one takes ``match_phrases`` and one shuffle of its hits by ``id_column``.
+    large one takes ``match_phrases`` and one shuffle of its hits by row; rows and column order are the same.
     """
     keys = phrase_keys(lexicon).select("skill", "phrase_key")
     phrases = [tuple(r) for r in keys.limit(inline_phrases + 1).collect()]
@@ -74,25 +74,25 @@ def extract_phrases(df: DataFrame, lexicon: DataFrame, text_column: str = "descr
             .withColumn("skills", skills_of_tokens(F.col("_words"), phrases) if phrases else _literal([]))
             .drop("_words")
         )
+    # A number of its own keeps rows apart whose ids repeat or are null; written, it is the same in both branches.
+    numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     found = (
-        match_phrases(df, lexicon, text_column, id_column)
-        .groupBy(id_column)
+        match_phrases(numbered, lexicon, text_column, "_row")
+        .groupBy("_row")
         .agg(F.array_sort(F.collect_set("skill")).alias("skills"))
     )
-    return df.join(found, id_column, "left").withColumn("skills", F.coalesce("skills", _literal([])))
+    return numbered.join(found, "_row", "left").select(*df.columns, F.coalesce("skills", _literal([])).alias("skills"))
 
 
 def match_phrases(df: DataFrame, lexicon: DataFrame, text_column: str, id_column: str) -> DataFrame:
     """Every phrase occurrence as (id, position, n_tokens, skill, phrase_key); position counts tokens from 0.
 
-    Each token becomes one narrow row with the few tokens after it, and joins the lexicon on its first tokens. The
-    lexicon is measured first: broadcast up to ``BROADCAST_PHRASES``, shuffled by token beyond.
+    Each token becomes one narrow row with the few tokens after it, and joins the lexicon on its first tokens. Spark
+    measures the lexicon in bytes at run time: it is broadcast below the session's threshold, and beyond it shuffled by
+    token, where skewed tokens are split.
     """
     keys = phrase_keys(lexicon)
-    size = keys.agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest")).first()
-    if size["n"] <= BROADCAST_PHRASES:
-        keys = F.broadcast(keys)
-    longest = size["longest"] or 1
+    longest = keys.agg(F.max("n_tokens")).first()[0] or 1
     words = F.col("_words")
     following = [words, *[F.slice(words, k + 1, F.size(words)) for k in range(1, longest)]]
     names = [f"_w{k}" for k in range(longest)]

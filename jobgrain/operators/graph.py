@@ -121,8 +121,7 @@ def betweenness(edges: DataFrame, levels: list[DataFrame] | None = None) -> Data
         below = level.join(share, ["src", "node"], "left").select(
             "src", "node", "sigma", F.coalesce(F.col("sigma") * F.col("part"), F.lit(0.0)).alias("delta")
         )
-        if len(levels) > 4:
-            below = cut_lineage(below)
+        below = cut_lineage(below)
         passed = passed.unionByName(below.select("src", "node", "delta"))
     n = levels[0].agg(F.count("*")).scalar()
     scale = F.when(n > 2, (n - 1) * (n - 2)).otherwise(F.lit(1)).cast("double")
@@ -143,7 +142,7 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLE
     out = weighted.groupBy("src").agg(F.sum("weight").alias("_out"))
     shares = weighted.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_out")).alias("share"))
     own = out.select("src", F.col("src").alias("dst"), F.lit(None).cast("double").alias("share"))
-    links = cut_lineage(shares.unionByName(own).repartition("dst"))
+    links = cut_lineage(shares.unionByName(own))
     n = out.count()
     state = out.select(F.col("src").alias("node"), F.array(F.lit(1.0 / max(n, 1))).alias("ranks"))
     done = 0

@@ -6,7 +6,7 @@ anomalies come from the non-zero cells and the number of periods, which give the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobgrain.functions.arrays import unfold
 from jobgrain.functions.dates import period_label
@@ -67,6 +67,18 @@ def _period_order(counts: DataFrame) -> DataFrame:
     return periods.select(F.posexplode("p").alias("ordinal", "period"))
 
 
+def _spread_parts(count: Column) -> list[Column]:
+    """What the non-zero cells tell about the spread, in double and without squaring a count."""
+    return [F.count("*").alias("_k"), F.avg(count).alias("_m"), F.var_pop(count.cast("double")).alias("_v")]
+
+
+def _squared_deviations(total: Column, n: Column) -> Column:
+    """Squared deviations over all ``n`` cells: those of the non-zero ones joined with ``n - k`` zeros."""
+    k, m = F.col("_k"), F.col("_m")
+    mean = total / n
+    return k * F.col("_v") + k * (m - mean) * (m - mean) + (n - k) * mean * mean
+
+
 def growth_metrics(counts: DataFrame) -> DataFrame:
     """Totals, spread, growth, least-squares slope and direction per skill over all periods.
 
@@ -82,7 +94,7 @@ def growth_metrics(counts: DataFrame) -> DataFrame:
         .groupBy("skill")
         .agg(
             F.sum(y).alias("total_mentions"),
-            F.sum(y * y).alias("_yy"),
+            *_spread_parts(y),
             F.sum(x * y).alias("_xy"),
             F.sum(F.when(x < EDGE_PERIODS, y).otherwise(0)).alias("_first"),
             F.sum(F.when(x >= n - EDGE_PERIODS, y).otherwise(0)).alias("_last"),
@@ -91,7 +103,7 @@ def growth_metrics(counts: DataFrame) -> DataFrame:
     )
     total, first, last = F.col("total_mentions"), F.col("first_period_avg"), F.col("last_period_avg")
     mean, std, slope = F.col("mean_per_period"), F.col("std_per_period"), F.col("trend_slope")
-    spread = F.greatest(F.try_divide(F.col("_yy") - total * (total / n), n - 1), F.lit(0.0))
+    spread = F.try_divide(_squared_deviations(total, n), n - 1)
     # Over 0..P-1 the mean is (P-1)/2 and the sum of squared deviations P(P^2-1)/12.
     slope_sum = F.col("_xy") - total * ((n - 1) / 2)
     return (
@@ -157,13 +169,13 @@ def anomalies(counts: DataFrame, threshold: float = Z_LIMIT) -> DataFrame:
     n = F.size(periods)
     totals = counts.groupBy("skill").agg(
         F.sum("count").alias("_y"),
-        F.sum(F.col("count") * F.col("count")).alias("_yy"),
+        *_spread_parts(F.col("count")),
         F.collect_set("period").alias("_present"),
     )
-    spread = F.try_divide(F.col("_yy") - F.col("_y") * (F.col("_y") / n), n - 1)
+    spread = F.try_divide(_squared_deviations(F.col("_y"), n), n - 1)
     stats = (
         totals.filter(F.col("_y") >= MIN_MENTIONS)
-        .withColumns({"mean": F.col("_y") / n, "_std": F.sqrt(F.greatest(spread, F.lit(0.0)))})
+        .withColumns({"mean": F.col("_y") / n, "_std": F.sqrt(spread)})
         .filter(F.col("_std") > 0)
     )
     missing = stats.filter(F.col("mean") / F.col("_std") > threshold).select(

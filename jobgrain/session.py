@@ -60,9 +60,13 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized(df: DataFrame, rows: int, limit: int = 200_000) -> DataFrame:
-    """Ask for a broadcast only when the counted rows stay below the limit; otherwise leave the join to Spark."""
-    return F.broadcast(df) if rows <= limit else df
+def sized(df: DataFrame, rows: int, limit: int = 64 * 1024**2) -> DataFrame:
+    """Ask for a broadcast only when the counted rows of the frame's width stay below a limit in bytes.
+
+    Texts count with 64 bytes, which the names of this library's graphs stay below. Beyond the limit the join is Spark's.
+    """
+    width = sum(64 if f.dataType.typeName() in ("string", "array") else 8 for f in df.schema)
+    return F.broadcast(df) if rows * width <= limit else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -71,11 +75,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     One job instead of the two of an eager checkpoint, and the scan knows its size, so joins on it are planned well.
     """
     return materialise(df, "cut")
-
-
-def fix_partitions(df: DataFrame) -> DataFrame:
-    """Checkpoint: unlike a written table it keeps which row is in which partition."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)

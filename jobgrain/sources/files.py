@@ -1,60 +1,29 @@
-"""Audit of input files: size, digest and copies."""
+"""Audit of table content: size, digest and copies of each row; sizes of files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Bytes per unit.
 UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3}
 
-_ROW_LIMIT = 256 * 1024**2
-_BLOCK = 4 * 1024**2
-
 
 def file_sizes(spark: SparkSession, path: str, pattern: str = "*", unit: str = "B") -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select("path", F.col("length").alias("bytes"), (F.col("length") / UNITS[unit]).alias("size"))
 
 
-def file_digests(spark: SparkSession, path: str, algorithm: str = "sha256", pattern: str = "*") -> DataFrame:
-    """(path, bytes, digest) per file. Large files are streamed block by block, never held as one row."""
+def content_digests(df: DataFrame, key: str, content: str, algorithm: str = "sha256") -> DataFrame:
+    """(key, bytes, digest) of every row; null content has neither size nor digest."""
     digest = {"md5": F.md5, "sha1": F.sha1, "sha256": lambda c: F.sha2(c, 256)}[algorithm]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    whole = files.filter(F.col("length") <= _ROW_LIMIT).select(
-        "path", F.col("length").alias("bytes"), digest(F.col("content")).alias("digest")
-    )
-
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
-        from pyarrow import fs
-
-        for batch in batches:
-            digests = []
-            for uri in batch["path"]:
-                filesystem, name = fs.FileSystem.from_uri(uri)
-                state = hashlib.new(algorithm)
-                with filesystem.open_input_stream(name) as handle:
-                    while block := handle.read(_BLOCK):
-                        state.update(block)
-                digests.append(state.hexdigest())
-            yield batch.assign(digest=digests)
-
-    large = (
-        files.filter(F.col("length") > _ROW_LIMIT)
-        .select("path", F.col("length").alias("bytes"))
-        .mapInPandas(stream, "path string, bytes long, digest string")
-    )
-    return whole.unionByName(large)
+    data = F.col(content).cast("binary")
+    return df.select(key, F.octet_length(data).cast("bigint").alias("bytes"), digest(data).alias("digest"))
 
 
-def duplicate_files(digests: DataFrame) -> DataFrame:
-    """Digests shared by more than one file."""
+def duplicate_content(digests: DataFrame, key: str) -> DataFrame:
+    """Digests shared by more than one row. Counts fold in each task, so a digest of many rows is no hot key."""
     return (
-        digests.groupBy("digest")
-        .agg(F.count("*").alias("copies"), F.min("path").alias("first_path"), F.sum("bytes").alias("bytes"))
+        digests.filter(F.col("digest").isNotNull()).groupBy("digest")
+        .agg(F.count("*").alias("copies"), F.min(key).alias(f"first_{key}"), F.sum("bytes").alias("bytes"))
         .filter(F.col("copies") > 1)
     )

@@ -1,14 +1,18 @@
-"""Posting tables from CSV, in the house layout or a foreign one."""
+"""Posting tables from CSV, in the house layout or a foreign one.
+
+Columns are found by the names in the header, whatever their order. Salaries stay text: spellings such as ``10L`` are for
+the cleaning step to read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobgrain.functions.rowids import with_row_number
 
 POSTING_SCHEMA = (
     "job_id BIGINT, title STRING, company STRING, location STRING, posted_date STRING, description STRING, "
-    "salary_min DOUBLE, salary_max DOUBLE, experience_years INT, job_type STRING"
+    "salary_min STRING, salary_max STRING, experience_years INT, job_type STRING"
 )
 
 # Column names of foreign exports and what they are called here.
@@ -25,34 +29,63 @@ FOREIGN_COLUMNS = {
 }
 
 
-def csv_options(multi_line: bool = False) -> dict[str, str]:
-    # Quotes are doubled inside quoted fields. multiLine makes a file one split, so it is opt-in.
-    # Blanks at either end belong to the value.
+_INTEGERS = ("byte", "short", "integer", "long")
+_PLACE = ["_file", "_block", "_position"]
+
+
+def csv_options(multi_line: bool = True) -> dict[str, str]:
+    # Quotes are doubled inside quoted fields, which may hold line breaks. A row with too few or too many fields and a
+    # file whose header differs from the first one's fail. Blanks at either end belong to the value.
     return {
-        "header": "true", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(),
-        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+        "header": "true", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower(), "mode": "FAILFAST",
+        "enforceSchema": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     }
 
 
 def read_postings(
-    spark: SparkSession, path: str, schema: str | None = POSTING_SCHEMA, multi_line: bool = False
+    spark: SparkSession, path: str, schema: str | None = POSTING_SCHEMA, multi_line: bool = True
 ) -> DataFrame:
-    """Postings with a declared schema. ``schema=None`` keeps every column of the file, as text.
+    """Postings by header name: declared columns that are present come first, cast; unknown ones follow as text.
 
-    Input larger than memory needs no chunk size: each file split is a task.
+    ``multi_line=True`` makes a file one task, so large input should come as many files. ``multi_line=False`` splits files
+    and fails on a field with a line break rather than breaking the row. ``schema=None`` keeps every column as text.
+    Whole numbers may be written ``3.0``; what is no number becomes null.
     """
-    reader = spark.read.options(**csv_options(multi_line))
-    return (reader.schema(schema) if schema else reader).csv(path)
+    return _typed(spark.read.options(**csv_options(multi_line)).csv(path), schema)
+
+
+def _typed(text: DataFrame, schema: str | None) -> DataFrame:
+    if schema is None:
+        return text
+    declared = text.sparkSession.createDataFrame([], schema).schema
+    columns = []
+    for field in declared:
+        if field.name in text.columns:
+            value, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
+            if kind in _INTEGERS:
+                whole = value.try_cast("double")
+                value = F.coalesce(value.try_cast(field.dataType), F.when(whole == F.floor(whole), whole).try_cast(field.dataType))
+            elif kind != "string":
+                value = value.try_cast(field.dataType)
+            columns.append(value.alias(field.name))
+    known = set(declared.names)
+    return text.select(*columns, *[F.col(f"`{c}`") for c in text.columns if c not in known])
 
 
 def map_foreign_columns(
     df: DataFrame, mapping: dict[str, str] | None = None, order_by: list[Column] | None = None
 ) -> DataFrame:
-    """Rename the known columns that are present; number the rows 1..n as ``job_id`` when it is absent."""
+    """Rename the known columns that are present; number the rows 1..n in ``order_by`` order when ``job_id`` is absent."""
     mapping = FOREIGN_COLUMNS if mapping is None else mapping
     renamed = df.withColumnsRenamed({old: new for old, new in mapping.items() if old in df.columns})
-    return renamed if "job_id" in renamed.columns else with_row_number(renamed, "job_id", order_by)
+    return renamed if "job_id" in renamed.columns else with_row_number(renamed, "job_id", order_by or [])
 
 
-def import_foreign_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return map_foreign_columns(read_postings(spark, path, schema=None, multi_line=multi_line))
+def import_foreign_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A foreign export; rows without a ``job_id`` are numbered by file path and place in the file."""
+    read = spark.read.options(**csv_options(multi_line)).csv(path)
+    placed = read.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_position"),
+    )
+    return map_foreign_columns(placed, order_by=[F.col(c) for c in _PLACE]).drop(*_PLACE)

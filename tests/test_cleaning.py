@@ -57,10 +57,10 @@ def test_preprocess_whole_and_partial(spark):
     assert (first["posted_year"], first["posted_month"], first["posted_quarter"]) == (2024, 2, "Q1")
     assert (first["salary_min"], first["salary_max"]) == (800_000.0, 1_200_000.0)
     assert cleaning.preprocess(df, remove_dups=False).count() == 2
-    short = cleaning.preprocess(df.select("title", "description"))
+    short = cleaning.preprocess(df.select("title", "description"), remove_dups=False)
     assert set(short.columns) == {"title", "description", "title_normalized", "description_clean"}
     with pytest.raises(AnalysisException):
-        cleaning.preprocess(df.drop("title")).count()
+        cleaning.preprocess(df.drop("title"), remove_dups=False).count()
 
 
 def test_quality_report(spark):
