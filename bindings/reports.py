@@ -47,8 +47,7 @@ QUERIES = {
     "top20_skills": lambda s, d: extraction.top_skills(baskets(s, d), 20),
     "top_locations": lambda s, d: reports.value_counts(jobs(s, d), "location", "location", 10),
     "tier_share": lambda s, d: rounded(
-        reports.shares(places(s, d), "city_tier", "name").unionByName(reports.shares(places(s, d), "region", "name")),
-        ["percentage"],
+        reports.group_shares(geo.group_counts(places(s, d))), ["percentage"]
     ),
     "hist_salary": lambda s, d: rounded(
         reports.histogram(reports.with_average_salary(jobs(s, d)), "avg_salary"), ["lower", "upper"], 10

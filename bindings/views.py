@@ -120,13 +120,12 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 
 def part_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    """A lexicon that grows with the data: brand and type as name, size class as category, part names as aliases."""
-    part = table(spark, sf, "part")
-    return part.groupBy(
+    """A lexicon that grows with the data: brand and type as name, size class as category, a row per part name as alias."""
+    return table(spark, sf, "part").select(
         F.concat_ws(" ", "p_brand", "p_type").alias("skill_name"),
         F.when(F.col("p_type") == "ECONOMY", "Soft").otherwise("Technical").alias("category"),
-        F.col("p_type").alias("subcategory"),
-    ).agg(F.array_join(F.array_sort(F.collect_set("p_name")), ", ").alias("aliases"))
+        F.col("p_type").alias("subcategory"), F.col("p_name").alias("aliases"),
+    )
 
 
 def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:

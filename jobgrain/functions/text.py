@@ -26,8 +26,9 @@ CITY_SYNONYMS = {
     "Hyderabad": ["hyderabad", "hyd"],
 }
 
-# A run of letters and digits with inner dots and trailing + or #, else one other visible character.
-TOKEN_PATTERN = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*[+#]*|[^\s\p{L}\p{N}]"
+# A run of letters, their marks and digits with inner dots and trailing + or #, else one other visible character. Marks
+# belong to the run, so that lower case (which turns one letter into a letter and a mark at times) cuts no token in two.
+TOKEN_PATTERN = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*(?:\.[\p{L}\p{N}][\p{L}\p{M}\p{N}]*)*[+#]*|[^\s\p{L}\p{N}]"
 
 
 def normalize_text(text: Column) -> Column:

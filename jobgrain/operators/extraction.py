@@ -113,26 +113,68 @@ def phrase_offsets(df: DataFrame, lexicon: DataFrame, text_column: str, id_colum
                    inline_phrases: int = INLINE_PHRASES) -> DataFrame:
     """Phrase occurrences with character offsets: (id, start, end, skill, surface), end exclusive.
 
-    Everything happens in the row of the text and only the hits leave it, so there is no join and no shuffle. A
-    lexicon above ``inline_phrases`` takes one such pass per slice of it.
+    With a lexicon of ordinary size everything happens in the row of the text and only the hits leave it: no join and
+    no shuffle. Above ``inline_phrases`` the token join of ``match_phrases`` finds the hits, whatever the size of the
+    lexicon, and they come back to their text once for their offsets.
     """
     keys = phrase_keys(lexicon).select("skill", "phrase_key")
-    total = keys.count()
-    slices = max(1, -(-total // inline_phrases))
-    slot = F.pmod(F.xxhash64("skill", "phrase_key"), F.lit(slices))
-    found = None
-    for number in range(slices):
-        phrases = [tuple(r) for r in keys.filter(slot == number).collect()]
-        part = _offsets_of(df, phrases, text_column, id_column)
-        found = part if found is None else found.unionByName(part)
-    return found
+    phrases = [tuple(r) for r in keys.limit(inline_phrases + 1).collect()]
+    if len(phrases) <= inline_phrases:
+        return _offsets_of(df, phrases, text_column, id_column)
+    numbered = materialise(
+        df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_column), F.col(text_column)), "numbered"
+    )
+    hits = match_phrases(numbered, lexicon, text_column, "_row")
+    own = hits.groupBy("_row").agg(F.collect_list(F.struct("position", "n_tokens", "skill")).alias("_hits"))
+    source = _measured(numbered.join(own, "_row"), text_column, id_column, "_hits")
+    found = F.transform("_hits", lambda h: _hit(h["position"] + 1, h["n_tokens"], h["skill"]))
+    return source.select(id_column, F.inline(found))
 
 
-def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str, id_column: str) -> DataFrame:
-    block = 64
+_BLOCK = 64
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
+
+
+def _measured(df: DataFrame, text_column: str, id_column: str, *keep: str) -> DataFrame:
+    """Tokens as written, the gaps before them, and running lengths per block, which keep an offset cheap in long texts."""
     text = F.col(text_column)
-    # Lengths come from the text as written, the comparison from its lower case.
     written = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    return (
+        df.select(id_column, text_column, *keep, written.alias("_written"))
+        # One gap more than tokens: the last one follows the last token and is not needed.
+        .withColumn("_gaps", F.slice(F.split(text, TOKEN_PATTERN), F.lit(1), F.size("_written")))
+        .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
+        .withColumn(
+            "_sums",
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("_written") - 1) / _BLOCK).cast("int")),
+                lambda b: _total(F.slice("_lengths", b * _BLOCK + 1, F.lit(_BLOCK))),
+            ),
+        )
+    )
+
+
+def _hit(i: Column, n_tokens: Column, skill: Column) -> Column:
+    """Span of ``n_tokens`` tokens from the ``i``-th (from 1)."""
+    in_block = F.floor((i - 1) / _BLOCK).cast("int")
+    before = _total(F.slice("_sums", F.lit(1), in_block))
+    before = before + _total(F.slice("_lengths", in_block * _BLOCK + 1, i - 1 - in_block * _BLOCK))
+    gap = F.length(F.element_at("_gaps", i))
+    size = _total(F.slice("_lengths", i, n_tokens)) - gap
+    # The text of a phrase is put together from its tokens and the gaps between them.
+    rest = F.zip_with(
+        F.slice("_gaps", i + 1, n_tokens - 1), F.slice("_written", i + 1, n_tokens - 1), lambda g, w: F.concat(g, w)
+    )
+    surface = F.concat(F.element_at("_written", i), F.when(n_tokens == 1, "").otherwise(F.array_join(rest, "")))
+    start = before + gap
+    return F.struct(start.alias("start"), (start + size).alias("end"), skill.alias("skill"), surface.alias("surface"))
+
+
+def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str, id_column: str) -> DataFrame:
+    # Lengths come from the text as written, the comparison from its lower case.
     lexicon = F.array(
         *[
             F.struct(F.lit(s).alias("skill"), F.lit(k).alias("key"), F.lit(k.split(" ")[0]).alias("first"),
@@ -142,14 +184,8 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
     ) if phrases else F.array().cast("array<struct<skill:string,key:string,first:string,n:int>>")
     firsts = _literal(sorted({k.split(" ")[0] for _, k in phrases}))
     words = F.col("_words")
-
-    def total(lengths: Column) -> Column:
-        return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
-
     source = (
-        df.select(id_column, text_column, written.alias("_written"))
-        # One gap more than tokens: the last one follows the last token and is not needed.
-        .withColumn("_gaps", F.slice(F.split(text, TOKEN_PATTERN), F.lit(1), F.size("_written")))
+        _measured(df, text_column, id_column)
         .withColumn("_words", F.transform("_written", lambda w: F.lower(w)))
         .withColumn("_starts", F.array_intersect("_words", firsts))
         .withColumn("_lexicon", F.filter(lexicon, lambda c: F.array_contains("_starts", c["first"])))
@@ -158,33 +194,7 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
             F.filter(F.slice(F.sequence(F.lit(0), F.size("_words")), F.lit(2), F.size("_words")),
                      lambda i: F.array_contains("_starts", F.element_at("_words", i))),
         )
-        .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
-        # Running lengths per block keep the offset of a hit cheap in long texts.
-        .withColumn(
-            "_sums",
-            F.transform(
-                F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / block).cast("int")),
-                lambda b: total(F.slice("_lengths", b * block + 1, F.lit(block))),
-            ),
-        )
     )
-
-    def hit(i: Column, c: Column) -> Column:
-        in_block = F.floor((i - 1) / block).cast("int")
-        before = total(F.slice("_sums", F.lit(1), in_block))
-        before = before + total(F.slice("_lengths", in_block * block + 1, i - 1 - in_block * block))
-        gap = F.length(F.element_at("_gaps", i))
-        size = total(F.slice("_lengths", i, c["n"])) - gap
-        # The text of a phrase is put together from its tokens and the gaps between them.
-        rest = F.zip_with(
-            F.slice("_gaps", i + 1, c["n"] - 1), F.slice("_written", i + 1, c["n"] - 1), lambda g, w: F.concat(g, w)
-        )
-        surface = F.concat(F.element_at("_written", i), F.when(c["n"] == 1, "").otherwise(F.array_join(rest, "")))
-        start = before + gap
-        return F.struct(
-            start.alias("start"), (start + size).alias("end"), c["skill"].alias("skill"), surface.alias("surface")
-        )
-
     hits = F.flatten(
         F.transform(
             "_at",
@@ -194,7 +204,7 @@ def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str,
                     lambda c: (c["first"] == F.element_at(words, i))
                     & ((c["n"] == 1) | (F.array_join(F.slice(words, i, c["n"]), " ") == c["key"])),
                 ),
-                lambda c: hit(i, c),
+                lambda c: _hit(i, c["n"], c["skill"]),
             ),
         )
     )

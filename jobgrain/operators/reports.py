@@ -59,6 +59,13 @@ def shares(df: DataFrame, column: str, name: str) -> DataFrame:
     return counts.withColumn("percentage", F.col("count") / counts.agg(F.sum("count")).scalar() * 100)
 
 
+def group_shares(counts: DataFrame) -> DataFrame:
+    """(name, count, percentage within its kind) of a few (kind, name, count) rows."""
+    known = counts.filter(F.col("name").isNotNull())
+    share = F.col("count") / F.sum("count").over(Window.partitionBy("kind")) * 100
+    return known.select("name", "count", share.alias("percentage"))
+
+
 def with_average_salary(df: DataFrame) -> DataFrame:
     """Rows with both bounds, plus their mean in lakhs."""
     both = df.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())

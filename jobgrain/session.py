@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
+_scratch: list[str] = []
 
 
 def local_session(cores: int | str = "*", app_name: str = "jobgrain", **conf: str) -> SparkSession:
@@ -46,8 +49,24 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the open scratch folder of a job."""
+    return f"{_scratch[-1] if _scratch else shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the block go to one folder, which is deleted at its end.
+
+    For jobs that write all their results: a lazy result must not be read after the block.
+    """
+    folder = shared_path(spark, "job")
+    _scratch.append(folder)
+    try:
+        yield
+    finally:
+        _scratch.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -15,13 +15,16 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lexicon_phrases(lexicon: DataFrame) -> DataFrame:
-    """One row per skill and distinct phrase: the lower-cased name itself plus its comma-separated aliases."""
+    """One row per skill and distinct phrase: the lower-cased name itself plus its comma-separated aliases.
+
+    A skill may come as one row with all its aliases or as many rows with some each.
+    """
     name = F.trim(F.lower("skill_name"))
     aliases = F.transform(F.split(F.coalesce(F.lower("aliases"), F.lit("")), ","), lambda s: F.trim(s))
     spellings = F.array_distinct(F.concat(F.array(name), F.filter(aliases, lambda a: a != "")))
     return lexicon.select(
         name.alias("skill"), "category", "subcategory", F.explode(spellings).alias("phrase")
-    )
+    ).distinct()
 
 
 def phrase_keys(lexicon: DataFrame) -> DataFrame:

@@ -120,3 +120,47 @@ def test_jobs_read_such_files(spark, small_lexicon, tmp_path):
     tables = plans.run_all(postings.read_postings(spark, str(path)), small_lexicon, str(tmp_path / "out"))
     got = tables["jobs_with_skills"]
     assert got.count() == got.filter("size(skills) = 2").count() == 30  # ten share title, company, place and date
+
+
+@pytest.mark.parametrize("inline", [2_000, 0])
+def test_offsets_and_phrases_agree(spark, inline):
+    lexicon = spark.createDataFrame([("İstanbul", "Place", None, "big city"), ("x", "Other", None, None)], "skill_name string, category string, subcategory string, aliases string")
+    texts = [(1, "In İSTANBUL, a  Big  City x"), (1, "x"), (None, "istanbul and İstanbul"), (2, None), (3, "é x" * 400)]
+    df = spark.createDataFrame(texts, "job_id int, t string")
+    spans = extraction.phrase_offsets(df, lexicon, "t", "job_id", inline).collect()
+    for s in spans:
+        assert any(s["job_id"] == i and t is not None and t[s["start"] : s["end"]] == s["surface"] for i, t in texts)
+    assert sorted((str(s["job_id"]), s["skill"]) for s in spans if s["job_id"] != 3) == [
+        ("1", "i̇stanbul"), ("1", "i̇stanbul"), ("1", "x"), ("1", "x"), ("None", "i̇stanbul")
+    ]
+    assert sum(s["job_id"] == 3 for s in spans) == 1
+    found = extraction.extract_phrases(df, lexicon, "t", inline_phrases=inline)
+    assert rows(found, "job_id", "skills") == [(1, ["i̇stanbul", "x"]), (1, ["x"]), (2, []), (3, ["x"]), (None, ["i̇stanbul"])]
+
+
+def test_a_large_lexicon_is_one_join(spark):
+    lexicon = spark.range(10_000).select(
+        F.concat(F.lit("word"), "id").alias("skill_name"), F.lit("c").alias("category"), F.lit(None).cast("string").alias("subcategory"),
+        F.concat(F.lit("two word"), "id").alias("aliases"),
+    )
+    df = spark.createDataFrame([(1, "word7 and two word9999, word10000")], "job_id int, t string")
+    found = extraction.phrase_offsets(df, lexicon, "t", "job_id")
+    assert rows(found, "start", "end", "skill") == [(0, 5, "word7"), (10, 22, "word9999"), (14, 22, "word9999")]
+
+
+def test_job_options_and_side_tables(spark, small_lexicon, tmp_path, shared_folder):
+    df = spark.createDataFrame(
+        [(i, ["python", "sql"] if i % 2 else ["python"], "python", 1, "T", "Pune") for i in range(30)],
+        "job_id int, skills array<string>, extracted_skills string, num_skills int, title string, location_normalized string",
+    )
+    tables = plans.cooccurrence_job(df, str(tmp_path / "o"), min_confidence=0.9, matrix="wide")
+    assert tables["associations"].count() == 1 and tables["cooccurrence_wide"].columns == ["skill1", "python", "sql"]
+    assert plans.cooccurrence_job(df, str(tmp_path / "s"))["cooccurrence"].columns == ["skill1", "skill2", "cooccurrence_count"]
+    cleaned = spark.createDataFrame([(1, "python and sql"), (2, "python")], "job_id int, description_clean string")
+    jobs = plans.extract_job(cleaned, small_lexicon, str(tmp_path / "e"), top_flags=1)
+    assert [c for c in jobs.columns if c.startswith("has_")] == ["has_python"]
+    for name in ("skill_statistics", "skills_by_category", "jobs_main"):
+        assert spark.read.parquet(str(tmp_path / "e" / name)).count() > 0
+    import glob
+
+    assert not glob.glob(f"{shared_folder}/job-*")
