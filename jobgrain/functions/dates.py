@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,18 +43,24 @@ def add_date_parts(df: DataFrame, day: str = "posted_date_parsed") -> DataFrame:
     )
 
 
-def valid_date_range(start: str, end: str) -> bool:
-    """Both bounds are ISO dates and in order."""
+def _day(text: str, fmt: str) -> date:
+    return datetime.strptime(text, fmt).date()
+
+
+def valid_date_range(start: str, end: str, fmt: str = "%Y-%m-%d") -> bool:
+    """Both bounds are dates in the format and in order."""
     try:
-        return date.fromisoformat(start) <= date.fromisoformat(end)
+        return _day(start, fmt) <= _day(end, fmt)
     except ValueError:
         return False
 
 
-def within_dates(df: DataFrame, day: str, start: str = STUDY_START, end: str = STUDY_END) -> DataFrame:
+def within_dates(
+    df: DataFrame, day: str, start: str = STUDY_START, end: str = STUDY_END, fmt: str = "%Y-%m-%d"
+) -> DataFrame:
     """Rows between two dates, both inclusive. The bounds are checked before anything is read."""
-    if not valid_date_range(start, end):
+    if not valid_date_range(start, end, fmt):
         raise ValueError(f"bad date range: {start} .. {end}")
     # A half-open range on the column itself reaches the scan as a pushed filter, for dates and timestamps alike.
-    first, after = F.lit(start).cast("date"), F.date_add(F.lit(end).cast("date"), 1)
+    first, after = F.lit(_day(start, fmt)), F.date_add(F.lit(_day(end, fmt)), 1)
     return df.filter((F.col(day) >= first) & (F.col(day) < after))
