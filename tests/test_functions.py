@@ -104,10 +104,12 @@ def test_hash_split_is_stable(spark):
 
 def test_row_numbers(spark):
     df = spark.range(0, 1000, 1, 7).withColumn("k", (F.col("id") * 7919) % 1000)
-    plain = with_row_number(df, "n")
+    plain = with_row_number(df, "n", [F.col("id")])
     assert rows(plain.select("n")) == sorted(((i,) for i in range(1, 1001)), key=str)
     assert plain.filter("n != id + 1").isEmpty()
     assert with_row_number(df, "n", [F.col("k")]).filter("n != k + 1").isEmpty()
+    with pytest.raises(ValueError, match="order_by"):
+        with_row_number(df, "n", [])
 
 
 @pytest.mark.parametrize("shape", ["uniform", "hot", "tail", "constant", "single"])
