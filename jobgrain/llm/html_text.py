@@ -6,7 +6,8 @@ in the context of the whole page; the blocks labelled as article are joined in p
 
 Nobody has labelled pages by hand, so the network is fitted on at most ``SAMPLE`` pages whose own markup tells (an article
 or main element, less what it marks as navigation, adverts, comments and the like), varied with inserted boilerplate and
-other names for the container. Fitting is bounded and on the driver; every page is labelled whole, in its task.
+other names for the container. Fitting is bounded (``SAMPLE`` pages and ``SHOWN`` blocks of each) and on the driver; every page is labelled whole, in its
+task.
 
 Defined cases: a null or empty page has the empty text; white space includes the no-break space; markup without an end is
 read as markup to the end of the page; an unclosed script hides the rest; a page of any number of blocks is labelled as one
@@ -29,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: Dimensions of the path and word vectors, LSTM units each way, pages to learn from, passes, blocks projected at once.
-PATH_DIM, WORD_DIM, UNITS, SAMPLE, EPOCHS, SLAB = 96, 24, 16, 160, 12, 4096
-#: Least steps of fitting; few pages get more passes.
-STEPS = 200
+PATH_DIM, WORD_DIM, UNITS, SAMPLE, EPOCHS, SLAB = 96, 24, 16, 160, 20, 4096
+#: Least steps of fitting (few pages get more passes), and blocks of a page shown in fitting.
+STEPS, SHOWN = 200, 2000
 INPUTS = PATH_DIM + WORD_DIM + 3
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -178,10 +179,10 @@ def features(blocks: list[Leaf]) -> np.ndarray:
                 at, sign = _spot(word, PATH_DIM)
                 row[at] += sign
         words = leaf.text.lower().split()
-        for word in words[:200]:
+        for word in words:
             at, sign = _spot(word[:32], WORD_DIM)
             row[PATH_DIM + at] += sign
-        row[PATH_DIM : PATH_DIM + WORD_DIM] /= max(len(words[:200]), 1) ** 0.5
+        row[PATH_DIM : PATH_DIM + WORD_DIM] /= max(len(words), 1) ** 0.5
         size = len(leaf.text)
         row[-3:] = np.log1p(size) / 4, leaf.linked / size, 20 * sum(map(leaf.text.count, ".,;:!?")) / size
     return table
@@ -264,7 +265,7 @@ def _varied(blocks: list[Leaf], labels: list[bool], rng: np.random.Generator) ->
 def fit(pages: list[list[Leaf]], epochs: int = EPOCHS, batch: int = 10, seed: int = 3) -> Labeller | None:
     """Adam on the cross entropy through time; None without a page whose markup tells."""
     told = [(p, [rule_label(x) for x in p]) for p in pages]
-    told = [(p[:2000], y[:2000]) for p, y in told if any(y)]
+    told = [(p[:SHOWN], y[:SHOWN]) for p, y in told if any(y)]
     if not told:
         return None
     rng, u = np.random.default_rng(seed), UNITS
