@@ -24,36 +24,88 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobgrain.llm.pretokens import BoundedCache
-
-#: Words of a window and of a shingle, words of a block of items, words in a worker's cache.
-WINDOW, SHINGLE, BLOCK, CACHE = 13, 3, 2_000_000, 400_000
-#: Fixed value: what a word is, once A-Z are in lower case.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Words of a window and of a shingle, words of a block of items, bytes read at once.
+WINDOW, SHINGLE, BLOCK, SLAB = 13, 3, 2_000_000, 1 << 18
+#: Fixed value: what a word is, once A-Z are in lower case: digits, letters and whatever lies above ASCII.
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def words_of(text: str) -> list[str]:
-    return [w.translate(_LOWER) for w in WORD.findall(text)]
-
-
-def shingles(ids: np.ndarray, size: int) -> np.ndarray:
-    """A number for every run of ``size`` word numbers; runs with an unknown word (0) get 0. Equal runs are equal numbers."""
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_LETTER = np.zeros(256, np.int8)
+for _range in (range(ord("0"), ord("9") + 1), range(ord("a"), ord("z") + 1), range(0x80, 0x100)):
+    _LETTER[_range] = 1
+_POWERS: list[np.ndarray] = []
+
+
+def words_of(text: str) -> list[bytes]:
+    return WORD.findall(text.encode().lower())
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64."""
+    if not _POWERS or len(_POWERS[0]) < size:
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, x)))) for x in (_BASE, inverse)]
+    return _POWERS[0], _POWERS[1]
+
+
+def _slab_codes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each word of some bytes in lower case, equal for equal words, and where the words start and end."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = _LETTER[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _powers(max(len(data), SLAB) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * power[: len(data)], out=sums[1:])
+    codes = (sums[ends] - sums[starts]) * inverse[starts]
+    codes ^= codes >> np.uint64(31)
+    codes *= _MIX
+    return codes, starts, ends
+
+
+def word_codes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Numbers, starts and ends of all words and the bytes they lie in; long texts are read in slabs that cut no word."""
+    data = (text or "").encode().lower()
+    array, at, parts = np.frombuffer(data, np.uint8), 0, []
+    while at < len(array):
+        end = min(at + SLAB, len(array))
+        if end < len(array):
+            gaps = np.flatnonzero(_LETTER[array[at:end]] == 0)
+            if len(gaps):
+                end = at + int(gaps[-1]) + 1
+            else:  # one word beyond the slab
+                following = WORD.match(data, at)
+                end = following.end()
+        codes, starts, ends = _slab_codes(array[at:end])
+        parts.append((codes, starts + at, ends + at))
+        at = end
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), data
+    return *(np.concatenate(x) for x in zip(*parts)), data
+
+
+def _mixed(code: np.ndarray, word: np.ndarray) -> np.ndarray:
+    code = (code + word.astype(np.uint64)) * _MIX
+    return code ^ code >> np.uint64(29)
+
+
+def shingles(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and numbers of the runs of ``size`` known words. Equal runs have equal numbers."""
     n = max(len(ids) - size + 1, 0)
-    code, known = np.full(n, size, np.uint64), np.ones(n, bool)
+    known = ids[:n] > 0
+    for k in range(1, size):
+        known &= ids[k : k + n] > 0
+    places = np.flatnonzero(known)
+    code = np.full(len(places), size, np.uint64)
     for k in range(size):
-        part = ids[k : k + n]
-        code = (code + part.astype(np.uint64)) * _MIX
-        code ^= code >> np.uint64(29)
-        known &= part > 0
-    return np.where(known, np.maximum(code, 1), 0)
+        code = _mixed(code, ids[places + k])
+    return places, code
 
 
 class Windows(NamedTuple):
     """The distinct windows of a block of items."""
 
-    vocabulary: dict[str, int]
+    vocabulary: dict[bytes, int]
     words: np.ndarray  # one row for each window, padded with -1
     lengths: np.ndarray
     items: list[tuple[str, ...]]  # the items each window belongs to
@@ -78,12 +130,14 @@ class Windows(NamedTuple):
 
 def _columns(rows: np.ndarray, size: int) -> np.ndarray:
     """``shingles`` of rows that are one shingle each."""
-    flat = shingles(rows.reshape(-1), size)
-    return flat[::size]
+    code = np.full(len(rows), size, np.uint64)
+    for k in range(size):
+        code = _mixed(code, rows[:, k])
+    return code
 
 
 def windows_of(items: list[tuple[str, str]], length: int = WINDOW) -> Windows:
-    vocabulary: dict[str, int] = {}
+    vocabulary: dict[bytes, int] = {}
     held: dict[tuple[int, ...], set[str]] = {}
     for name, text in items:
         ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
@@ -96,14 +150,33 @@ def windows_of(items: list[tuple[str, str]], length: int = WINDOW) -> Windows:
 
 
 class Reader:
-    """Word numbers of a text under a block's vocabulary."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        self._known = BoundedCache(lambda w: vocabulary.get(w.translate(_LOWER), 0), CACHE)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        found = WORD.findall(text or "")
-        return np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))
+    """Word numbers of a text under a block's vocabulary; unknown words are 0."""
+
+    def __init__(self, vocabulary: dict[bytes, int]):
+        self.names = [b"", *vocabulary]
+        codes = word_codes(b" ".join(vocabulary).decode())[0]
+        order = np.argsort(codes, kind="stable")
+        self._codes, self._numbers = codes[order], order + 1
+        if len(np.unique(codes)) < len(vocabulary):
+            raise ValueError("two words of the benchmark have one number; choose another base")
+        self._first = np.zeros(1 << 16, bool)
+        self._first[(codes >> np.uint64(48)).astype(np.int64)] = True
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, tuple]:
+        """Numbers, and what ``same`` needs to compare the words themselves."""
+        codes, starts, ends, data = word_codes(text)
+        ids = np.zeros(len(codes), np.int64)
+        if len(self._codes):
+            likely = np.flatnonzero(self._first[(codes >> np.uint64(48)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self._codes, codes[likely]), len(self._codes) - 1)
+            equal = self._codes[at] == codes[likely]
+            ids[likely[equal]] = self._numbers[at[equal]]
+        return ids, (starts, ends, data)
+
+    def same(self, place: tuple, start: int, window: np.ndarray) -> bool:
+        """Whether the words from ``start`` on are those of the window, by their letters."""
+        starts, ends, data = place
+        return all(data[starts[start + k] : ends[start + k]] == self.names[w] for k, w in enumerate(window))
 
 
 def shingle_counts(docs: DataFrame, text: str, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
@@ -118,13 +191,13 @@ def shingle_counts(docs: DataFrame, text: str, windows: Windows) -> tuple[np.nda
         read, counts = Reader(vocabulary), np.zeros(len(table), np.int64)
         for batch in batches:
             for value in batch.column(0):
-                ids = read(value.as_py())
+                ids, _ = read(value.as_py())
                 for size in sizes:
-                    code = shingles(ids, size)
-                    code = code[code > 0]
-                    at = np.searchsorted(table, code)
-                    at = at[table[np.minimum(at, len(table) - 1)] == code]
-                    np.add.at(counts, at, 1)
+                    code = shingles(ids, size)[1]
+                    at = np.minimum(np.searchsorted(table, code), len(table) - 1)
+                    at = at[table[at] == code]
+                    if len(at):
+                        np.add.at(counts, at, 1)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["at", "n"])
 
@@ -161,10 +234,9 @@ def occurrences(ids: np.ndarray, windows: Windows, index: Prefixes) -> tuple[np.
     """Start and window of every occurrence in one document."""
     starts, found = [], []
     for size in index.sizes:
-        code = shingles(ids, size)
-        place = np.flatnonzero(code)
-        at = np.minimum(np.searchsorted(index.codes, code[place]), len(index.codes) - 1)
-        same = index.codes[at] == code[place]
+        place, code = shingles(ids, size)
+        at = np.minimum(np.searchsorted(index.codes, code), len(index.codes) - 1)
+        same = index.codes[at] == code
         place, at = place[same], at[same]
         many = index.first[at + 1] - index.first[at]
         rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -212,8 +284,10 @@ def _match(docs: DataFrame, windows: Windows, index: Prefixes) -> DataFrame:
         for batch in batches:
             counts, hit_counts, hits, items = [], [], [], []
             for value, seen, named in zip(batch.column("text"), batch.column("hits"), batch.column("items")):
-                ids = read(value.as_py())
+                ids, place = read(value.as_py())
                 start, found = occurrences(ids, windows, index) if len(index.codes) else (np.zeros(0, np.int64),) * 2
+                true = [read.same(place, a, windows.words[w, : windows.lengths[w]]) for a, w in zip(start.tolist(), found.tolist())]
+                start, found = start[np.array(true, bool)], found[np.array(true, bool)]
                 edge = np.zeros(len(ids) + 1, np.int64)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + windows.lengths[found], -1)
