@@ -134,14 +134,15 @@ class LibraryCodec:
             raise ValueError(f"ids need more than {BITS} bits")
         self._special = pretokens.special_tokens(path)
         self._chunks = pretokens.BoundedCache(self._chunk, CACHE)
+        self._words = pretokens.BoundedCache(self._word, CACHE)
+
+    def _word(self, word: str) -> bytes:
+        return np.array([t.id for t in self._tokenizer.model.tokenize(pretokens.as_symbols(word))], "<u2").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if "<|" in chunk or pretokens.UNPLAIN.search(chunk):
-            ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
-        else:
-            model = self._tokenizer.model
-            ids = [t.id for w in pretokens.words_of(chunk.lower()) for t in model.tokenize(pretokens.as_symbols(w))]
-        return np.array(ids, "<u2").tobytes()
+            return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
+        return b"".join(map(self._words.__getitem__, pretokens.words_of(chunk.lower())))
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self._chunks.__getitem__, pretokens.white_split(text)))
