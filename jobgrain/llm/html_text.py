@@ -1,8 +1,9 @@
 """Main text of web pages by a recurrent block labeller in numpy.
 
-A page is read as its sequence of leaf blocks: runs of text between block-level tags, each with the path of open tags and
-their class, id and role words. Hashed vectors of path and words go through a bidirectional LSTM, so every block is judged
-in the context of the whole page; the blocks labelled as article are joined in page order.
+A page is read as its sequence of leaf blocks: runs of text between block-level tags, each with the whole path of open
+tags and their class, id and role words. Hashed vectors of path and words go through a bidirectional LSTM, so every block
+is judged in the context of the whole page; the blocks labelled as article are joined in page order. The vector of the path
+is updated at every open and close, so a tag costs the same at any depth.
 
 Nobody has labelled pages by hand, so the network is fitted on at most ``SAMPLE`` pages whose own markup tells (an article
 or main element, less what it marks as navigation, adverts, comments and the like), varied with inserted boilerplate and
@@ -12,7 +13,7 @@ task.
 Defined cases: a null or empty page has the empty text; white space includes the no-break space; markup without an end is
 read as markup to the end of the page; an unclosed script hides the rest; a page of any number of blocks is labelled as one
 sequence; without a page to learn from the markup rule itself decides; repeated rows and null ids keep their rows; further
-columns are not read.
+columns are not read; each word of a path counts once, however many of the open tags have it and however deep they are.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import html
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -34,6 +35,8 @@ PATH_DIM, WORD_DIM, UNITS, SAMPLE, EPOCHS, SLAB = 96, 24, 16, 160, 20, 4096
 #: Least steps of fitting (few pages get more passes), and blocks of a page shown in fitting.
 STEPS, SHOWN = 200, 2000
 INPUTS = PATH_DIM + WORD_DIM + 3
+#: Words without a meaning to the markup rule that a path shows at full weight; the weights of more are scaled to the norm of so many.
+PLAIN = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template iframe svg math object canvas".split())
@@ -57,13 +60,74 @@ BOILERPLATE = frozenset(
 
 
 class Leaf(NamedTuple):
-    """One block: the words of its tag path, its text, and the characters of it that are link text."""
+    """One block: the vector of its tag path, whether an article element is open, whether the markup says that the block
+    belongs to the article, its text, and the characters of it that are link text."""
 
-    path: tuple[str, ...]
+    path: np.ndarray
+    named: bool
+    told: bool
     text: str
     linked: int
 
 
+@lru_cache(maxsize=100_000)
+def _spot(word: str, size: int) -> tuple[int, float]:
+    code = zlib.crc32(word.encode())
+    return code % size, 1.0 if code >> 31 else -1.0
+
+
+def _with_values(words: Iterable[str]) -> set[str]:
+    """The words, and those of attributes without their attribute too."""
+    return {x for w in words for x in (w, w.rpartition("=")[2])}
+
+
+def _path_vector(words: Iterable[str]) -> np.ndarray:
+    vector = np.zeros(PATH_DIM, np.float32)
+    for word in _with_values(words):
+        at, sign = _spot(word, PATH_DIM)
+        vector[at] += sign
+    return vector
+
+
+class Path:
+    """The distinct words of all open tags as a vector."""
+
+    def __init__(self) -> None:
+        self._times: Counter = Counter()
+        self._telling, self._plain, self._many = np.zeros(PATH_DIM), np.zeros(PATH_DIM), 0
+        self._article = self._boilerplate = 0
+
+    def open(self, words: set[str]) -> None:
+        for word in words:
+            self._times[word] += 1
+            if self._times[word] == 1:
+                self._turn(word, 1)
+
+    def close(self, words: set[str]) -> None:
+        for word in words:
+            self._times[word] -= 1
+            if not self._times[word]:
+                del self._times[word]
+                self._turn(word, -1)
+
+    def _turn(self, word: str, by: int) -> None:
+        (at, sign), value = _spot(word, PATH_DIM), word.rpartition("=")[2]
+        article, boilerplate = value in ARTICLE, value in BOILERPLATE
+        self._article += by * article
+        self._boilerplate += by * boilerplate
+        if article or boilerplate:
+            self._telling[at] += by * sign
+        else:
+            self._plain[at] += by * sign
+            self._many += by
+
+    def vector(self) -> np.ndarray:
+        return (self._telling + self._plain / max(1, self._many / PLAIN) ** 0.5).astype(np.float32)
+
+    def told(self) -> bool:
+        return self._article > 0 and not self._boilerplate
+
+
 def _tag_end(page: str, at: int) -> int:
     """Place of the ``>`` that ends a tag, past quoted values; -1 when there is none."""
     while found := _STOP.search(page, at):
@@ -77,17 +141,19 @@ def _tag_end(page: str, at: int) -> int:
 
 def leaves(page: str) -> list[Leaf]:
     """The blocks of a page in order."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, set[str]]] = []
+    tags, known = Path(), {}
     opened: Counter = Counter()
     found: list[Leaf] = []
     parts: list[str] = []
     linked, at, size, quotes = 0, 0, len(page), True
-    path: tuple[str, ...] = ()
+    place: tuple[np.ndarray, bool, bool] = tags.vector(), False, False
 
     def close(name: str) -> None:
         while opened[name]:
-            top = stack.pop()[0]
+            top, words = stack.pop()
             opened[top] -= 1
+            tags.close(words)
             if top == name:
                 return
 
@@ -95,15 +161,16 @@ def leaves(page: str) -> list[Leaf]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            found.append(Leaf(path, text, linked))
+            found.append(Leaf(*place, text, linked))
         parts.clear()
         linked = 0
 
     def say(text: str) -> None:
-        nonlocal path, linked
+        nonlocal place, linked
         if text and (parts or not text.isspace()):
             if not parts:
-                path = tuple(w for _, words in stack[-24:] for w in words)
+                path = tags.vector()
+                place = known.setdefault(path.tobytes(), path), opened["article"] > 0, tags.told()
             parts.append(text)
             linked += len(text) * bool(opened["a"])
 
@@ -152,32 +219,23 @@ def leaves(page: str) -> list[Leaf]:
             words = [name]
             for kind, value in _ATTRIBUTE.findall(tag):
                 words += [f"{kind.lower()}={w}" for w in re.split(r"[\s_-]+", value.strip("\"'").lower()) if w]
-            stack.append((name, tuple(words[:12])))
+            stack.append((name, _with_values(words[:12])))
             opened[name] += 1
+            tags.open(stack[-1][1])
     flush()
     return found
 
 
 def rule_label(leaf: Leaf) -> bool:
     """Whether the markup says that the block belongs to the article."""
-    words = {w.rpartition("=")[2] for w in leaf.path}
-    return bool(words & ARTICLE) and not words & BOILERPLATE
-
-
-@lru_cache(maxsize=100_000)
-def _spot(word: str, size: int) -> tuple[int, float]:
-    code = zlib.crc32(word.encode())
-    return code % size, 1.0 if code >> 31 else -1.0
+    return leaf.told
 
 
 def features(blocks: list[Leaf]) -> np.ndarray:
     """Hashed path and word vectors, length, share of link text and share of sentence marks."""
     table = np.zeros((len(blocks), INPUTS), np.float32)
     for row, leaf in zip(table, blocks):
-        for depth in leaf.path:
-            for word in {depth, depth.rpartition("=")[2]}:
-                at, sign = _spot(word, PATH_DIM)
-                row[at] += sign
+        row[:PATH_DIM] = leaf.path
         words = leaf.text.lower().split()
         for word in words:
             at, sign = _spot(word[:32], WORD_DIM)
@@ -237,27 +295,33 @@ def scores(net: Labeller, pages: list[list[Leaf]]) -> list[np.ndarray]:
 
 
 def _varied(blocks: list[Leaf], labels: list[bool], rng: np.random.Generator) -> tuple[list[Leaf], list[bool]]:
-    """The page with boilerplate put in and, at times, another name for the article's container."""
+    """The page with boilerplate put in and, at times, another name for the article's container and unknown wrappers."""
     names = [("main",), ("div", "class=content"), ("div", "id=content"), ("section", "class=post", "class=body"), ("div", "class=article", "class=text")]
     extra = ["nav", "aside", "footer", "header", "form", "class=comments", "class=comment", "class=sidebar", "class=notice", "class=ad",
              "class=cookie", "class=promo", "class=related", "class=banner", "id=comments", "id=sidebar", "class=newsletter", "class=share"]
     name = names[rng.integers(len(names))] if rng.random() < 0.4 else None
+    wrapped, wrapper = rng.random(), np.zeros(PATH_DIM, np.float32)
+    if wrapped < 0.5:
+        np.add.at(wrapper, rng.integers(PATH_DIM, size=rng.integers(1, PLAIN + 1)), 1)
+        wrapper *= rng.choice([-1, 1], PATH_DIM)
     out, marks = [], []
     texts = [b.text for b in blocks]
     for leaf, label in zip(blocks, labels):
         path = leaf.path
-        if name and "article" in path:
-            at = path.index("article")
-            path = (*path[:at], *name, *path[at + 1 :])
+        if name and leaf.named:
+            path = path - _path_vector(["article"]) + _path_vector(name)
+        if leaf.named or wrapped < 0.15:
+            path = path + wrapper
         out.append(leaf._replace(path=path))
         marks.append(label)
         if rng.random() < 0.12:
             kind = extra[rng.integers(len(extra))]
-            inside = path if rng.random() < 0.5 else ("html", "body")
+            inside = path if rng.random() < 0.5 else _path_vector(("html", "body"))
             words = ("div", kind) if "=" in kind else (kind,)
             text = texts[rng.integers(len(texts))]
             for _ in range(rng.integers(1, 4)):
-                out.append(Leaf((*inside, *words, *(("p",) if rng.random() < 0.6 else ("ul", "li"))), text, 0))
+                own = _path_vector((*words, *(("p",) if rng.random() < 0.6 else ("ul", "li"))))
+                out.append(Leaf(inside + own + wrapper * rng.integers(2), False, False, text, 0))
                 marks.append(False)
     return out, marks
 

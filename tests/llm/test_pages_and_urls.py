@@ -30,6 +30,21 @@ def test_broken_markup(page):
     html_text.leaves(page)
 
 
+@pytest.fixture(scope="module")
+def labellers():
+    """The markup rule, and a network fitted on it."""
+    return None, html_text.fit([html_text.leaves(PAGE.replace("First", f"First{i}")) for i in range(12)])
+
+
+@pytest.mark.parametrize("depth", [1, 30, 300])
+@pytest.mark.parametrize("wrap", ["<div>", "<b>", "<div class='row c{0}' id='e-{0}'>"])
+def test_containers_far_above_their_text(labellers, depth, wrap):
+    deep = "".join(wrap.format(i) for i in range(depth))
+    pages = [PAGE.replace("<article>", f"<article>{deep}"), PAGE.replace("</article>", f"<div class='comments'>{deep}<p>I agree.</p></article>")]
+    for net in labellers:
+        assert html_text.main_text(net, pages) == [TEXT, TEXT]
+
+
 def test_gradients_are_right():
     pages = [html_text.leaves(PAGE), html_text.leaves(PAGE)[:5]]
     told = [(p, [html_text.rule_label(x) for x in p]) for p in pages]
