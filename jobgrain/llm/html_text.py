@@ -13,7 +13,8 @@ task.
 Defined cases: a null or empty page has the empty text; white space includes the no-break space; markup without an end is
 read as markup to the end of the page; an unclosed script hides the rest; a page of any number of blocks is labelled as one
 sequence; without a page to learn from the markup rule itself decides; repeated rows and null ids keep their rows; further
-columns are not read; each word of a path counts once, however many of the open tags have it and however deep they are.
+columns are not read; all class, id and role words of a tag are
+read; each word of a path counts once, however many of the open tags have it and however deep they are.
 """
 
 from __future__ import annotations
@@ -219,7 +220,7 @@ def leaves(page: str) -> list[Leaf]:
             words = [name]
             for kind, value in _ATTRIBUTE.findall(tag):
                 words += [f"{kind.lower()}={w}" for w in re.split(r"[\s_-]+", value.strip("\"'").lower()) if w]
-            stack.append((name, _with_values(words[:12])))
+            stack.append((name, _with_values(words)))
             opened[name] += 1
             tags.open(stack[-1][1])
     flush()

@@ -45,6 +45,17 @@ def test_containers_far_above_their_text(labellers, depth, wrap):
         assert html_text.main_text(net, pages) == [TEXT, TEXT]
 
 
+@pytest.mark.parametrize("told", ["id='sidebar'", "role=banner", "class='{0} comments'"])
+def test_all_words_of_a_tag_count(labellers, told):
+    grid = "col-xs-12 col-sm-4 col-md-4 col-lg-4"
+    tag = f"<div {told.format(grid)}>" if "{0}" in told else f"<div class='{grid}' {told}>"
+    page = PAGE.replace("</article>", f"{tag}<p>I agree.</div></article>")
+    for net in labellers:
+        assert html_text.main_text(net, [page]) == [TEXT]
+    article = PAGE.replace("<article>", f"<div class='{grid}' role='article'>").replace("</article>", "</div>")
+    assert html_text.main_text(None, [article]) == [TEXT]
+
+
 def test_gradients_are_right():
     pages = [html_text.leaves(PAGE), html_text.leaves(PAGE)[:5]]
     told = [(p, [html_text.rule_label(x) for x in p]) for p in pages]
