@@ -11,7 +11,9 @@ other names for the container. Fitting is bounded (``SAMPLE`` pages and ``SHOWN`
 task.
 
 Defined cases: a null or empty page has the empty text; white space includes the no-break space; markup without an end is
-read as markup to the end of the page; an unclosed script hides the rest; a page of any number of blocks is labelled as one
+read as markup to the end of the page; script, style, iframe, template and svg are not read, all other elements are (math,
+object, canvas and noscript as inline text); an unclosed script, style or iframe hides the rest, an unclosed template or svg
+hides what is left of its parent; a page of any number of blocks is labelled as one
 sequence; without a page to learn from the markup rule itself decides; repeated rows and null ids keep their rows; further
 columns are not read; all class, id and role words of a tag are
 read; each word of a path counts once, however many of the open tags have it and however deep they are.
@@ -40,7 +42,8 @@ INPUTS = PATH_DIM + WORD_DIM + 3
 PLAIN = 8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe svg math object canvas".split())
+#: Elements that are not shown: raw text up to their own end tag, and markup.
+RAW, HIDDEN = frozenset("script style iframe".split()), frozenset("template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body br button caption dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td "
@@ -158,6 +161,9 @@ def leaves(page: str) -> list[Leaf]:
             if top == name:
                 return
 
+    def hidden() -> bool:
+        return any(opened[x] for x in HIDDEN)
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
@@ -168,7 +174,7 @@ def leaves(page: str) -> list[Leaf]:
 
     def say(text: str) -> None:
         nonlocal place, linked
-        if text and (parts or not text.isspace()):
+        if text and not hidden() and (parts or not text.isspace()):
             if not parts:
                 path = tags.vector()
                 place = known.setdefault(path.tobytes(), path), opened["article"] > 0, tags.told()
@@ -202,17 +208,18 @@ def leaves(page: str) -> list[Leaf]:
         tag, at = page[start + 1 : end], end + 1
         closing = tag[0] == "/"
         name = re.match(r"/?([^\s/>]*)", tag).group(1).lower()
-        if name in HIDDEN:
+        if name in RAW:
             if not closing and not tag.endswith("/"):
                 after = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
                 at = after.end() if after else size
             continue
-        if name in BLOCK:
-            flush()
         if closing:
             close(name)
+        if name in BLOCK and not hidden():
+            flush()
+        if closing:
             continue
-        if name in ENDS_P:
+        if name in ENDS_P and not hidden():
             close("p")
         if name in ENDS_OWN and stack and stack[-1][0] == name:
             close(name)

@@ -56,6 +56,20 @@ def test_all_words_of_a_tag_count(labellers, told):
     assert html_text.main_text(None, [article]) == [TEXT]
 
 
+@pytest.mark.parametrize(
+    "inner, want",
+    [
+        ("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.", "So x=2 holds."), ("<object data='a'>No player.</object>", "No player."),
+        ("<canvas>A chart.</canvas><noscript><p>A picture.</noscript>", "A chart. A picture."), ("<p>a<math>b</p><p>c", "ab c"),
+        ("<p>E<svg><title>Icon</title><text>no</text></svg>mc.<template><p>not<div>this</div></template>", "Emc."),
+        ("<div><svg><path></div><p>Next.", "Next."), ("<div><template><p>no</div><p>Next.", "Next."), ("<svg><svg></svg>no</svg>yes", "yes"),
+        ("<svg><style></svg></style><p>no</p></svg>yes", "yes"), ("<iframe><p>no</iframe>yes<script>no", "yes"),
+    ],
+)
+def test_only_what_is_not_shown_is_skipped(inner, want):
+    assert html_text.main_text(None, [f"<html><body><nav>Menu</nav><article>{inner}</article>"]) == [want]
+
+
 def test_gradients_are_right():
     pages = [html_text.leaves(PAGE), html_text.leaves(PAGE)[:5]]
     told = [(p, [html_text.rule_label(x) for x in p]) for p in pages]
