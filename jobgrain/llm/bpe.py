@@ -10,7 +10,7 @@ So the state is one window of text, one open pre-token and at most ``block + loo
 The list must be proper (each rule's sides are single symbols or made by earlier rules); others are refused.
 
 Defined cases: a null text counts as empty: no ids, and it decodes to the empty text; texts of any length are read in
-windows; ids that the file does not know are skipped in decoding, as the library does; repeated rows keep their rows.
+windows, and a window grows over a run of combining characters that is longer, which normal form C takes whole; ids that the file does not know are skipped in decoding, as the library does; repeated rows keep their rows.
 """
 
 from __future__ import annotations
@@ -198,12 +198,20 @@ class StreamEncoder:
             at = end
 
     def _cut(self, text: str, at: int, end: int) -> int:
-        """The end of a window of a long run: not inside a special string, a combination or a contraction."""
-        cut = min(end, at + self._window)
+        """The end of a window of a long run: not inside a special string, a combination or a contraction.
+
+        A combination longer than a window is held whole.
+        """
+        whole = cut = min(end, at + self._window)
         if cut == end:
             return end
         while at + 1 < cut and _joins_back(text[cut]):
             cut -= 1
+        if _joins_back(text[cut]):
+            cut = whole
+            while cut < end and _joins_back(text[cut]):
+                cut += 1
+            return cut
         safe = cut
         while at + 1 < safe and "'" in text[max(at, safe - 2) : safe]:
             safe -= 1

@@ -31,6 +31,12 @@ def test_stream_encoder_is_the_library(word_path, word_tokenizer):
             assert np.frombuffer(b"".join(encoder.encode(text)), encoder.kind).tolist() == ids, text
 
 
+@pytest.mark.parametrize("text", ["e" + "\u0301" * 60 + "nd", "x" * 20 + "e" + "\u0316" * 30 + "\u0301" * 30, "ab\u0301" * 9 + "a" + "\u0301" * 24 + "<|endoftext|>b", "\u0301" * 70])
+def test_marks_longer_than_a_window(word_path, word_tokenizer, text):
+    encoder = bpe.StreamEncoder(word_path, window=24, cache=50)
+    assert np.frombuffer(b"".join(encoder.encode(text)), encoder.kind).tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_transducer_emits_only_stable_ids(word_path, word_tokenizer):
     merges, rng = bpe.Merges(word_path), random.Random(2)
     assert 32 <= merges.lookahead < 2000
