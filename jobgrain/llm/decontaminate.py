@@ -6,8 +6,9 @@ shingles of the windows in every document, windows whose rarest shingle never oc
 documents with the others on that shingle alone. The place of the shingle fixes where the window would have to start; the
 bounds of the document and then all words are checked.
 
-The items are taken in blocks of ``BLOCK`` words, each broadcast with that bound and run against all rows, so any size of
-benchmark works. No row leaves its task but the counts of the blocks' shingles.
+The items are taken in blocks of at most ``BLOCK`` words, an item beyond that in parts that share all windows across their
+seams. One block at a time is in the driver, which builds its windows; it is broadcast and run against all rows. No row of
+the documents leaves its task but the counts of the blocks' shingles.
 
 Defined cases: a null or empty text has no words and is never contaminated; items without words have no window; items
 under one id count as one item; a null item id stands as the empty string; repeated rows and null ids keep their rows; an
@@ -17,7 +18,9 @@ empty benchmark contaminates nothing; further columns are not read by ``find_pas
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -28,6 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 WINDOW, SHINGLE, BLOCK, SLAB = 13, 3, 2_000_000, 1 << 18
 #: Fixed value: what a word is, once A-Z are in lower case: digits, letters and whatever lies above ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORD_OF_TEXT = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _LETTER = np.zeros(256, np.int8)
@@ -257,19 +261,34 @@ def occurrences(ids: np.ndarray, windows: Windows, index: Prefixes) -> tuple[np.
 
 
 def item_blocks(benchmark: DataFrame, key: str, text: str, most: int = BLOCK) -> Iterator[list[tuple[str, str]]]:
-    """The items a partition at a time, in blocks of about ``most`` words."""
+    """The items in blocks of at most ``most`` words, or of one window if that is more; one row is read ahead at most."""
     block, size = [], 0
     rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.coalesce(text, F.lit("")).alias("t"))
     for row in rows.toLocalIterator():
-        block.append((row["k"], row["t"]))
-        size += len(row["t"]) // 2
-        if size >= most:
-            yield block
-            block, size = [], 0
+        for part, words in _parts(row["t"], max(most, WINDOW)):
+            if block and size + words > most:
+                yield block
+                block, size = [], 0
+            block.append((row["k"], part))
+            size += words
     if block:
         yield block
 
 
+def _parts(text: str, most: int) -> Iterator[tuple[str, int]]:
+    """The text in parts of at most ``most`` words, ``WINDOW - 1`` of them shared with the part before, and their words."""
+    starts, first = deque(maxlen=WINDOW - 1), 0
+    count = 0
+    for word in _WORD_OF_TEXT.finditer(text):
+        if count == most:
+            yield text[first : word.start()], count
+            first, count = starts[0], len(starts)
+        starts.append(word.start())
+        count += 1
+    if count:
+        yield text[first:], count
+
+
 _STATE = "n_words long, n_hit long, hits binary, items array<string>"
 
 
@@ -312,7 +331,8 @@ def _search(rows: DataFrame, benchmark: DataFrame, item_key: str, item_text: str
     empty = [F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"),
              F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("items")]
     found = rows.select("*", *empty)
-    for items in [*item_blocks(benchmark, item_key, item_text, block)] or [[]]:
+    blocks = item_blocks(benchmark, item_key, item_text, block)
+    for items in chain([next(blocks, [])], blocks):
         windows = windows_of(items)
         found = _match(found, windows, prefixes(windows, *shingle_counts(rows, "text", windows)))
     return found

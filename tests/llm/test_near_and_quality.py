@@ -117,6 +117,20 @@ def test_passages_against_plain_python(spark, block):
     assert clean.columns == table.columns and clean.count() == sum(not e[-1] for e in expected)
 
 
+def test_long_items_are_cut_and_blocks_are_bounded(spark):
+    items = [(1, " ".join(f"w{i}é," for i in range(200))), (2, "one two"), (3, None), (4, " ".join(f"v{i}" for i in range(40)))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    blocks = [*decontaminate.item_blocks(benchmark, "item_id", "text", 40)]
+    assert max(sum(len(decontaminate.words_of(t)) for _, t in b) for b in blocks) <= 40
+
+    def windows(taken):
+        held = decontaminate.windows_of(taken)
+        names = [b"", *held.vocabulary]
+        return sorted((tuple(names[w] for w in row if w > 0), own) for row, own in zip(held.words.tolist(), held.items))
+
+    assert sorted(w for b in blocks for w in windows(b)) == windows([(str(k), t or "") for k, t in items])
+
+
 def test_passages_of_empty_tables(spark, odd_docs, no_docs):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_passages(odd_docs, nothing).filter("n_hit > 0 or contaminated").count() == 0
