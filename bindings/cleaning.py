@@ -75,7 +75,6 @@ def _dirty_dates(spark, sf):
     printed = F
     for i, (pattern, _) in enumerate(DATE_PRINTS):
         printed = printed.when(_key() % 7 == i, F.date_format("o_orderdate", pattern))
-    printed = printed.otherwise("not a date")
     return _orders(spark, sf).select(_key().alias("job_id"), printed.otherwise("not a date").alias("posted_date"))
 
 
@@ -133,7 +132,6 @@ def _raw_postings(spark, sf):
     printed = F
     for i, (pattern, _) in enumerate(DATE_PRINTS):
         printed = printed.when(_key() % 7 == i, F.date_format("o_orderdate", pattern))
-    printed = printed.otherwise("not a date")
     return _orders(spark, sf).select(
         _key().alias("job_id"),
         _pick(TITLES, F.col("o_orderpriority")).alias("title"),

@@ -34,9 +34,3 @@ def small_lexicon(spark):
         ("Teamwork", "Soft", "People", None),
     ]
     return spark.createDataFrame(rows, "skill_name string, category string, subcategory string, aliases string")
-
-
-def rows(df, *columns):
-    """Sorted tuples of a small result."""
-    names = columns or df.columns
-    return sorted((tuple(r[c] for c in names) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -9,13 +9,7 @@ import check_oracle
 DATA = Path("/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not DATA.exists(), reason="driver tables are not here")
 
-# One or two queries per family; check_oracle.py runs them all.
-SAMPLE = [
-    "assoc_filtered", "cooc_matrix", "pagerank", "growth_metrics", "anomalies", "trend_share", "geo_grouping_sets",
-    "skills_by_location", "preprocess", "import_mapped", "quality_report", "extract_hybrid", "skill_stats", "weak_labels",
-    "span_prf", "salary_boxplot", "hist_salary", "read_postings", "input_audit", "closeness", "betweenness", "network_metrics",
-    "skill_clusters", "trend_long", "pair_counts", "embed_topk", "tier_share",
-]
+OWN_SQL = {name: text for family in entry.OWN_FAMILIES for name, text in family.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +33,9 @@ def test_entry(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(OWN_SQL))
 def test_against_sql(spark, connection, name):
-    good, note = check_oracle.compare(spark, connection, str(DATA), name, entry.oracle_sql())
+    good, note = check_oracle.compare(spark, connection, str(DATA), name, OWN_SQL)
     assert good, note
 
 

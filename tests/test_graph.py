@@ -1,7 +1,7 @@
 import itertools
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from jobgrain.operators import communities, graph
 

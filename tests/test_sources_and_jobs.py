@@ -3,7 +3,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from jobgrain import session

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from helpers import rows
 
 from jobgrain.operators import trends
 
