@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, html_text, quality, simhash, token_counts, url_lists, wavelet
+from jobgrain.llm import blob_ledger, bpe, decontaminate, exact, html_text, lexical, pivot_index, quality, simhash, token_counts, url_lists, wavelet, whitening
 from jobgrain.session import shared_path
 
 
@@ -108,6 +108,21 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.copy_groups(_read(spark, folder, "documents"))
 
 
+def op11_similar_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.9."""
+    return pivot_index.similar_vectors(_read(spark, folder, "embeddings"))
+
+
+def op12_lexical_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.rank(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op13_whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The 16 leading whitened components of every vector."""
+    return whitening.whiten(_read(spark, folder, "embeddings"))
+
+
 def _span_sql() -> str:
     """Per rule: matches, the gaps between them, and positions as sums of their lengths."""
     parts = []
@@ -162,7 +177,32 @@ ORACLE = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id, r)""",
+    "op11_similar_vectors": """
+        WITH RECURSIVE v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+                   AND list_bool_or(list_transform(embedding, lambda x: x != 0)) THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+        l AS MATERIALIZED (SELECT a.r, b.r AS s FROM v a JOIN v b ON a.r != b.r AND len(a.e) = len(b.e)
+                           WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.9 END),
+        c(r, s) AS (SELECT r, r FROM v UNION SELECT c.r, l.s FROM c JOIN l ON c.s = l.r),
+        m AS (SELECT c.r, min(v.vec_id) AS component_id FROM c JOIN v ON c.s = v.r GROUP BY c.r),
+        n AS (SELECT r, count(*) AS n_links FROM l GROUP BY r)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM v JOIN m USING (r) LEFT JOIN n USING (r)""",
+    "op12_lexical_ranks": r"""
+        WITH t AS MATERIALIZED (SELECT r, unnest(regexp_extract_all(x, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (
+                 SELECT row_number() OVER () AS r, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)),
+        q AS MATERIALIZED (SELECT DISTINCT q, unnest(regexp_extract_all(x, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (
+                 SELECT row_number() OVER () AS q, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM benchmark)),
+        n AS (SELECT r, count(*) AS n FROM t GROUP BY r), s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM n),
+        f AS (SELECT r, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, docs),
+        i AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // len))) AS score FROM f JOIN n USING (r) JOIN w USING (term), s),
+        g AS (SELECT q, r, CAST(sum(score) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY q, r HAVING sum(score) > 0),
+        k AS (SELECT q, d.doc_id, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, d.doc_id NULLS LAST) AS INT) AS rank
+              FROM g JOIN (SELECT row_number() OVER () AS r, doc_id FROM documents) d USING (r))
+        SELECT item_id, rank, doc_id, score FROM k JOIN (SELECT row_number() OVER () AS q, item_id FROM benchmark) USING (q) WHERE rank <= 50""",
 }
 
 QUERIES = {"op1_wavelet_shards": op1_wavelet_shards, "op2_main_text": op2_main_text, "op3_url_lists": op3_url_lists, "op4_token_counts": op4_token_counts, "op5_simhash_groups": op5_simhash_groups, "op6_benchmark_passages": op6_benchmark_passages,
-    "op7_quality_scores": op7_quality_scores, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup}
+    "op7_quality_scores": op7_quality_scores, "op8_bpe_round_trip": op8_bpe_round_trip, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup,
+    "op11_similar_vectors": op11_similar_vectors, "op12_lexical_ranks": op12_lexical_ranks, "op13_whitened_vectors": op13_whitened_vectors}
