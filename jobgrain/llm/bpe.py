@@ -216,8 +216,9 @@ class StreamEncoder:
         while at + 1 < safe and "'" in text[max(at, safe - 2) : safe]:
             safe -= 1
         cut = safe if safe > at + 1 else cut
-        bracket = text.find("<", max(at + 1, cut - 15), cut)
-        return bracket if bracket > 0 else cut
+        longest = max(map(len, self.special), default=1)
+        crossing = (p for p in range(max(at + 1, cut - longest + 1), cut) if any(text.startswith(x, p) and p + len(x) > cut for x in self.special))
+        return next(crossing, cut)
 
     def _run(self, text: str, at: int, end: int) -> Iterator[bytes]:
         word, kind = WordTransducer(self.merges), ""

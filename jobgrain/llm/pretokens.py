@@ -26,6 +26,8 @@ UNPLAIN = re.compile(f"[^\x00-\x7f{_LATIN}]")
 # The two pre-token expressions of the tokenizer files, and the same for plain text.
 WORD_EXACT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+")
 WORD_PLAIN = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+#: The words of plain text with white space between them.
+WORDS_PLAIN = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_LATIN}]+|[0-9]|[^{_LATIN}0-9\t-\r ]+")
 BYTE_EXACT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
@@ -42,12 +44,13 @@ def byte_symbols() -> list[str]:
 
 
 SYMBOLS = byte_symbols()
+_OF_BYTES = dict(enumerate(SYMBOLS))
 
 
 def as_symbols(piece: str) -> str:
     if piece.isascii() and piece.isalnum():
         return piece
-    return "".join([SYMBOLS[b] for b in piece.encode()])
+    return piece.encode().decode("latin-1").translate(_OF_BYTES)
 
 
 class BoundedCache(dict):
@@ -74,7 +77,7 @@ def special_tokens(path: str) -> dict[str, int]:
 
 def split_special(text: str, special: dict[str, int]) -> Iterator[str]:
     """The text cut at special strings, which stay as parts of their own."""
-    if not special or "<" not in text:
+    if not any(x in text for x in special):
         yield text
         return
     yield from filter(None, re.split("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")", text))

@@ -3,7 +3,9 @@
 Documents are encoded, dealt to ranges of ascending id and written as shards of about ``SHARD`` ids, one compressed file
 each. A shard keeps its ids as bit planes, most significant first: plane ``k`` holds bit ``k`` of every id in the order
 left by a stable split on the bits above, together with its number of zeros and a count of ones before every 512 bits.
-Access, counting and occurrence lookup walk the planes with rank and select, without unpacking the shard.
+Access, counting and occurrence lookup walk the planes with rank and select, without unpacking the shard: ``count_ids``
+and ``locate_ids`` ask all shards for given ids. The ranges number one for each ``RANGE`` bytes of text, ``RANGES`` at most;
+a task sorts its range on disk and holds one shard at a time.
 
 Defined cases: a null or empty text holds the end id alone; a null id comes first; rows with one id are ordered by their
 ids; a document longer than a shard makes a longer shard; an empty table writes no shard and reads back as no rows; further
@@ -12,7 +14,9 @@ columns of the input are not read. Ids are integers and the vocabulary is below
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +27,12 @@ from tokenizers import Tokenizer
 
 from jobgrain.llm import pretokens
 
-#: Ids of a shard, bits of an id, bits between two stored ranks, chunks in a worker's cache.
-SHARD, BITS, STEP, CACHE = 1 << 20, 16, 512, 500_000
+#: Ids of a shard, bits of an id, bits between two stored ranks, words in a worker's cache.
+SHARD, BITS, STEP, CACHE = 1 << 20, 16, 512, 1_000_000
+#: Bytes of text of a range of document ids, and most ranges (a broadcast of so many bounds).
+RANGE, RANGES = 16 << 20, 8192
+#: Occurrences looked up at once.
+MANY = 4096
 _SHARDS = (
     "part int, shard int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, "
     "zeros array<long>, planes array<binary>, ranks array<binary>"
@@ -41,7 +49,7 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, bits: int = BITS) -> WaveletMatrix:
         zeros, planes, ranks, order = [], [], [], ids
         for shift in range(bits - 1, -1, -1):
-            bit = (order >> shift & 1).astype(bool)
+            bit = (order & order.dtype.type(1 << shift)) != 0
             packed = np.packbits(bit, bitorder="little")
             padded = np.zeros(-(-len(packed) // (STEP // 8)) * (STEP // 8), np.uint8)
             padded[: len(packed)] = packed
@@ -49,7 +57,7 @@ class WaveletMatrix:
             planes.append(packed.tobytes())
             ranks.append((np.cumsum(ones, dtype=np.uint32) - ones).astype("<u4").tobytes())
             zeros.append(int(len(bit) - np.count_nonzero(bit)))
-            order = np.concatenate((order[~bit], order[bit]))
+            order = np.concatenate((np.compress(~bit, order), np.compress(bit, order)))
         return cls(len(ids), zeros, planes, ranks)
 
     def _bit(self, level: int, i: int) -> int:
@@ -114,6 +122,30 @@ class WaveletMatrix:
             i = self._find(level, bit, i - self.zeros[level] if bit else i)
         return i
 
+    def _find_many(self, level: int, bit: int, k: np.ndarray) -> np.ndarray:
+        """Positions of many zeros or ones of a plane: the block by its rank, the place from the bits of the block."""
+        before = np.frombuffer(self.ranks[level], "<u4").astype(np.int64)
+        if not bit:
+            before = np.arange(len(before)) * STEP - before
+        block = np.searchsorted(before, k, side="right") - 1
+        plane = np.frombuffer(self.planes[level], np.uint8)
+        at = block[:, None] * (STEP // 8) + np.arange(STEP // 8)
+        held = np.where(at < len(plane), plane[np.minimum(at, len(plane) - 1)], 0).astype(np.uint8)
+        bits = np.unpackbits(held, axis=1, bitorder="little")
+        seen = np.cumsum(bits == bit, axis=1, dtype=np.int32)
+        return block * STEP + (seen <= (k - before[block])[:, None]).sum(axis=1)
+
+    def locate(self, symbol: int) -> Iterator[np.ndarray]:
+        """Ascending positions of an id, ``MANY`` at a time."""
+        start, stop = self._range(symbol, self.size)
+        bits = len(self.planes)
+        for first in range(start, stop, MANY):
+            i = np.arange(first, min(first + MANY, stop))
+            for level in range(bits - 1, -1, -1):
+                bit = symbol >> (bits - 1 - level) & 1
+                i = self._find_many(level, bit, i - self.zeros[level] if bit else i)
+            yield i
+
     def decode(self) -> np.ndarray:
         """All ids in order: the splits undone from the last plane up."""
         values = np.zeros(self.size, np.uint16)
@@ -126,26 +158,39 @@ class WaveletMatrix:
 
 
 class LibraryCodec:
-    """Ids by the library's own model, each part between white space once and then from a bounded cache."""
+    """Ids by the library's own model, each lower-case word once and then from a bounded cache.
+
+    Parts of a text with other than plain characters or with special strings go to the library whole.
+    """
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
         if self._tokenizer.get_vocab_size() >= 1 << BITS:
             raise ValueError(f"ids need more than {BITS} bits")
-        self._special = pretokens.special_tokens(path)
-        self._chunks = pretokens.BoundedCache(self._chunk, CACHE)
+        special = sorted(pretokens.special_tokens(path), key=len, reverse=True)
+        self._special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         self._words = pretokens.BoundedCache(self._word, CACHE)
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self._tokenizer.model.tokenize(pretokens.as_symbols(word))], "<u2").tobytes()
+        return array("H", [t.id for t in self._tokenizer.model.tokenize(pretokens.as_symbols(word))]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if "<|" in chunk or pretokens.UNPLAIN.search(chunk):
-            return np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
-        return b"".join(map(self._words.__getitem__, pretokens.words_of(chunk.lower())))
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, pretokens.WORDS_PLAIN.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self._chunks.__getitem__, pretokens.white_split(text)))
+        """Little-endian ids of two bytes."""
+        special = self._special.search(text)
+        if not special and not pretokens.UNPLAIN.search(text):
+            return self._plain(text)
+        if special:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        parts = []
+        for chunk in pretokens.white_split(text):
+            if pretokens.UNPLAIN.search(chunk):
+                parts.append(np.array(self._tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes())
+            else:
+                parts.append(self._plain(chunk))
+        return b"".join(parts)
 
 
 @lru_cache(maxsize=2)
@@ -156,10 +201,10 @@ def codec(path: str) -> LibraryCodec:
 
 def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Encode, append ``end_id`` to each document and write shards in ascending order of ``key`` below ``folder``."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0]
-    bounds = np.unique(np.array(cuts or [], np.int64))[: parts - 1]
+    shares = [i / RANGES for i in range(1, RANGES)]
+    size, cuts = docs.agg(F.sum(F.octet_length(text) + 1), F.percentile_approx(key, shares, 10 * RANGES)).first()
+    parts = min(RANGES, -(-(size or 1) // RANGE))
+    bounds = np.unique(np.array([cuts[i * RANGES // parts - 1] for i in range(1, parts)] if cuts else [], np.int64))
     end = np.array([end_id], "<u2").tobytes()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +266,7 @@ def document_spans(spark: SparkSession, folder: str) -> DataFrame:
                 ids = WaveletMatrix(row["n_tokens"], row["zeros"], row["planes"], row["ranks"]).decode().astype("<u4")
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]
-                sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * len(sums), pa.int32()), pa.array(row["doc_ids"], pa.int64()),
@@ -239,3 +284,43 @@ def document_spans(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"
     )
+
+
+def _open(row: dict) -> WaveletMatrix:
+    return WaveletMatrix(row["n_tokens"], row["zeros"], row["planes"], row["ranks"])
+
+
+def count_ids(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
+    """``id, n``: occurrences of each of the given ids in all shards, by two ranks a shard and plane."""
+    wanted = sorted({int(i) for i in ids})
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = dict.fromkeys(wanted, 0)
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = _open(row)
+                for symbol in wanted:
+                    total[symbol] += matrix.count(symbol) if 0 <= symbol < 1 << BITS else 0
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["id", "n"])
+
+    asked = spark.createDataFrame([(i,) for i in wanted], "id long")
+    found = read_shards(spark, folder).mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return asked.join(found, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def locate_ids(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
+    """``id, doc_id, position``: every occurrence of the given ids, counted from 0 in its document, by selects."""
+    wanted = sorted({int(i) for i in ids if 0 <= i < 1 << BITS})
+
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix, names = _open(row), pa.array(row["doc_ids"], pa.int64())
+                ends = np.cumsum(row["lengths"])
+                for symbol in wanted:
+                    for at in matrix.locate(symbol):
+                        doc = np.searchsorted(ends, at, side="right")
+                        inside = at - (ends[doc] - np.array(row["lengths"])[doc])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), symbol)), names.take(pa.array(doc)), pa.array(inside)], ["id", "doc_id", "position"])
+
+    return read_shards(spark, folder).mapInArrow(located, "id long, doc_id long, position long")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from jobgrain.llm import bpe, token_counts, wavelet
+from jobgrain.llm import pretokens, bpe, token_counts, wavelet
 from jobgrain.session import shared_path
 
 PIECES = [
@@ -139,3 +139,32 @@ def test_shards_round_trip(spark, odd_docs, odd_rows, no_docs, word_path, word_t
     empty = shared_path(spark, "wavelet")
     wavelet.write_shards(no_docs, empty, word_path, 2)
     assert wavelet.document_spans(spark, empty).count() == 0
+
+
+def test_many_occurrences_by_select():
+    rng = np.random.default_rng(3)
+    for ids in (rng.integers(0, 5, 3000), np.full(1500, 7), rng.integers(0, 40_000, 2000), np.array([], int)):
+        matrix = wavelet.WaveletMatrix.build(ids.astype("<u2"))
+        for symbol in {0, 7, *ids[:5].tolist()}:
+            got = [int(x) for part in matrix.locate(symbol) for x in part]
+            assert got == np.flatnonzero(ids == symbol).tolist()
+
+
+def test_ids_are_counted_and_located(spark, odd_docs, odd_rows, word_path, word_tokenizer, tmp_path, monkeypatch):
+    monkeypatch.setattr(wavelet, "SHARD", 500)
+    monkeypatch.setattr(wavelet, "RANGE", 10_000)
+    monkeypatch.setattr(wavelet, "MANY", 7)
+    folder = str(tmp_path / "shards")
+    wavelet.write_shards(odd_docs, folder, word_path, 2)
+    encoded = [(i, [*word_tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in odd_rows]
+    ids = [2, encoded[5][1][0], encoded[5][1][7], 12345, 12345, -1, 70_000]
+    counts = {r.id: r.n for r in wavelet.count_ids(spark, folder, ids).collect()}
+    assert counts == {i: sum(x.count(i) for _, x in encoded) for i in ids}
+    found = sorted((r.id, str(r.doc_id), r.position) for r in wavelet.locate_ids(spark, folder, ids).collect())
+    assert found == sorted((i, str(d), k) for i in {*ids} for d, x in encoded for k, y in enumerate(x) if y == i)
+
+
+def test_special_strings_of_any_shape():
+    special = {"[CLS]": 1, "a special string of many letters": 2}
+    text = "x[CLS]y a special string of many letters!"
+    assert [*pretokens.split_special(text, special)] == ["x", "[CLS]", "y ", "a special string of many letters", "!"]
