@@ -2,24 +2,24 @@
 
 An entry says that on a date a list begins (``add``) or ceases (``remove``) to hold a host, a domain with all its
 subdomains, or a host with a path prefix of whole segments. The entries of one list and value, ordered by date, become
-intervals ``[since, until)``; a capture yields its own keys (host, domain suffixes, path prefixes as deep as the lists go)
+intervals ``[since, until)``; a capture yields its own keys: its host, and the domain suffixes and path prefixes of as many
+labels or segments as some entry has
 and an as-of join on key and time finds the active ones. Everything is DataFrame operations; the join is left to Spark,
 which measures the interval side before it broadcasts and splits the key of a hot host otherwise.
 
 Defined cases: an ``add`` and a ``remove`` on one date count as the ``remove``; an ``add`` while the value is held changes
 nothing; a null or malformed URL has no key and matches nothing; a null fetch date matches nothing; entries with a null in
-list, kind, value or date are ignored; host names above 253 characters are no domain names and match as hosts only;
-repeated captures keep their rows; empty tables give empty results or no match.
+list, kind, value or date are ignored; hosts may have any length and any number of labels; repeated captures keep their rows; empty tables give empty results or no match.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
-#: Fixed value: the longest domain name.
-LONGEST_NAME = 253
 
 
 def host_of(url: Column) -> Column:
@@ -42,30 +42,36 @@ def validity(entries: DataFrame) -> DataFrame:
     return changes.select(*key, "action", F.col("date").alias("since"), until.alias("until")).filter("action = 'add'").drop("action")
 
 
-def _keys(url: Column, depth: int) -> Column:
-    """All (kind, value) pairs under which an entry could hold the URL."""
-    host, segments = host_of(url), segments_of(url)
-    labels = F.when(F.length(host) <= LONGEST_NAME, F.split(host, r"\.")).otherwise(F.array(host))
+def _keys(url: Column, labels: list[int], segments: list[int]) -> Column:
+    """All (kind, value) pairs under which an entry could hold the URL; the lists are the sizes that entries have."""
+    host, parts = host_of(url), segments_of(url)
+    names = F.split(host, r"\.")
 
-    def pair(kind: str, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    def pairs(kind: str, sizes: list[int], most: Column, value: Callable[[Column], Column]) -> Column:
+        if not sizes:
+            return F.array().cast("array<struct<kind:string,value:string>>")
+        fitting = F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= most)
+        return F.transform(fitting, lambda n: F.struct(F.lit(kind).alias("kind"), value(n).alias("value")))
 
-    count = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), count), lambda i: pair("domain", F.array_join(F.slice(labels, i, count), ".")))
-    reach = F.least(F.size(segments), F.lit(depth))
-    prefixes = F.when(reach > 0, F.transform(
-        F.sequence(F.lit(1), reach), lambda i: pair("prefix", F.concat_ws("/", host, F.array_join(F.slice(segments, 1, i), "/")))
+    return F.when(host != "", F.concat(
+        F.array(F.struct(F.lit("host").alias("kind"), host.alias("value"))),
+        pairs("domain", labels, F.size(names), lambda n: F.array_join(F.slice(names, F.size(names) - n + 1, n), ".")),
+        pairs("prefix", segments, F.size(parts), lambda n: F.concat_ws("/", host, F.array_join(F.slice(parts, F.lit(1), n), "/"))),
     ))
-    return F.when(host != "", F.concat(F.array(pair("host", host)), domains, F.coalesce(prefixes, F.array().cast("array<struct<kind:string,value:string>>"))))
+
+
+def _sizes(held: DataFrame, kind: str, size: Column) -> list[int]:
+    """Distinct sizes of the entries of a kind, of which a list has a handful: a name has 127 labels at most, and no list reaches paths of many segments."""
+    return sorted(r[0] for r in held.filter(F.col("kind") == kind).select(size).distinct().collect())
 
 
 def judge(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: str = "url", fetched: str = "fetched") -> DataFrame:
     """``page_id, url, fetched, n_entries, lists, blocked``: lists active at fetch time, comma-joined in order of name."""
     held = validity(entries)
-    deepest = held.filter("kind = 'prefix'").agg(F.max(F.size(F.split("value", "/")) - 1)).first()[0] or 0
+    labels, segments = _sizes(held, "domain", F.size(F.split("value", r"\."))), _sizes(held, "prefix", F.size(F.split("value", "/")) - 1)
     keyed = captures.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(fetched).alias("fetched")
-    ).select("*", F.explode_outer(_keys(F.col("url"), deepest)).alias("k")).select("row", "page_id", "url", "fetched", "k.*")
+    ).select("*", F.explode_outer(_keys(F.col("url"), labels, segments)).alias("k")).select("row", "page_id", "url", "fetched", "k.*")
     active = (
         (keyed["kind"] == held["kind"]) & (keyed["value"] == held["value"])
         & (held["since"] <= keyed["fetched"]) & (held["until"].isNull() | (keyed["fetched"] < held["until"]))
