@@ -11,7 +11,8 @@ other names for the container. Fitting is bounded (``SAMPLE`` pages and ``SHOWN`
 task.
 
 Defined cases: a null or empty page has the empty text; white space includes the no-break space; markup without an end is
-read as markup to the end of the page; script, style, iframe, template and svg are not read, all other elements are (math,
+read as markup to the end of the page; a quote opens a value directly after an equals sign only, and one that is never
+closed opens none; script, style, iframe, template and svg are not read, all other elements are (math,
 object, canvas and noscript as inline text); an unclosed script, style or iframe hides the rest, an unclosed template or svg
 hides what is left of its parent; a page of any number of blocks is labelled as one
 sequence; without a page to learn from the markup rule itself decides; repeated rows and null ids keep their rows; further
@@ -53,7 +54,8 @@ BLOCK = frozenset(
 ENDS_P = BLOCK - {"br", "button", "option"}
 ENDS_OWN = frozenset("li dd dt option tr td th".split())
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_STOP = re.compile("[>\"']")
+#: What ends a tag or opens a quoted value: a quote opens one only directly after the equals sign, white space apart.
+_STOP = re.compile(r""">|=\s*(["'])""")
 
 #: What the markup rule takes as article and as boilerplate.
 ARTICLE = frozenset("article main".split())
@@ -133,13 +135,12 @@ class Path:
 
 
 def _tag_end(page: str, at: int) -> int:
-    """Place of the ``>`` that ends a tag, past quoted values; -1 when there is none."""
+    """Place of the ``>`` that ends a tag, past quoted values; a quoted value without an end holds none. -1 when there is none."""
     while found := _STOP.search(page, at):
         if found.group() == ">":
             return found.start()
-        at = page.find(found.group(), found.end()) + 1
-        if not at:
-            return -1
+        end = page.find(found.group(1), found.end())
+        at = found.end() if end < 0 else end + 1
     return -1
 
 
@@ -150,7 +151,7 @@ def leaves(page: str) -> list[Leaf]:
     opened: Counter = Counter()
     found: list[Leaf] = []
     parts: list[str] = []
-    linked, at, size, quotes = 0, 0, len(page), True
+    linked, at, size = 0, 0, len(page)
     place: tuple[np.ndarray, bool, bool] = tags.vector(), False, False
 
     def close(name: str) -> None:
@@ -200,9 +201,7 @@ def leaves(page: str) -> list[Leaf]:
             say("<")
             at = start + 1
             continue
-        end = _tag_end(page, start + 1) if quotes else page.find(">", start)
-        if end < 0 and quotes:
-            quotes, end = False, page.find(">", start)
+        end = _tag_end(page, start + 1)
         if end < 0:
             break
         tag, at = page[start + 1 : end], end + 1
@@ -246,7 +245,7 @@ def features(blocks: list[Leaf]) -> np.ndarray:
         row[:PATH_DIM] = leaf.path
         words = leaf.text.lower().split()
         for word in words:
-            at, sign = _spot(word[:32], WORD_DIM)
+            at, sign = _spot(word, WORD_DIM)
             row[PATH_DIM + at] += sign
         row[PATH_DIM : PATH_DIM + WORD_DIM] /= max(len(words), 1) ** 0.5
         size = len(leaf.text)
@@ -406,7 +405,9 @@ def _gradients(net: Labeller, pages: list[tuple[list[Leaf], list[bool]]]) -> lis
 def train(pages: DataFrame, key: str = "page_id", text: str = "html", sample: int = SAMPLE) -> Labeller | None:
     """A labeller from at most ``sample`` pages, taken in the order of a hash of their id."""
     chosen = pages.filter(F.length(text) > 0).select(key).orderBy(F.xxhash64(key), key).limit(sample)
-    rows = pages.select(key, text).join(F.broadcast(chosen.distinct()), key).dropDuplicates([key]).orderBy(key).select(text).collect()
+    rows = pages.select(key, text).join(F.broadcast(chosen.distinct()), key).groupBy(key).agg(
+        F.min(F.struct(F.xxhash64(text).alias("mark"), F.col(text).alias("page"))).alias("one")  # the same one of repeated ids in every run
+    ).orderBy(key).select("one.page").collect()
     return fit([leaves(r[0]) for r in rows])
 
 

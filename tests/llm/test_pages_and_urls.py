@@ -1,3 +1,5 @@
+from html.parser import HTMLParser
+
 from pathlib import Path
 
 import duckdb
@@ -30,6 +32,58 @@ def test_broken_markup(page):
     html_text.leaves(page)
 
 
+@pytest.mark.parametrize(("page", "texts"), [
+    ('<p class=intro">First.</p><p>Second.</p><p class=x">Third.', ["First.", "Second.", "Third."]),
+    ("<p data-name=O'Brien>One.</p><p>Two.</p><p>Three isn't here.", ["One.", "Two.", "Three isn't here."]),
+    ("<p title = 'a>b' class=\"c>d\">One.</p>", ["One."]), ("<p title=a=\"b>c\">One.</p>", ["One."]),
+    ("<p title='x>One. <b>two</b></p><p>Three.", ["One. two", "Three."]), ("<p x=>One.</p><p x= >Two.", ["One.", "Two."]),
+    ("<p \"quoted\" 'words'>One.</p>", ["One."]), ("<a href=x?a='1'>One</a> <p>Two.", ["One", "Two."]),
+])
+def test_quotes_open_values_after_equals_signs_only(page, texts):
+    assert [b.text for b in html_text.leaves(page)] == texts
+
+
+class Blocks(HTMLParser):
+    """Texts between block tags by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.texts, self.parts, self.skipped = [], [], 0
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        self.texts += [text] * bool(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        self.skipped += tag in html_text.RAW | html_text.HIDDEN
+        if tag in html_text.BLOCK and not self.skipped:
+            self.flush()
+
+    def handle_endtag(self, tag):
+        self.skipped -= tag in html_text.RAW | html_text.HIDDEN
+        if tag in html_text.BLOCK and not self.skipped:
+            self.flush()
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.parts.append(data)
+
+
+@needs_data
+def test_leaves_against_the_standard_parser(spark):
+    for row in spark.read.parquet(f"{DATA}/pages.parquet").select("html").collect():
+        assert [b.text for b in html_text.leaves(row.html or "")] == Blocks(row.html or "").texts
+
+
+def test_whole_words_are_hashed():
+    one, two = (html_text.features(html_text.leaves("<p>" + "x" * 40 + end)) for end in "ab")
+    assert (one != two).any()
+
+
 @pytest.fixture(scope="module")
 def labellers():
     """The markup rule, and a network fitted on it."""
@@ -127,7 +181,7 @@ def test_lists_hold_when_they_hold(spark):
         (4, "http://a.com", "2024-02-01", ""), (5, "https://sub.b.org/q?x", "2024-01-05", "adult"), (6, "http://xb.org/", "2024-01-06", ""),
         (7, "http://c.net//x/y/z", "2024-01-06", "ads"), (8, "http://c.net/x/yz", "2024-01-06", ""), (9, None, "2024-01-06", ""),
         (10, "no url", "2024-01-06", ""), (11, "http://a.com", None, ""), (None, "http://a.com", "2024-01-15", "spam"), (None, "http://a.com", "2024-01-15", "spam"),
-        (12, "http://" + "a." * 50_000 + "b.org/", "2024-01-06", ""), (13, "http://h/" + "s/" * 50_000, "2024-01-06", ""),
+        (12, "http://" + "a." * 50_000 + "b.org/", "2024-01-06", "adult"), (13, "http://h/" + "s/" * 50_000, "2024-01-06", ""),
     ]
     captures = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, fetched string, want string, list string").selectExpr(
         "page_id", "url", "cast(fetched as date) fetched", "want", "list"
