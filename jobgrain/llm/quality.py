@@ -181,8 +181,9 @@ def train(
     known = labels.filter(~held_out(key) & F.col(label).isNotNull()).groupBy(key).agg(F.min(label).alias("low"), F.max(label).alias("label"))
     chosen = known.filter("low = label").orderBy(F.xxhash64(key), key).limit(sample).select(F.col(key).alias("chosen"), "label")
     rows = (
-        docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("chosen")).dropDuplicates([key])
-        .select(key, text, "label").collect()
+        docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("chosen"))
+        .groupBy(key).agg(F.min(F.struct(F.xxhash64(text).alias("mark"), F.col(text).alias("text"), F.col("label").alias("label"))).alias("one"))
+        .select(key, "one.text", "one.label").collect()  # of repeated ids the same one in every run
     )
     rows.sort(key=lambda r: r[0])
     return fit([(r[1] or "").encode() for r in rows], np.array([r[2] for r in rows], np.float32))
