@@ -7,9 +7,9 @@ sides: one side flips up to ``t // 2`` bits, the other up to ``t - t // 2``, and
 verifies the distance at once. The estimates choose the cost only; links are complete for any choice.
 
 Copies of a fingerprint are folded before anything is joined. Fingerprints in a group value shared by more than ``HOT``
-others are linked among themselves through all values up to half the distance away (two such fingerprints are linked
-exactly if they share one), which is linear in their number and keeps their connection; all their other links go the
-ordinary way. Connected components take large-star and small-star rounds over written tables.
+others (``HOT`` squared is what one task should compare at most for one value) are linked among themselves through all
+values up to half the distance away (two such fingerprints are linked exactly if they share one), which is linear in their
+number and keeps their connection. They never meet each other in the join: one side of it holds sparse fingerprints only. Connected components take large-star and small-star rounds over written tables.
 
 Defined cases: a null text counts as empty; texts without words have fingerprint zero and are linked like any other; texts
 with fewer words than a shingle are one shingle; repeated rows share a fingerprint; a null id never names a component with
@@ -191,12 +191,14 @@ def mark_hot(fps: DataFrame, groups: list[Group], hot: int) -> DataFrame:
 def links(fps: DataFrame, groups: list[Group], distance: int = DISTANCE, hot: int = HOT) -> DataFrame:
     """``a, b``: pairs within the distance, so many that they connect whatever all such pairs connect."""
     marked = materialise(mark_hot(fps, groups, hot), "marked")
-    lower = _probes(marked, groups, False).select("g", "key", F.col("fp").alias("a"), F.col("dense").alias("a_dense"))
-    upper = _probes(marked, groups, True).select("g", "key", F.col("fp").alias("b"), F.col("dense").alias("b_dense"))
-    near = (F.col("a") < F.col("b")) & (_distance(F.col("a"), F.col("b")) <= distance) & ~(F.col("a_dense") & F.col("b_dense"))
-    plain = lower.join(upper, ["g", "key"]).filter(near).select("a", "b")
+    sparse, dense = marked.filter(~F.col("dense")).select("fp"), marked.filter("dense").select("fp")
+    lower = _probes(sparse, groups, False).select("g", "key", F.col("fp").alias("a"))
+    upper = _probes(marked, groups, True).select("g", "key", F.col("fp").alias("b"), "dense")
+    # A pair meets whichever of the two is on the lower side.
+    near = (_distance(F.col("a"), F.col("b")) <= distance) & (F.col("dense") | (F.col("a") < F.col("b")))
+    plain = lower.join(upper, ["g", "key"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     whole = Group((1 << 64) - 1, tuple(range(64)), distance)
-    stars = _probes(marked.filter("dense"), [whole], False).groupBy("key").agg(F.collect_set("fp").alias("met"))
+    stars = _probes(dense, [whole], False).groupBy("key").agg(F.collect_set("fp").alias("met"))
     hub = F.array_min("met")
     crowd = stars.filter(F.size("met") > 1).select(hub.alias("a"), F.explode("met").alias("b")).filter("a < b")
     return plain.unionByName(crowd).distinct()
@@ -237,7 +239,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     roots = classes(rows, hot=hot)
     first = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = first.join(roots, "fp")
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    names = materialise(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")  # so that a hot root can be split
     table = named.join(names, "root").select("fp", "component_id")
     return rows.join(table, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

@@ -223,3 +223,19 @@ def test_stages_call_the_operators():
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
     assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()}
     assert "pipeline" in entry.queries() and all(m for m in (bpe, exact))
+
+
+def test_a_crowded_value_costs_in_proportion(spark, monkeypatch):
+    """Many fingerprints share one group value; rows out of the join stay few, so the work cannot be that of all pairs."""
+    rng = random.Random(8)
+    seen = {}
+    crowd = [(rng.getrandbits(40) << 24) - (1 << 63) + 5 for _ in range(3000)]
+    fps = spark.createDataFrame([(x,) for x in {*crowd, *(c ^ 0b11 << 50 for c in crowd[:40])}], "fp long")
+    low = tuple(range(24))
+    groups = [simhash.Group((1 << 24) - 1, low, 0), *(simhash.Group(sum(1 << b for b in range(a, a + 10)), tuple(range(a, a + 10)), 0) for a in (24, 34, 44, 54))]
+    for hot in (5, 512, 10**6):
+        pairs = simhash.links(fps, groups, 4, hot)
+        seen[hot] = {tuple(sorted((r.node, r.root))) for r in simhash.components(pairs).collect()}
+    assert seen[5] == seen[512] == seen[10**6] and len(seen[5]) >= 40
+    joined = simhash.links(fps, groups, 4, 512)._jdf.queryExecution().optimizedPlan().toString()
+    assert "NOT dense" in joined
