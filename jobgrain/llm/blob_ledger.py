@@ -3,7 +3,7 @@
 Every version of a path is addressed by the SHA-256 of its text. The ledger holds one row for each blob and scan, with
 the rule versions it was scanned by and the spans found. A scan looks only at (blob, rule version) pairs that the ledger
 does not hold, each blob once however many paths carry it; findings are then joined back to all paths. Raising a rule's
-version makes all blobs unseen for that rule alone.
+version makes all blobs unseen for that rule alone. A pair that two scans at once have written twice counts once.
 
 Positions come from Spark's own regular expressions: the gaps between matches and the matches themselves are unfolded
 to rows, and a running sum over their lengths gives the start, so cost stays linear in the number of matches.
@@ -19,6 +19,8 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from jobgrain.session import materialise
+
 
 class Rule(NamedTuple):
     """A pattern; ``probe`` must occur wherever a match passes; ``group`` must have ``least`` characters to pass."""
@@ -106,19 +108,46 @@ def _scan(blobs: DataFrame, rules: list[Rule]) -> DataFrame:
     return spans.select("blob", F.col("todo").alias("rules"), "spans")
 
 
-def scan_new(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> None:
-    """Scan the unseen (blob, rule version) pairs of ``path, blob, content`` and append them to the ledger."""
+def addressed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``path, blob, content`` of every row."""
+    content = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(key).alias("path"), F.sha2(content.cast("binary"), 256).alias("blob"), content.alias("content"))
+
+
+def _seen(spark: SparkSession, ledger: str) -> DataFrame:
+    return read_ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
+
+
+def open_rules(blobs: DataFrame, ledger: str, rules: list[Rule] = RULES) -> list[Rule]:
+    """The rules by which some blob of ``blob`` has not been scanned."""
     names = F.array(*[F.lit(rule.name) for rule in rules])
-    seen = (
-        read_ledger(versions.sparkSession, ledger).groupBy("blob")
-        .agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-    )
+    seen = blobs.select("blob").distinct().join(_seen(blobs.sparkSession, ledger), "blob", "left")
+    left = seen.select(F.explode(F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).alias("rule")).distinct()
+    missing = {r["rule"] for r in left.collect()}
+    return [rule for rule in rules if rule.name in missing]
+
+
+def scan_new(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> None:
+    """Scan the unseen (blob, rule version) pairs of ``path, blob, content`` and append them to the ledger.
+
+    Rules that all blobs have been scanned by are not looked at again. A text travels to the one task that scans it only
+    where a rule's probe finds something; the others are recorded as scanned by their address alone.
+    """
+    unseen = open_rules(versions, ledger, rules)
+    if not unseen:
+        return
+    names = F.array(*[F.lit(rule.name) for rule in unseen])
+    hit = F.lit(False)
+    for rule in unseen:
+        hit = hit | F.col("content").rlike(rule.probe)
     blobs = (
-        versions.select("blob", "content").dropDuplicates(["blob"]).join(seen, "blob", "left")
+        versions.select("blob", F.when(hit, F.col("content")).alias("content"))
+        .groupBy("blob").agg(F.first("content").alias("content"))
+        .join(_seen(versions.sparkSession, ledger), "blob", "left")
         .withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))))
         .filter(F.size("todo") > 0)
     )
-    _scan(blobs, rules).write.mode("append").parquet(ledger)
+    _scan(blobs, unseen).write.mode("append").parquet(ledger)
 
 
 def scan_versions(
@@ -128,14 +157,25 @@ def scan_versions(
 
     ``spans`` is ordered by start, then by the order of the rules; ends are exclusive and positions count code points.
     """
-    content = F.coalesce(F.col(text), F.lit(""))
-    versions = docs.select(F.col(key).alias("path"), F.sha2(content.cast("binary"), 256).alias("blob"), content.alias("content"))
+    versions = addressed(docs, key, text)
     scan_new(versions, ledger, rules)
+    return findings(versions, ledger, rules)
+
+
+def findings(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFrame:
+    """``path, blob, spans`` of ``path, blob``, from the ledger. A pair that was written twice counts once."""
     names = [rule.name for rule in rules]
-    found = (
-        read_ledger(docs.sparkSession, ledger).filter(F.size("spans") > 0).groupBy("blob")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
-        .select("blob", F.filter("spans", lambda s: s["rule"].isin(names)).alias("spans"))
+    order = F.array(*map(F.lit, names))
+
+    def ordered(s: Column) -> Column:
+        place = (F.array_position(order, s["rule"]) - 1).cast("int")  # by the rules asked for, not by those of the scan
+        return F.struct(s["start"].alias("start"), place.alias("ord"), s["kind"].alias("kind"), s["rule"].alias("rule"), s["end"].alias("end"))
+
+    found = materialise(
+        read_ledger(versions.sparkSession, ledger).filter(F.size("spans") > 0).groupBy("blob")
+        .agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+        .select("blob", F.transform(F.filter("spans", lambda s: s["rule"].isin(names)), ordered).alias("spans")),
+        "findings",  # written, so that the join below may split a blob with very many paths
     )
     empty = F.array().cast("array<struct<start:int,ord:int,kind:string,rule:string,end:int>>")
     return versions.select("path", "blob").join(found, "blob", "left").select(

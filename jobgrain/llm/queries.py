@@ -88,8 +88,13 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Secrets of every document, through a fresh ledger in the shared folder."""
-    found = blob_ledger.scan_versions(_read(spark, folder, "documents"), shared_path(spark, "ledger"))
+    """Secrets of every document, through a ledger in the shared folder that two scans bring up to date.
+
+    The first scan knows the base rules only; the second finds their pairs in the ledger and adds those of the other rules.
+    """
+    docs, ledger = _read(spark, folder, "documents"), shared_path(spark, "ledger")
+    blob_ledger.scan_new(blob_ledger.addressed(docs), ledger, blob_ledger.BASE_RULES)
+    found = blob_ledger.scan_versions(docs, ledger)
     base = [rule.kind for rule in blob_ledger.BASE_RULES]
     own = F.filter("spans", lambda s: s["kind"].isin(base))
 

@@ -83,3 +83,19 @@ def test_only_unseen_pairs_are_scanned(spark):
     got = {r.path: [s.rule for s in r.spans] for r in blob_ledger.scan_versions(more, ledger, rules=raised).collect()}
     assert got == {1: ["access@1"], 3: ["hex@2"], 4: ["hex@2"]}
     assert blob_ledger.read_ledger(spark, ledger).filter("rules = array('hex@2')").count() == 3
+
+
+def test_two_scans_and_a_repeated_append(odd_docs, odd_rows, spark):
+    ledger = shared_path(spark, "ledger")
+    versions = blob_ledger.addressed(odd_docs)
+    assert blob_ledger.open_rules(versions, ledger) == blob_ledger.RULES
+    blob_ledger.scan_new(versions, ledger, blob_ledger.BASE_RULES)
+    assert blob_ledger.open_rules(versions, ledger) == blob_ledger.MORE_RULES
+    blob_ledger.scan_new(versions, ledger)
+    assert blob_ledger.open_rules(versions, ledger) == []
+    rows = blob_ledger.read_ledger(spark, ledger)
+    assert rows.filter("array_contains(rules, 'hex@1') and array_contains(rules, 'pem@1')").count() == 0
+    rows.write.parquet(ledger + "-copy")
+    spark.read.schema(blob_ledger.LEDGER_SCHEMA).parquet(ledger + "-copy").write.mode("append").parquet(ledger)
+    got = Counter((r.path, tuple((s.kind, s.start, s.end) for s in r.spans)) for r in blob_ledger.findings(versions, ledger).collect())
+    assert got == Counter((i, tuple(brute(t, blob_ledger.RULES))) for i, t in odd_rows)
