@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobgrain.functions.rowids import with_row_number
+from jobgrain.sources.files import file_sizes
+from jobgrain.sources.split_csv import PLACE, read_split
 
 POSTING_SCHEMA = (
     "job_id BIGINT, title STRING, company STRING, location STRING, posted_date STRING, description STRING, "
@@ -30,7 +32,6 @@ FOREIGN_COLUMNS = {
 
 
 _INTEGERS = ("byte", "short", "integer", "long")
-_PLACE = ["_file", "_block", "_position"]
 
 
 def csv_options(multi_line: bool = True) -> dict[str, str]:
@@ -47,13 +48,21 @@ def read_postings(
 ) -> DataFrame:
     """Postings by header name: declared columns that are present come first, cast; unknown ones follow as text.
 
-    ``multi_line=True`` makes a file one task, so large input should come as many files. ``multi_line=False`` splits files
-    and fails on a field with a line break rather than breaking the row. ``schema=None`` keeps every column as text.
-    Whole numbers may be written ``3.0``; what is no number becomes null.
+    With ``multi_line=True`` fields may hold line breaks; files above the size of a split are then read by many tasks.
+    ``multi_line=False`` fails on a field with a line break rather than breaking the row. ``schema=None`` keeps every
+    column as text. Whole numbers may be written ``3.0``; what is no number becomes null.
     """
+    if multi_line and larger_than_split(spark, path):
+        return _typed(read_split(spark, path, csv_options()).drop(*PLACE), schema)
     return _typed(spark.read.options(**csv_options(multi_line)).csv(path), schema)
 
 
+def larger_than_split(spark: SparkSession, path: str) -> bool:
+    """Whether some file would be cut if its lines could be read apart."""
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return (file_sizes(spark, path).agg(F.max("bytes")).first()[0] or 0) > limit
+
+
 def _typed(text: DataFrame, schema: str | None) -> DataFrame:
     if schema is None:
         return text
@@ -83,9 +92,12 @@ def map_foreign_columns(
 
 def import_foreign_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A foreign export; rows without a ``job_id`` are numbered by file path and place in the file."""
+    if multi_line and larger_than_split(spark, path):
+        placed = read_split(spark, path, csv_options())
+        return map_foreign_columns(placed, order_by=[F.col(c) for c in PLACE]).drop(*PLACE)
     read = spark.read.options(**csv_options(multi_line)).csv(path)
     placed = read.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_position"),
     )
-    return map_foreign_columns(placed, order_by=[F.col(c) for c in _PLACE]).drop(*_PLACE)
+    return map_foreign_columns(placed, order_by=[F.col(c) for c in PLACE]).drop(*PLACE)
