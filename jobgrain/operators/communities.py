@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from jobgrain.functions.rowids import with_row_number
 from jobgrain.operators.graph import adjacency
@@ -38,27 +38,58 @@ def _numbered(labels: DataFrame) -> DataFrame:
     return labels.join(numbered, "community").select("skill", (F.col("number") - 1).cast("int").alias("cluster"))
 
 
+def _merged(pairs: DataFrame, keep: str, gone: str, share: float) -> DataFrame:
+    """The pairs after ``gone`` has joined ``keep``: only rows that touch one of the two are summed and given new shares."""
+    both = F.array(F.lit(keep), F.lit(gone))
+    touched = F.array_contains(both, F.col("ci")) | F.array_contains(both, F.col("cj"))
+    inner = F.array_contains(both, F.col("ci")) & F.array_contains(both, F.col("cj"))
+    other = F.when(F.array_contains(both, F.col("ci")), F.struct(F.col("cj").alias("c"), F.col("b").alias("a"))).otherwise(
+        F.struct(F.col("ci").alias("c"), F.col("a").alias("a"))
+    )
+    own = F.struct(F.lit(keep).alias("c"), F.lit(share).alias("a"))
+    sums = pairs.filter(touched & ~inner).select(other.alias("o"), "e").groupBy("o").agg(F.sum("e").alias("e"))
+    low, high = (F.when((F.col("o.c") < keep) == first, F.col("o")).otherwise(own) for first in (True, False))
+    changed = sums.select(low.alias("x"), high.alias("y"), "e").select(
+        F.col("x.c").alias("ci"), F.col("y.c").alias("cj"), "e", F.col("x.a").alias("a"), F.col("y.a").alias("b")
+    )
+    return pairs.filter(~touched).unionByName(changed)
+
+
 def greedy_clusters(edges: DataFrame) -> DataFrame:
     """Merge the linked pair with the largest gain until no gain is left; ties by smallest pair of names.
 
-    One merge a round, as the definition demands, on a frame of community links that shrinks with each. Meant for
-    the top-N graph; ``parallel_clusters`` takes logarithmically many rounds on large ones.
+    One merge a round, as the definition demands. The state is a table of linked pairs that carries both communities'
+    shares, so a gain needs its own row only; a merge recomputes the rows of the merged pair and passes all others on.
+    Each round is one action: the write of the next table, which observes the best pair on its way. Names of merged
+    communities are kept on the driver, one for each round. ``parallel_clusters`` needs few rounds on large graphs.
     """
     links, labels = _singletons(edges)
-    nodes, merges = labels.count(), 0
+    ends = links.groupBy("ci").agg(F.sum("e").alias("a"))
+    pairs = (
+        links.filter(F.col("ci") < F.col("cj")).join(ends, "ci")
+        .join(ends.select(F.col("ci").alias("cj"), F.col("a").alias("b")), "cj").select("ci", "cj", "e", "a", "b")
+    )
+    gain = 2 * (F.col("e") - F.col("a") * F.col("b"))
+    renames: dict[str, str] = {}
     while True:
-        best = _gains(links, nodes).orderBy(F.desc("gain"), "ci", "cj").first()
-        if best is None or best["gain"] < 0:
-            return _numbered(labels)
-        keep, gone = best["ci"], best["cj"]
-        renamed = {c: F.when(F.col(c) == gone, F.lit(keep)).otherwise(F.col(c)) for c in ("ci", "cj")}
-        links = cut_lineage(links.withColumns(renamed).groupBy("ci", "cj").agg(F.sum("e").alias("e")))
-        labels = labels.withColumn(
-            "community", F.when(F.col("community") == gone, F.lit(keep)).otherwise(F.col("community"))
-        )
-        merges += 1
-        if merges % 10 == 0:
-            labels = cut_lineage(labels)
+        seen = Observation()
+        best = F.min(F.when(gain >= 0, F.struct((-gain).alias("gain"), "ci", "cj", "a", "b"))).alias("best")
+        pairs = cut_lineage(pairs.observe(seen, best))
+        found = seen.get["best"]
+        if found is None:
+            break
+        renames[found["cj"]] = found["ci"]
+        pairs = _merged(pairs, found["ci"], found["cj"], found["a"] + found["b"])
+
+    def last(name: str) -> str:
+        while name in renames:
+            name = renames[name]
+        return name
+
+    if renames:
+        table = edges.sparkSession.createDataFrame([(gone, last(gone)) for gone in renames], "community string, kept string")
+        labels = labels.join(sized(table, len(renames)), "community", "left").select("skill", F.coalesce("kept", "community").alias("community"))
+    return _numbered(labels)
 
 
 def parallel_clusters(edges: DataFrame) -> DataFrame:

@@ -41,11 +41,10 @@ def skill_counts(basket_df: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(basket_df: DataFrame, inline_set: int = INLINE_SET) -> DataFrame:
-    """Postings per unordered pair (skill1 < skill2).
+def pairs_of(basket_df: DataFrame, inline_set: int = INLINE_SET) -> DataFrame:
+    """(skill1, skill2) for every unordered pair of every posting, skill1 < skill2.
 
-    Pairs are formed inside the row of a posting and summed in the same stage, so what is shuffled is at most one
-    row per task and distinct pair, never the pairs themselves. A set larger than ``inline_set`` is cut into blocks;
+    Pairs are formed inside the row of a posting. A set larger than ``inline_set`` is cut into blocks;
     each pair of blocks becomes a row of its own and is spread over the cluster before its pairs are formed. Repeated
     items of a set count once.
     """
@@ -67,14 +66,49 @@ def pair_counts(basket_df: DataFrame, inline_set: int = INLINE_SET) -> DataFrame
         .select("skill1", F.explode("right").alias("skill2"))
         .filter(F.col("skill1") < F.col("skill2"))
     )
+    return inline.filter(F.col("skill2").isNotNull()).unionByName(split)
+
+
+def pair_counts(basket_df: DataFrame, inline_set: int = INLINE_SET) -> DataFrame:
+    """Postings per unordered pair (skill1 < skill2).
+
+    Pairs are summed in the stage that forms them, so what is shuffled is at most one row per task and distinct pair,
+    never the pairs themselves.
+    """
+    return _counted(pairs_of(basket_df, inline_set))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("skill1", "skill2").agg(F.count("*").alias("cooccurrence_count"))
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("skill1", "skill2"), F.lit(buckets))
+
+
+def in_frequent_buckets(basket_df: DataFrame, least: Column, buckets: int, inline_set: int = INLINE_SET) -> DataFrame:
+    """The pairs whose hash bucket holds at least ``least`` of all pairs: none that is so frequent itself is missing.
+
+    A first pass forms the pairs and counts them by bucket, at most ``buckets`` sums in a task and in all. The frequent
+    buckets become one row of ``buckets`` bits, which every task of the second pass gets.
+    """
+    sums = pairs_of(basket_df, inline_set).groupBy(_bucket(buckets).alias("bucket")).agg(F.count("*").alias("n"))
+    words = (
+        sums.filter(F.col("n") >= least)
+        .groupBy(F.floor(F.col("bucket") / 64).cast("int").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bucket % 64 as int))")).alias("bits"))
+    )
+    bits = cut_lineage(words.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words")))
+    held = F.coalesce(F.element_at(bits.select("words").scalar(), F.floor(F.col("bucket") / 64).cast("int")), F.lit(0))
     return (
-        inline.filter(F.col("skill2").isNotNull())
-        .unionByName(split)
-        .groupBy("skill1", "skill2")
-        .agg(F.count("*").alias("cooccurrence_count"))
+        pairs_of(basket_df, inline_set).withColumn("bucket", _bucket(buckets))
+        .filter(F.getbit(held, F.col("bucket") % 64) == 1)
+        .drop("bucket")
     )
 
 
+
+
 def dense_matrix(basket_df: DataFrame, block: int = DENSE_BLOCK) -> DataFrame:
     """(skill1, skill2, count) for every ordered pair of known skills: symmetric, zero on the diagonal.
 
@@ -115,11 +149,13 @@ def wide_matrix(matrix: DataFrame, names: list[str]) -> DataFrame:
     return matrix.groupBy("skill1").pivot("skill2", names).agg(F.first("count")).orderBy("skill1")
 
 
-def association_metrics(basket_df: DataFrame, min_support: float | None = None) -> DataFrame:
+def association_metrics(basket_df: DataFrame, min_support: float | None = None, buckets: int | None = None) -> DataFrame:
     """Support, both confidences and lift of every pair seen together.
 
     With ``min_support`` only skills that reach it alone are kept before pairs are formed: a pair is never more
-    frequent than its rarer skill. At most (mean set size / min_support) skills remain, whatever the data volume.
+    frequent than its rarer skill. At most (mean set size / min_support) skills remain, whatever the data volume. With
+    ``buckets`` as well, pairs are formed twice and counted only where their hash bucket can reach the support, for
+    vocabularies whose frequent skills make many pairs and few frequent ones.
     """
     # One pass for skills and postings: a null marker per posting counts the postings themselves. The result is as
     # small as the vocabulary and read several times below.
@@ -133,7 +169,10 @@ def association_metrics(basket_df: DataFrame, min_support: float | None = None)
         counts = counts.filter(F.col("skill_count") / total >= min_support)
         frequent = counts.agg(F.collect_list("skill")).scalar()
         basket_df = basket_df.select(F.array_intersect("skills", frequent).alias("skills"))
-    pairs = pair_counts(basket_df)
+    if min_support is not None and buckets is not None:
+        pairs = _counted(in_frequent_buckets(basket_df, min_support * total, buckets))
+    else:
+        pairs = pair_counts(basket_df)
     if min_support is not None:
         pairs = pairs.filter(F.col("cooccurrence_count") / total >= min_support)
     first = counts.select(F.col("skill").alias("skill1"), F.col("skill_count").alias("skill1_count"))

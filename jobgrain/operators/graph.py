@@ -6,10 +6,10 @@ same size however many rounds are needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.operators.cooccurrence import TOP_ASSOCIATIONS, by_lift
-from jobgrain.session import cut_lineage, sized
+from jobgrain.session import cut_lineage, shared_path, sized
 
 # PageRank damping, tolerance per node and the most rounds.
 DAMPING = 0.85
@@ -19,6 +19,19 @@ MAX_ROUNDS = 100
 _BATCH = 5
 
 
+def keyed(df: DataFrame, key: str) -> DataFrame:
+    """The frame as a written table of buckets by ``key``, one for each shuffle partition, each sorted.
+
+    The files lie in the shared folder; the session's catalog forgets the table when the session ends.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "keyed")
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def network_edges(associations: DataFrame, top_n: int = TOP_ASSOCIATIONS) -> DataFrame:
     """The strongest associations as edges with weight, lift, support and the better confidence."""
     return by_lift(associations).limit(top_n).select(
@@ -60,15 +73,22 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
     )
 
 
-def shortest_paths(edges: DataFrame) -> list[DataFrame]:
+def _size(edges: DataFrame) -> Column:
+    return adjacency(edges).agg(F.count_distinct("src")).scalar()
+
+
+def shortest_paths(edges: DataFrame, sources: int | None = None) -> list[DataFrame]:
     """Breadth-first levels from every node at once: level d holds (src, node, sigma) at distance d.
 
     ``sigma`` counts the shortest paths. A new node can only repeat one of the two levels before it, so only those
-    are looked at.
+    are looked at. With ``sources`` only so many nodes start, those of least hash, and the state is (sources x nodes) instead
+    of the square of the nodes; the measures below then scale their sums up (Brandes and Pich).
     """
     links = cut_lineage(adjacency(edges).select("src", "dst"))
     links = sized(links, links.count())
     start = links.select(F.col("src").alias("node")).distinct()
+    if sources is not None:
+        start = start.orderBy(F.xxhash64("node"), "node").limit(sources)
     levels = [cut_lineage(start.select(F.col("node").alias("src"), "node", F.lit(1.0).alias("sigma")))]
     largest = levels[0].count()
     while True:
@@ -90,22 +110,33 @@ def shortest_paths(edges: DataFrame) -> list[DataFrame]:
         levels.append(reached)
 
 
-def closeness(edges: DataFrame, levels: list[DataFrame] | None = None) -> DataFrame:
-    """(skill, closeness): reachable nodes per total distance, scaled by the share of the graph reached."""
-    levels = levels or shortest_paths(edges)
-    n = levels[0].agg(F.count("*")).scalar()
+def closeness(edges: DataFrame, levels: list[DataFrame] | None = None, sources: int | None = None) -> DataFrame:
+    """(skill, closeness): reachable nodes per total distance, scaled by the share of the graph reached.
+
+    With ``sources``, nodes reached and distances are those to the sources times (nodes / sources); a node that no
+    source reaches has closeness 0.
+    """
+    levels = levels or shortest_paths(edges, sources)
+    n = _size(edges)
     distances = levels[0].select("node", F.lit(0).alias("dist"))
     for dist, level in enumerate(levels[1:], start=1):
         distances = distances.unionByName(level.select("node", F.lit(dist).alias("dist")))
     sums = distances.groupBy(F.col("node").alias("skill")).agg(F.sum("dist").alias("s"), F.count("*").alias("r"))
+    if sources is not None:
+        up = n / levels[0].agg(F.count("*")).scalar()
+        every = adjacency(edges).select(F.col("src").alias("skill")).distinct()
+        sums = every.join(sums, "skill", "left").select("skill", (F.col("s") * up).alias("s"), F.coalesce(F.col("r") * up, F.lit(1.0)).alias("r"))
     others = (F.col("r") - 1).cast("double")
     value = F.try_divide(others, F.col("s")) * F.try_divide(others, n - 1)
     return sums.select("skill", F.coalesce(value, F.lit(0.0)).alias("closeness"))
 
 
-def betweenness(edges: DataFrame, levels: list[DataFrame] | None = None) -> DataFrame:
-    """(skill, betweenness): normalised share of shortest paths through a node, dependencies summed backwards."""
-    levels = levels or shortest_paths(edges)
+def betweenness(edges: DataFrame, levels: list[DataFrame] | None = None, sources: int | None = None) -> DataFrame:
+    """(skill, betweenness): normalised share of shortest paths through a node, dependencies summed backwards.
+
+    With ``sources``, the sums over the sources are scaled by (nodes / sources).
+    """
+    levels = levels or shortest_paths(edges, sources)
     links = cut_lineage(adjacency(edges).select(F.col("src").alias("node"), F.col("dst").alias("near")))
     links = sized(links, links.count())
     below = levels[-1].withColumn("delta", F.lit(0.0))
@@ -123,12 +154,15 @@ def betweenness(edges: DataFrame, levels: list[DataFrame] | None = None) -> Data
         )
         below = cut_lineage(below)
         passed = passed.unionByName(below.select("src", "node", "delta"))
-    n = levels[0].agg(F.count("*")).scalar()
+    n = _size(edges)
     scale = F.when(n > 2, (n - 1) * (n - 2)).otherwise(F.lit(1)).cast("double")
     inner = F.sum(F.when(F.col("src") != F.col("node"), F.col("delta")).otherwise(0.0))
-    return passed.groupBy(F.col("node").alias("skill")).agg((inner).alias("d")).select(
-        "skill", (F.col("d") / scale).alias("betweenness")
-    )
+    sums = passed.groupBy(F.col("node").alias("skill")).agg(inner.alias("d"))
+    if sources is not None:
+        up = n / levels[0].agg(F.count("*")).scalar()
+        every = adjacency(edges).select(F.col("src").alias("skill")).distinct()
+        sums = every.join(sums, "skill", "left").select("skill", (F.coalesce("d", F.lit(0.0)) * up).alias("d"))
+    return sums.select("skill", (F.col("d") / scale).alias("betweenness"))
 
 
 def pagerank(edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE,
@@ -136,13 +170,15 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLE
     """(skill, pagerank) with co-occurrence counts as weights; 0.0 everywhere when it does not settle.
 
     Rounds run in batches. A self link carries a node's earlier ranks through the same aggregate, so a batch is one
-    chain of joins and the first round below the tolerance can be picked from the history.
+    chain of joins and the first round below the tolerance can be picked from the history. Links are bucketed by their
+    source with one bucket per shuffle partition, and a round's ranks come out of their aggregate partitioned by node, so
+    joins beyond the broadcast limit shuffle neither the links nor the ranks of an earlier round of the batch.
     """
     weighted = adjacency(edges)
     out = weighted.groupBy("src").agg(F.sum("weight").alias("_out"))
     shares = weighted.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_out")).alias("share"))
     own = out.select("src", F.col("src").alias("dst"), F.lit(None).cast("double").alias("share"))
-    links = cut_lineage(shares.unionByName(own))
+    links = keyed(shares.unionByName(own), "src")
     n = out.count()
     state = out.select(F.col("src").alias("node"), F.array(F.lit(1.0 / max(n, 1))).alias("ranks"))
     done = 0
@@ -174,14 +210,14 @@ def pagerank(edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLE
     return state.select(F.col("node").alias("skill"), F.lit(0.0).alias("pagerank"))
 
 
-def network_metrics(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All node measures, best connected first."""
+def network_metrics(edges: DataFrame, nodes: DataFrame, sources: int | None = None) -> DataFrame:
+    """All node measures, best connected first; path measures from so many ``sources`` on large graphs."""
     edges = cut_lineage(edges)
-    levels = shortest_paths(edges)
+    levels = shortest_paths(edges, sources)
     return (
         degree_centrality(edges)
-        .join(betweenness(edges, levels).withColumnRenamed("betweenness", "betweenness_centrality"), "skill")
-        .join(closeness(edges, levels).withColumnRenamed("closeness", "closeness_centrality"), "skill")
+        .join(betweenness(edges, levels, sources).withColumnRenamed("betweenness", "betweenness_centrality"), "skill")
+        .join(closeness(edges, levels, sources).withColumnRenamed("closeness", "closeness_centrality"), "skill")
         .join(pagerank(edges), "skill")
         .join(nodes, "skill", "left")
         .withColumn("count", F.coalesce("count", F.lit(0)))

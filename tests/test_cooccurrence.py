@@ -91,3 +91,12 @@ def test_filters(baskets, expected):
 def test_plan_shuffles_counts_not_pairs(baskets):
     plan = co.pair_counts(baskets)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "partial_count" in plan
+
+
+@pytest.mark.parametrize("buckets", [1, 64, 100, 4096])
+def test_two_passes_give_the_same_associations(spark, buckets):
+    many = [(i, ["a", "b"] + [f"s{(i * 7 + k * k) % 60:02}" for k in range(12)]) for i in range(300)]
+    sets = spark.createDataFrame(many, "job_id long, skills array<string>")
+    assert rows(co.association_metrics(sets, 0.1, buckets)) == rows(co.association_metrics(sets, 0.1))
+    left, every = co.in_frequent_buckets(sets, F.lit(30), buckets).count(), co.pairs_of(sets).count()
+    assert left == every if buckets == 1 else left < every or buckets < 1000

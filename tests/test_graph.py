@@ -121,3 +121,50 @@ def test_greedy_against_plain_merging(spark):
     found = values(communities.greedy_clusters(spark.createDataFrame(edges, SCHEMA)))
     same = lambda m: {frozenset(v for v in m if m[v] == c) for c in m.values()}
     assert same(found) == same(member)
+
+
+def mesh(n=48):
+    """A ring with chords, so that paths differ in length and number."""
+    return [(f"n{min(i, j):02}", f"n{max(i, j):02}", 1) for i in range(n) for j in ((i + 1) % n, (i * 7 + 3) % n) if i != j]
+
+
+def test_sampled_sources(spark):
+    edges = spark.createDataFrame(sorted(set(mesh())), SCHEMA)
+    exact = values(graph.closeness(edges)), values(graph.betweenness(edges))
+    for k, close, between in ((48, 1e-9, 1e-9), (500, 1e-9, 1e-9), (12, 0.15, 0.06)):
+        levels = graph.shortest_paths(edges, k)
+        assert levels[0].count() == min(k, 48)
+        near, passed = values(graph.closeness(edges, levels, k)), values(graph.betweenness(edges, levels, k))
+        assert max(abs(near[x] - exact[0][x]) for x in exact[0]) < close
+        assert max(abs(passed[x] - exact[1][x]) for x in exact[1]) < between
+        assert set(near) == set(passed) == set(exact[0])
+
+
+def test_rank_rounds_shuffle_no_links(spark, monkeypatch):
+    edges = spark.createDataFrame(sorted(set(mesh())), SCHEMA)
+    expected, plans = values(graph.pagerank(edges)), []
+    monkeypatch.setattr(graph, "sized", lambda df, rows: df)
+    cut = graph.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(graph, "cut_lineage", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert values(graph.pagerank(edges)) == pytest.approx(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    rounds = [p for p in plans if "SortMergeJoin" in p and "Bucketed: true" in p]
+    # Five joins a batch: the ranks are dealt once before the first and once by each aggregate, the links never.
+    assert rounds and all(p.count("Exchange") == 6 and p.count("Exchange hashpartitioning(dst") == 5 for p in rounds)
+
+
+def test_a_merge_is_one_action(spark, monkeypatch):
+    writes, cut = [], communities.cut_lineage
+    monkeypatch.setattr(communities, "cut_lineage", lambda df: writes.append(df) or cut(df))
+    edges = spark.createDataFrame(sorted(set(mesh(12))), SCHEMA)
+    clusters = communities.greedy_clusters(edges).select("cluster").distinct().count()
+    assert len(writes) == 1 + 12 - clusters + 1  # the shares, one a merge, and the round that finds no gain
