@@ -8,6 +8,9 @@ from jobgrain.functions.rowids import with_row_number
 from jobgrain.operators.graph import adjacency
 from jobgrain.session import cut_lineage, sized
 
+#: Linked pairs of one task of a merge.
+ROWS = 500_000
+
 
 def _singletons(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Community links (ci, cj, e) as shares of all weight in both directions, and labels (skill, community)."""
@@ -74,12 +77,13 @@ def greedy_clusters(edges: DataFrame) -> DataFrame:
     while True:
         seen = Observation()
         best = F.min(F.when(gain >= 0, F.struct((-gain).alias("gain"), "ci", "cj", "a", "b"))).alias("best")
-        pairs = cut_lineage(pairs.observe(seen, best))
+        pairs = cut_lineage(pairs.observe(seen, best, F.count("*").alias("rows")))
         found = seen.get["best"]
         if found is None:
             break
         renames[found["cj"]] = found["ci"]
-        pairs = _merged(pairs, found["ci"], found["cj"], found["a"] + found["b"])
+        parts = 1 + seen.get["rows"] // ROWS
+        pairs = _merged(pairs, found["ci"], found["cj"], found["a"] + found["b"]).coalesce(parts)
 
     def last(name: str) -> str:
         while name in renames:
