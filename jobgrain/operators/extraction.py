@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.functions.arrays import unfold
+from jobgrain.functions.membership import KeyFilter
 from jobgrain.functions.text import TOKEN_PATTERN, tokens
 from jobgrain.session import materialise
 from jobgrain.sources.lexicon import phrase_keys
@@ -84,27 +85,46 @@ def extract_phrases(df: DataFrame, lexicon: DataFrame, text_column: str = "descr
     return numbered.join(found, "_row", "left").select(*df.columns, F.coalesce("skills", _literal([])).alias("skills"))
 
 
-def match_phrases(df: DataFrame, lexicon: DataFrame, text_column: str, id_column: str) -> DataFrame:
-    """Every phrase occurrence as (id, position, n_tokens, skill, phrase_key); position counts tokens from 0.
+def phrase_probes(df: DataFrame, keys: DataFrame, text_column: str, id_column: str) -> DataFrame:
+    """Places where a phrase may begin: (id, position, prefix, following), one row for each prefix that may be one.
 
-    Each token becomes one narrow row with the few tokens after it, and joins the lexicon on its first tokens. Spark
-    measures the lexicon in bytes at run time: it is broadcast below the session's threshold, and beyond it shuffled by
-    token, where skewed tokens are split.
+    A prefix is the first two tokens of a phrase, or its only one. Places whose one and two tokens are no prefix of the
+    lexicon leave through a ``KeyFilter`` in the task that unfolds them, so a frequent token that begins some phrase
+    does not bring all its places along.
     """
-    keys = phrase_keys(lexicon)
     longest = keys.agg(F.max("n_tokens")).first()[0] or 1
     words = F.col("_words")
     following = [words, *[F.slice(words, k + 1, F.size(words)) for k in range(1, longest)]]
     names = [f"_w{k}" for k in range(longest)]
-    rows = (
+    known = KeyFilter(keys, "prefix")
+    pair = F.concat_ws(" ", "_w0", "_w1") if longest > 1 else F.lit(None).cast("string")
+    next_word = F.col("_w1") if longest > 1 else F.lit(None).cast("string")
+    return (
         df.select(id_column, F.coalesce(tokens(F.col(text_column)), _literal([])).alias("_words"))
         .select(id_column, F.posexplode_outer(F.arrays_zip(*following)).alias("position", "_z"))
         .select(id_column, "position", *[F.col("_z").getField(str(k) if k else "_words").alias(n) for k, n in enumerate(names)])
+        .withColumns({"_one": known.may_hold(F.col("_w0")), "_two": next_word.isNotNull() & known.may_hold(pair)})
+        .filter("_one OR _two")
+        .select(
+            id_column, "position", F.array(*names).alias("following"),
+            F.explode(F.array(F.when(F.col("_one"), F.col("_w0")), F.when(F.col("_two"), pair))).alias("prefix"),
+        )
+        .filter(F.col("prefix").isNotNull())
     )
-    same = F.array_join(F.slice(F.array(*names), F.lit(1), F.col("n_tokens")), " ") == F.col("phrase_key")
+
+
+def match_phrases(df: DataFrame, lexicon: DataFrame, text_column: str, id_column: str) -> DataFrame:
+    """Every phrase occurrence as (id, position, n_tokens, skill, phrase_key); position counts tokens from 0.
+
+    The places of ``phrase_probes`` join the lexicon on the prefix. Spark measures the lexicon in bytes at run time: it
+    is broadcast below the session's threshold, and beyond it shuffled by prefix, where skewed ones are split.
+    """
+    keys = phrase_keys(lexicon).withColumn("prefix", F.substring_index("phrase_key", " ", 2))
+    same = F.array_join(F.slice("following", F.lit(1), F.col("n_tokens")), " ") == F.col("phrase_key")
     return (
-        rows.join(keys, F.col("_w0") == F.col("first_token"))
-        .filter((F.col("n_tokens") == 1) | same)
+        phrase_probes(df, keys, text_column, id_column)
+        .join(keys, "prefix")
+        .filter((F.col("n_tokens") <= 2) | same)
         .select(id_column, "position", "n_tokens", "skill", "phrase_key")
     )
 
@@ -138,8 +158,30 @@ def _total(lengths: Column) -> Column:
     return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
 
 
+def _running(values: Column) -> Column:
+    """What lies before each value: 0, the first, the first two and so on."""
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.array().cast("array<bigint>").alias("before"))
+    return F.aggregate(
+        values,
+        start,
+        lambda acc, n: F.struct((acc["total"] + n).alias("total"), F.array_append(acc["before"], acc["total"]).alias("before")),
+        lambda acc: acc["before"],
+    )
+
+
+def _blocks(values: Column | str, size: Column) -> Column:
+    """Sums of the values by blocks; at least one."""
+    return F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((size - 1) / _BLOCK).cast("int"), F.lit(0))),
+        lambda b: _total(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))),
+    )
+
+
 def _measured(df: DataFrame, text_column: str, id_column: str, *keep: str) -> DataFrame:
-    """Tokens as written, the gaps before them, and running lengths per block, which keep an offset cheap in long texts."""
+    """Tokens as written, the gaps before them, and the lengths before each block of tokens and each block of blocks.
+
+    An offset then adds one entry of either table and fewer than ``_BLOCK`` lengths, wherever in the text it lies.
+    """
     text = F.col(text_column)
     written = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
     return (
@@ -147,11 +189,14 @@ def _measured(df: DataFrame, text_column: str, id_column: str, *keep: str) -> Da
         # One gap more than tokens: the last one follows the last token and is not needed.
         .withColumn("_gaps", F.slice(F.split(text, TOKEN_PATTERN), F.lit(1), F.size("_written")))
         .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
+        .withColumn("_sums", _blocks("_lengths", F.size("_written")))
+        .withColumn("_far", _running(_blocks("_sums", F.size("_sums"))))
         .withColumn(
-            "_sums",
-            F.transform(
-                F.sequence(F.lit(0), F.floor((F.size("_written") - 1) / _BLOCK).cast("int")),
-                lambda b: _total(F.slice("_lengths", b * _BLOCK + 1, F.lit(_BLOCK))),
+            "_near",
+            F.flatten(
+                F.transform(
+                    F.sequence(F.lit(0), F.size("_far") - 1), lambda b: _running(F.slice("_sums", b * _BLOCK + 1, F.lit(_BLOCK)))
+                )
             ),
         )
     )
@@ -160,7 +205,8 @@ def _measured(df: DataFrame, text_column: str, id_column: str, *keep: str) -> Da
 def _hit(i: Column, n_tokens: Column, skill: Column) -> Column:
     """Span of ``n_tokens`` tokens from the ``i``-th (from 1)."""
     in_block = F.floor((i - 1) / _BLOCK).cast("int")
-    before = _total(F.slice("_sums", F.lit(1), in_block))
+    far = F.floor(in_block / _BLOCK).cast("int")
+    before = F.element_at("_far", far + 1) + F.element_at("_near", in_block + 1)
     before = before + _total(F.slice("_lengths", in_block * _BLOCK + 1, i - 1 - in_block * _BLOCK))
     gap = F.length(F.element_at("_gaps", i))
     size = _total(F.slice("_lengths", i, n_tokens)) - gap

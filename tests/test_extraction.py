@@ -7,6 +7,7 @@ from helpers import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from jobgrain.functions.membership import KeyFilter
 from jobgrain.operators import embedding, extraction
 from jobgrain.sources.lexicon import lexicon_phrases, phrase_keys
 
@@ -139,3 +140,43 @@ def test_union_and_attach(spark):
     assert rows(extraction.attach_skills(postings, both).select("job_id", F.array_join("skills", ";").alias("s"))) == [
         (1, "a;b"), (2, "c"), (3, ""),
     ]
+
+
+def test_places_that_begin_no_phrase_stay_out_of_the_join(spark):
+    lexicon = spark.createDataFrame(
+        [("the art of war", "c", None, None), ("spark", "c", None, "apache spark"), ("r", "c", None, None)],
+        "skill_name string, category string, subcategory string, aliases string",
+    )
+    texts = [(1, "the cat and the dog, the end " * 200 + "the art of war"), (2, "the art of peace"), (3, "apache spark the"), (4, None), (5, "")]
+    df = spark.createDataFrame(texts, "job_id int, t string")
+    keys = phrase_keys(lexicon).withColumn("prefix", F.substring_index("phrase_key", " ", 2))
+    probes = rows(extraction.phrase_probes(df, keys, "t", "job_id"), "job_id", "position", "prefix")
+    words = {i: (t or "").replace(",", " ,").split() for i, t in texts}
+    wanted = [(i, at, p) for i, w in words.items() for at in range(len(w)) for p in (w[at], " ".join(w[at : at + 2]))
+              if p in {"the art", "spark", "apache spark", "r"}]
+    assert set(wanted) <= set(probes) and len(probes) <= len(wanted) + 10
+    assert rows(extraction.match_phrases(df, lexicon, "t", "job_id"), "job_id", "phrase_key") == [
+        (1, "the art of war"), (3, "apache spark"), (3, "spark"),
+    ]
+
+
+@pytest.mark.parametrize("most", [1 << 24, 64])
+def test_key_filter_loses_no_key(spark, most):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    held = KeyFilter(keys, "k", most)
+    assert held.bits <= most
+    probes = spark.range(9000).select(F.concat(F.lit("k"), "id").alias("p"), "id")
+    passed = {r["id"] for r in probes.filter(held.may_hold(F.col("p"))).collect()}
+    assert set(range(3000)) <= passed
+    assert most == 64 or len(passed) < 3100
+    nothing = KeyFilter(keys.limit(0), "k")
+    assert probes.filter(nothing.may_hold(F.col("p"))).count() == 0
+
+
+def test_offsets_far_into_long_texts(spark, small_lexicon):
+    text = "filler, words  " * 9_000 + "SQL  Server" + " x" * 70 + " python"
+    df = spark.createDataFrame([(1, text), (2, "sql")], "job_id int, t string")
+    found = rows(extraction.phrase_offsets(df, small_lexicon, "t", "job_id"), "job_id", "start", "end", "skill")
+    at = text.index("SQL")
+    assert found == sorted([(1, at, at + 3, "sql"), (1, at, at + 11, "sql server"), (1, len(text) - 6, len(text), "python"), (2, 0, 3, "sql")],
+                           key=lambda r: tuple((v is None, str(v)) for v in r))
