@@ -96,20 +96,39 @@ def _metrics_sql() -> str:
     )
 
 
-# One row a round: the labels so far. The best pair of communities joins until no gain is left.
-_CLUSTERS_SQL = sql(
-    "adj", "@",
-    total="SELECT sum(weight)::DOUBLE AS m FROM adj",
-    merges="SELECT 0 AS k, (SELECT list({'s': src, 'c': src} ORDER BY src) FROM (SELECT DISTINCT src FROM adj) q) AS labels UNION ALL "
-    "SELECT k + 1, list_transform(labels, lambda x: CASE WHEN x.c = best.gone THEN {'s': x.s, 'c': best.keep} ELSE x END) "
-    "FROM (SELECT k, labels, (WITH l AS (SELECT unnest(labels) AS x), e AS (SELECT a.x.c AS ci, b.x.c AS cj, sum(weight) / any_value(m) AS e "
-    "FROM adj JOIN l a ON a.x.s = src JOIN l b ON b.x.s = dst, total GROUP BY 1, 2), ends AS (SELECT ci, sum(e) AS a FROM e GROUP BY ci) "
-    "SELECT {'keep': e.ci, 'gone': e.cj} FROM e JOIN ends p ON p.ci = e.ci JOIN ends q ON q.ci = e.cj WHERE e.ci < e.cj AND 2 * (e - p.a * q.a) >= 0 "
-    "ORDER BY 2 * (e - p.a * q.a) DESC, e.ci, e.cj LIMIT 1) AS best FROM merges) r WHERE best IS NOT NULL",
-    final="SELECT unnest(arg_max(labels, k)) AS x FROM merges",
-    named="SELECT x.s AS skill, count(*) OVER (PARTITION BY x.c) AS n, min(x.s) OVER (PARTITION BY x.c) AS least FROM final",
-).replace("WITH ", "WITH RECURSIVE ", 1).replace(
-    "@", "SELECT skill, CAST(dense_rank() OVER (ORDER BY n DESC, least) - 1 AS INTEGER) AS cluster FROM named"
+_GAINS_SQL = (
+    "l AS (SELECT unnest(labels) AS x), e AS (SELECT a.x.c AS ci, b.x.c AS cj, sum(weight) / any_value(m) AS e "
+    "FROM adj JOIN l a ON a.x.s = src JOIN l b ON b.x.s = dst, total GROUP BY 1, 2), ends AS (SELECT ci, sum(e) AS a FROM e GROUP BY ci), "
+    "gains AS (SELECT e.ci, e.cj, 2 * (e - p.a * q.a) AS gain FROM e JOIN ends p ON p.ci = e.ci JOIN ends q ON q.ci = e.cj "
+    "WHERE e.ci < e.cj AND 2 * (e - p.a * q.a) >= 0)"
+)
+
+
+def _rounds_sql(best: str, renamed: str) -> str:
+    """Clusters by rounds. One row a round: the labels so far, renamed by the pairs that join, until none is left."""
+    return sql(
+        "adj", "@",
+        total="SELECT sum(weight)::DOUBLE AS m FROM adj",
+        merges="SELECT 0 AS k, (SELECT list({'s': src, 'c': src} ORDER BY src) FROM (SELECT DISTINCT src FROM adj) q) AS labels UNION ALL "
+        f"SELECT k + 1, list_transform(labels, lambda x: {{'s': x.s, 'c': {renamed}}}) "
+        f"FROM (SELECT k, labels, (WITH {_GAINS_SQL} {best}) AS best FROM merges) r WHERE best IS NOT NULL",
+        final="SELECT unnest(arg_max(labels, k)) AS x FROM merges",
+        named="SELECT x.s AS skill, count(*) OVER (PARTITION BY x.c) AS n, min(x.s) OVER (PARTITION BY x.c) AS least FROM final",
+    ).replace("WITH ", "WITH RECURSIVE ", 1).replace(
+        "@", "SELECT skill, CAST(dense_rank() OVER (ORDER BY n DESC, least) - 1 AS INTEGER) AS cluster FROM named"
+    )
+
+
+# The best pair of communities joins.
+_CLUSTERS_SQL = _rounds_sql(
+    "SELECT {'keep': ci, 'gone': cj} FROM gains ORDER BY gain DESC, ci, cj LIMIT 1", "CASE WHEN x.c = best.gone THEN best.keep ELSE x.c END"
+)
+# All pairs join that are the best one of both their communities.
+_PARALLEL_SQL = _rounds_sql(
+    ", sides AS (SELECT ci AS c, * FROM gains UNION ALL SELECT cj, * FROM gains), "
+    "first AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY c ORDER BY gain DESC, ci, cj) = 1), "
+    "mutual AS (SELECT ci, cj FROM first GROUP BY ci, cj HAVING count(*) = 2) SELECT map_from_entries(list((cj, ci))) FROM mutual",
+    "coalesce(best[x.c], x.c)",
 )
 
 QUERIES = {
@@ -186,4 +205,5 @@ ORACLE |= {
     "betweenness": _walk_sql("SELECT skill, round(betweenness, 6) AS betweenness FROM between"),
     "network_metrics": _metrics_sql(),
     "skill_clusters": _CLUSTERS_SQL,
+    "skill_clusters_parallel": _PARALLEL_SQL,
 }

@@ -28,14 +28,21 @@ def doc_skills(spark, sf):
     return unfold(with_skills(spark, sf), "skills", "skill", "doc_id")
 
 
-def closest(spark, sf):
+def _joined_skills(spark, sf):
+    """What ``extract_phrases`` finds when the lexicon is too large to travel inside the expression."""
+    found = extraction.extract_phrases(documents(spark, sf), lexicon(spark), "text", "doc_id", inline_phrases=0)
+    return unfold(found, "skills", "skill", "doc_id")
+
+
+def closest(spark, sf, most=embedding.BROADCAST_BYTES):
     """Label centroids stand for skills, every vector for a text."""
     vectors = table(spark, sf, "embeddings")
     skills = embedding.centroids(vectors, "label", "embedding").select(
         F.concat(F.lit("label "), "skill").alias("skill"), "vector"
     )
     return embedding.closest_skills(
-        vectors, skills, top_k=embedding.TOP_K, threshold=THRESHOLD, id_column="vec_id", text_vector="embedding"
+        vectors, skills, top_k=embedding.TOP_K, threshold=THRESHOLD, id_column="vec_id", text_vector="embedding",
+        broadcast_bytes=most,
     )
 
 
@@ -99,6 +106,8 @@ QUERIES = {
     ),
     "extract_phrases": doc_skills,
     "embed_topk": lambda s, d: rounded(closest(s, d), ["score"]).withColumn("rank", F.col("rank").cast("bigint")),
+    "embed_topk_blocks": lambda s, d: rounded(closest(s, d, 0), ["score"]).withColumn("rank", F.col("rank").cast("bigint")),
+    "extract_phrases_joined": _joined_skills,
     "extract_hybrid": _hybrid,
     "jobs_with_skills": _jobs_with_skills,
     "top_skills": lambda s, d: extraction.top_skills(baskets(s, d), 10),
@@ -113,6 +122,8 @@ ORACLE = {
     "p_type AS subcategory, p_name FROM part) SELECT DISTINCT lower(name) AS skill, category, subcategory, unnest([lower(name), lower(p_name)]) AS phrase FROM lex",
     "tokenize": sql("toks", "SELECT w AS token, count(*) AS count FROM (SELECT unnest(t) AS w FROM toks) q GROUP BY w"),
     "extract_phrases": sql("doc_skills", "SELECT doc_id, skill FROM doc_skills"),
+    "embed_topk_blocks": sql("", "SELECT vec_id, skill, round(score, 6) AS score, rank FROM close", **_CLOSEST),
+    "extract_phrases_joined": sql("doc_skills", "SELECT doc_id, skill FROM doc_skills"),
     "embed_topk": sql("", "SELECT vec_id, skill, round(score, 6) AS score, rank FROM close", **_CLOSEST),
     "extract_hybrid": sql(
         "doc_skills", "SELECT doc_id, skill FROM doc_skills UNION SELECT vec_id, skill FROM close", **_CLOSEST

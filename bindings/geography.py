@@ -59,6 +59,17 @@ def _regional(spark, sf):
     )
 
 
+def _late_batch(spark, sf):
+    """Regions written, then two of them replaced by a later batch, read back and counted with the batch that wrote them."""
+    path = shared_path(spark, "regions")
+    postings = places(spark, sf)
+    sinks.replace_regions(postings, path, 1, "parquet")
+    late = postings.filter(F.col("region").isin("South", "West") & (F.col("experience_years") > 4))
+    manifest = sinks.replace_regions(late, path, 2, "parquet")
+    held = spark.read.parquet(path).groupBy("region").agg(F.count("*").alias("postings"), F.sum("job_id").alias("id_sum"))
+    return held.join(manifest, "region")
+
+
 def _write_table(spark, sf):
     """Postings through a CSV file and back, nulls and types kept."""
     df = places(spark, sf).select("job_id", "title", "company", "location", "posted_date", "experience_years")
@@ -97,6 +108,7 @@ QUERIES = {
     "bi_geographic": lambda s, d: _money(sinks.geographic_export(_exported(s, d))),
     "bi_main": _main,
     "regional_partitions": _regional,
+    "regional_late_batch": _late_batch,
     "write_table": _write_table,
 }
 
@@ -142,5 +154,12 @@ ORACLE = {
         "jobs",
         "SELECT lower(region) AS region, count(*) AS postings, CAST(sum(job_id) AS BIGINT) AS id_sum FROM jobs WHERE region <> 'Unknown' GROUP BY 1",
     ),
+    "regional_late_batch": sql(
+        "jobs",
+        "SELECT lower(region) AS region, count(*) AS postings, CAST(sum(job_id) AS BIGINT) AS id_sum, "
+        "CAST(any_value(n) AS BIGINT) AS batch, count(*) AS rows FROM kept WHERE region <> 'Unknown' GROUP BY 1",
+        kept="SELECT *, CASE WHEN region IN ('South', 'West') THEN 2 ELSE 1 END AS n FROM jobs "
+        "WHERE region NOT IN ('South', 'West') OR experience_years > 4",
+    ),
     "write_table": sql("jobs0", "SELECT job_id, title, company, location, posted_date, experience_years FROM jobs0"),
 }

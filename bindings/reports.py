@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.views import baskets, jobs, jobs_skills, places, rounded, sql
 from jobgrain.functions import salary
-from jobgrain.operators import extraction, geography as geo, reports
+from jobgrain.operators import extraction, geography as geo, reports, sketches
 
 START, END = "1997-01-01", "2000-01-01"
 SKILL = "Brand#7"
@@ -27,6 +27,16 @@ _LAKHS = "SELECT location, (salary_min + salary_max) / 2 / 100000 AS v FROM jobs
 _CELLS = "SELECT region, skill, count(*) AS c FROM jobs JOIN mentions USING (job_id) GROUP BY 1, 2"
 
 
+def _estimated(spark, sf):
+    """Sketches by month and place, merged by place, beside the exact counts."""
+    postings = places(spark, sf).withColumn("month", F.date_format("posted_date", "yyyy-MM"))
+    fine = sketches.distinct_sketches(postings, ["month", "region"], ["company"])
+    found = sketches.distinct_estimates(sketches.merge_sketches(fine, ["region"]))
+    exact = postings.groupBy("region").agg(F.count_distinct("company").alias("companies"))
+    near = F.abs(F.col("distinct_company") - F.col("companies")) <= 0.03 * F.col("companies")
+    return found.join(exact, "region").select("region", F.col("rows").alias("postings"), "companies", near.alias("near"))
+
+
 def _lod_company(spark, sf):
     df = jobs_skills(spark, sf).select("job_id", "company", "num_skills")
     return rounded(reports.with_group_average(df, "company", "num_skills", "avg_skills"), ["avg_skills"]).drop("num_skills")
@@ -75,6 +85,7 @@ QUERIES = {
         reports.growth_between(jobs(s, d), "posted_date", START, END), ["growth_rate"]
     ),
     "region_skill_stack": lambda s, d: reports.skills_by_group(jobs_skills(s, d), "region", top_n=10),
+    "companies_estimated": _estimated,
     "companies_by_region": lambda s, d: reports.top_within(places(s, d), "region", "company", 5).withColumn(
         "rank", F.col("rank").cast("bigint")
     ),
@@ -162,6 +173,9 @@ ORACLE = {
         "SELECT region, skill, c AS count FROM cells WHERE skill IN (SELECT skill FROM cells GROUP BY skill ORDER BY sum(c) DESC, skill LIMIT 10)",
         cells=_CELLS,
     ),
+    "companies_estimated": sql(
+        "jobs", "SELECT region, count(*) AS postings, count(DISTINCT company) AS companies, true AS near FROM jobs GROUP BY region"
+    ),
     "companies_by_region": sql(
         "jobs",
         "SELECT region, company, count(*) AS count, row_number() OVER (PARTITION BY region ORDER BY count(*) DESC, company) AS rank "

@@ -2,43 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobgrain.session import cut_lineage
 
 _BINS = 4096
 #: Values that one task may order for a quantile.
 _REST = 50_000
+#: The sketch misses a rank by at most a share of 1 / ``_ACCURACY``; a bracket reaches twice as far to either side.
+_ACCURACY = 10_000
 _STATE = ["_p", "_pos", "_rank", "_below", "_lo", "_hi", "_after"]
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None, rest: int = _REST
+    df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None, rest: int = _REST,
+    accuracy: int = _ACCURACY,
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row (*by, probability, quantile) per group and probability.
 
-    Spark's own ``percentile`` keeps every distinct value of a group in one buffer. Here equal values are first
-    folded into weights (map-side, so a hot value costs nothing), then the range that holds the wanted rank is narrowed
-    by histograms until the counted rest is at most ``rest`` values; only that is ordered. Bins lie between the least and
-    the greatest value that is left, so every round leaves at least one of them out and outliers cost rounds, not memory.
-    The bins steer the work only: ranks are exact counts throughout.
+    Spark's own ``percentile`` keeps every distinct value of a group in one buffer. Here a first pass builds a sketch
+    per group, which brackets each wanted rank. A second pass keeps equal values inside a bracket as weights and folds
+    everything between two brackets into one row, so what is shuffled and written is a small share of the values. Ranks
+    are exact counts: a bracket that missed its rank widens to the whole group, and one that still holds more than
+    ``rest`` values is narrowed by histograms between its least and greatest value, which leaves out at least one bin a
+    round. Only the rest is ordered, so outliers and large groups cost rounds, not memory.
     """
     by = by or []
     for key in [value, *by]:
         df = df.filter(F.col(key).isNotNull())
-    # Every round reads this table; written once, it spares the passes over the source.
-    weighted = cut_lineage(df.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_w")))
-    wanted = (
-        weighted.groupBy(*by)
-        .agg(F.sum("_w").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .filter(F.col("_n") > 0)
-        .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
-        .withColumn("_rank", F.floor("_pos"))
-        .withColumn("_below", F.lit(0).cast("bigint"))
-        .withColumn("_after", F.lit(None).cast("double"))
-        .select(*by, *_STATE)
-    )
+    rows = df.select(*by, F.col(value).cast("double").alias("_v"))
+    brackets = cut_lineage(_brackets(rows, probabilities, by, accuracy))
+    weighted = cut_lineage(_folded(rows, brackets, by))
+    wanted = cut_lineage(_located(weighted, brackets, by))
+    if not wanted.filter("_missed").isEmpty():
+        # Every round reads this table; written once, it spares the passes over the source.
+        weighted = cut_lineage(rows.groupBy(*by, "_v").agg(F.count("*").alias("_w")))
+        wide = brackets.withColumns({"_lo": F.col("_min"), "_hi": F.col("_max")})
+        wanted = cut_lineage(_located(weighted, wide, by))
+    wanted = wanted.select(*by, *_STATE)
     while _largest(weighted, wanted, by) > rest:
         wanted = cut_lineage(_narrow(weighted, wanted, by))
     ordered = Window.partitionBy(*by, "_p").orderBy("_v")
@@ -57,6 +58,72 @@ def exact_quantiles(
     )
 
 
+def _brackets(rows: DataFrame, probabilities: list[float], by: list[str], accuracy: int) -> DataFrame:
+    """(*by, _p, _pos, _rank, _lo, _hi, _min, _max) from one pass; the ends of a group stand for ranks beyond it."""
+    probabilities, reach = [float(p) for p in probabilities], 2 / accuracy
+    lows, highs = ([min(max(p + s * reach, 0.0), 1.0) for p in probabilities] for s in (-1, 1))
+    sketch = rows.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [*lows, *highs], accuracy).alias("_at"),
+    )
+    each = F.array(
+        *[F.struct(F.lit(p).alias("_p"), F.lit(k + 1).alias("_k")) for k, p in enumerate(probabilities)]
+    )
+    low = F.when(F.col("_p") > reach, F.element_at("_at", F.col("_k"))).otherwise(F.col("_min"))
+    high = F.when(F.col("_p") < 1 - reach, F.element_at("_at", F.col("_k") + len(probabilities))).otherwise(F.col("_max"))
+    return (
+        sketch.filter("_n > 0")
+        .select(*by, "_n", "_min", "_max", "_at", F.inline(each))
+        .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
+        .select(*by, "_p", "_pos", F.floor("_pos").alias("_rank"), low.alias("_lo"), high.alias("_hi"), "_min", "_max")
+    )
+
+
+def _with_array(rows: DataFrame, states: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """The rows with the states of their group as an array ``_s``."""
+    gathered = F.collect_list(F.struct(*columns)).alias("_s")
+    if by:
+        return rows.join(states.groupBy(*by).agg(gathered), by)
+    return rows.withColumn("_s", states.agg(gathered).scalar())
+
+
+def _folded(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, _v, _w): values inside a bracket with their weights, and one row for all values of a gap between brackets.
+
+    The row of a gap stands at its least value, which lies in no bracket and is the first one after the bracket below.
+    """
+    v: Column = F.col("_v")
+    return (
+        _with_array(rows, brackets, by, ["_lo", "_hi"])
+        .select(
+            *by, "_v",
+            F.when(F.exists("_s", lambda s: v.between(s["_lo"], s["_hi"])), v).alias("_inside"),
+            F.size(F.filter("_s", lambda s: s["_lo"] > v)).alias("_gap"),
+        )
+        .groupBy(*by, "_inside", "_gap")
+        .agg(F.min("_v").alias("_v"), F.count("*").alias("_w"))
+        .select(*by, "_v", "_w")
+    )
+
+
+def _located(weighted: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+    """The state of each wanted quantile, and whether its bracket missed its rank."""
+    v, keys = F.col("_v"), [*by, "_p"]
+    state = ["_p", "_pos", "_rank", "_lo", "_hi"]
+    return (
+        _with_array(weighted, brackets, by, state)
+        .select(*by, "_v", "_w", F.inline("_s"))
+        .groupBy(*keys)
+        .agg(
+            *[F.first(c).alias(c) for c in state[1:]],
+            F.coalesce(F.sum(F.when(v < F.col("_lo"), F.col("_w"))), F.lit(0)).alias("_below"),
+            F.coalesce(F.sum(F.when(v <= F.col("_hi"), F.col("_w"))), F.lit(0)).alias("_upto"),
+            F.min(F.when(v > F.col("_hi"), v)).alias("_after"),
+        )
+        .withColumn("_missed", (F.col("_rank") < F.col("_below")) | (F.col("_rank") >= F.col("_upto")))
+    )
+
+
 def _largest(weighted: DataFrame, wanted: DataFrame, by: list[str]) -> int:
     """Most values left for one quantile."""
     left = _inside(weighted, wanted, by).groupBy(*by, "_p").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobgrain.functions.text import UNKNOWN
 from jobgrain.sources.postings import csv_options
@@ -52,6 +52,35 @@ def regional_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("region") != UNKNOWN).withColumn("region", F.lower("region"))
 
 
+MANIFEST = "_manifest"
+
+
+def replace_regions(df: DataFrame, path: str, batch: int, fmt: str = "csv") -> DataFrame:
+    """Write the regions of a late batch over their old folders and leave all others as they are; returns the manifest.
+
+    ``write_regional`` replaces the whole folder; here Spark's dynamic overwrite replaces a region's folder when the job
+    commits, so a job that fails leaves the old rows. The manifest holds a row for each region and batch: it is
+    written after the rows, and a batch that runs again replaces its own entry only, so either may be repeated. Rows of
+    unknown regions are not written, as in ``write_regional``; an empty batch touches nothing.
+    """
+    rows = regional_rows(df)
+    writer = rows.hint("rebalance", "region").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = writer.partitionBy("region")
+    if fmt == "csv":
+        writer.options(**csv_options()).csv(path)
+    else:
+        writer.format(fmt).save(path)
+    entry = rows.groupBy("region").agg(F.count("*").alias("rows")).withColumn("batch", F.lit(batch).cast("bigint")).coalesce(1)
+    entry.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/{MANIFEST}")
+    return regional_manifest(df.sparkSession, path)
+
+
+def regional_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(region, batch, rows): the last batch that replaced each region and the rows it left there."""
+    entries = spark.read.schema("region string, rows bigint, batch bigint").parquet(f"{path}/{MANIFEST}")
+    return entries.groupBy("region").agg(F.max("batch").alias("batch"), F.max_by("rows", "batch").alias("rows"))
+
+
 def _export(df: DataFrame, wanted: list[str]) -> DataFrame:
     flags = [c for c in df.columns if c.startswith("has_")]
     present = [c for c in [*wanted, *flags] if c in df.columns]

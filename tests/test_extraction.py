@@ -180,3 +180,19 @@ def test_offsets_far_into_long_texts(spark, small_lexicon):
     at = text.index("SQL")
     assert found == sorted([(1, at, at + 3, "sql"), (1, at, at + 11, "sql server"), (1, len(text) - 6, len(text), "python"), (2, 0, 3, "sql")],
                            key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_blocks_and_matrix_agree_on_ties(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(5)
+    distinct = rng.normal(size=(6, 16))
+    skills = spark.createDataFrame([(f"s{i:02d}", [float(x) for x in distinct[i % 6]]) for i in range(50)], "skill string, vector array<double>")
+    texts = spark.createDataFrame(
+        [(i, [float(x) for x in distinct[i % 6] + 0.1 * rng.normal(size=16)]) for i in range(90)], "job_id int, vector array<double>"
+    ).repartition(5)
+    both = [rows(embedding.closest_skills(texts, skills, 4, 0.3, broadcast_bytes=b), "job_id", "skill", "rank") for b in (1 << 20, 0)]
+    assert both[0] == both[1] and len(both[0]) == 360
+    packed = embedding.pack_vectors(texts.withColumn("n", F.col("job_id").cast("bigint")), "n", "vector", 7)
+    assert packed.count() <= 90 / 7 + 5 and packed.agg(F.sum(F.size("numbers"))).first()[0] == 90
+    nothing = embedding.closest_skills(texts, skills.limit(0), 4, 0.3, broadcast_bytes=-1)
+    assert nothing.count() == 0

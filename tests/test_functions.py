@@ -5,7 +5,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from jobgrain.functions import dates, salary, text
+from jobgrain.functions import dates, quantiles, salary, text
 from jobgrain.functions.hashing import hash_percent, split_name
 from jobgrain.functions.quantiles import exact_quantiles
 from jobgrain.functions.rowids import with_row_number
@@ -131,3 +131,25 @@ def test_exact_quantiles(spark, shape):
         assert alone[p] == pytest.approx(np.quantile(values, p), rel=1e-12)
         assert grouped[("b", p)] == pytest.approx(1 + p)
     assert len(grouped) == 2 * len(probabilities)
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 3])
+def test_quantiles_from_brackets(spark, accuracy):
+    rng = np.random.default_rng(11)
+    groups = {"even": rng.integers(0, 9, 4_000).astype(float), "wide": np.exp(rng.normal(0, 30, 4_000)), "one": np.array([5.0]),
+              "hot": np.concatenate([np.zeros(5_000), rng.normal(size=500)])}
+    df = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values] + [("even", None), (None, 1.0)], "g string, v double")
+    probabilities = [0.0, 0.0001, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    found = exact_quantiles(df, "v", probabilities, ["g"], accuracy=accuracy).collect()
+    assert len(found) == len(groups) * len(probabilities)
+    for r in found:
+        assert r["quantile"] == pytest.approx(np.quantile(groups[r["g"]], r["probability"]), rel=1e-12)
+    assert exact_quantiles(df.limit(0), "v", [0.5], ["g"]).count() == exact_quantiles(df.limit(0), "v", [0.5]).count() == 0
+
+
+def test_brackets_leave_few_values(spark):
+    rows = spark.range(200_000).select(F.rand(7).alias("_v"))
+    brackets = quantiles._brackets(rows, [0.25, 0.5, 0.75], [], 10_000)
+    folded = quantiles._folded(rows, brackets, [])
+    assert folded.agg(F.sum("_w")).first()[0] == 200_000 and folded.count() < 1_000
+    assert quantiles._located(folded, brackets, []).filter("_missed").count() == 0

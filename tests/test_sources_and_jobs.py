@@ -125,3 +125,20 @@ def test_extraction_with_vectors(spark, small_lexicon, tmp_path):
     skills = spark.createDataFrame([("rust", [0.1, 1.0]), ("go", [1.0, 0.1])], "skill string, vector array<float>")
     df = plans.extract_job(cleaned, small_lexicon, str(tmp_path), text_vectors=texts, skill_vectors=skills)
     assert rows(df, "job_id", "extracted_skills", "num_skills") == [(1, "go;python", 2), (2, "rust", 1)]
+
+
+def test_a_late_batch_replaces_its_regions_only(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "regions")
+    schema = "job_id int, region string"
+    first = spark.createDataFrame([(1, "North"), (2, "South"), (3, "South"), (4, "Unknown")], schema)
+    manifest = sinks.replace_regions(first, path, 1, "parquet")
+    assert rows(manifest) == [("north", 1, 1), ("south", 1, 2)]
+    north = sorted(os.listdir(f"{path}/region=north"))
+    late = spark.createDataFrame([(5, "South"), (6, "East"), (7, None)], schema)
+    for _ in range(2):  # the same batch again changes nothing
+        assert rows(sinks.replace_regions(late, path, 2, "parquet")) == [("east", 2, 1), ("north", 1, 1), ("south", 2, 1)]
+        assert rows(spark.read.parquet(path), "job_id", "region") == [(1, "north"), (5, "south"), (6, "east")]
+    assert sorted(os.listdir(f"{path}/region=north")) == north
+    assert rows(sinks.replace_regions(late.limit(0), path, 3, "parquet")) == [("east", 2, 1), ("north", 1, 1), ("south", 2, 1)]
