@@ -62,9 +62,9 @@ def long_grid(wide: DataFrame) -> DataFrame:
 
 
 def _period_order(counts: DataFrame) -> DataFrame:
-    """(period, ordinal from 0). Periods are calendar labels, a few per year of data."""
+    """(period, ordinal from 0, number of all periods). Periods are calendar labels, a few per year of data."""
     periods = counts.agg(F.array_sort(F.collect_set("period")).alias("p"))
-    return periods.select(F.posexplode("p").alias("ordinal", "period"))
+    return periods.select(F.posexplode("p").alias("ordinal", "period"), F.size("p").cast("bigint").alias("_n"))
 
 
 def _spread_parts(count: Column) -> list[Column]:
@@ -86,14 +86,15 @@ def growth_metrics(counts: DataFrame) -> DataFrame:
     gives the measures of the full grid.
     """
     order = _period_order(counts)
-    n = order.agg(F.count("*")).scalar()
-    y, x = F.col("count"), F.col("ordinal")
+    # The number of periods comes along with their order, so the counts are read twice in all.
+    n, y, x = F.col("_n"), F.col("count"), F.col("ordinal")
     edge = F.least(n, F.lit(EDGE_PERIODS))
     sums = (
         counts.join(F.broadcast(order), "period")
         .groupBy("skill")
         .agg(
             F.sum(y).alias("total_mentions"),
+            F.max("_n").alias("_n"),
             *_spread_parts(y),
             F.sum(x * y).alias("_xy"),
             F.sum(F.when(x < EDGE_PERIODS, y).otherwise(0)).alias("_first"),
@@ -166,7 +167,7 @@ def anomalies(counts: DataFrame, threshold: float = Z_LIMIT) -> DataFrame:
     unfolded for those skills alone.
     """
     periods = counts.agg(F.array_sort(F.collect_set("period"))).scalar()
-    n = F.size(periods)
+    n = F.size("_periods")
     totals = counts.groupBy("skill").agg(
         F.sum("count").alias("_y"),
         *_spread_parts(F.col("count")),
@@ -175,12 +176,13 @@ def anomalies(counts: DataFrame, threshold: float = Z_LIMIT) -> DataFrame:
     spread = F.try_divide(_squared_deviations(F.col("_y"), n), n - 1)
     stats = (
         totals.filter(F.col("_y") >= MIN_MENTIONS)
+        .withColumn("_periods", periods)
         .withColumns({"mean": F.col("_y") / n, "_std": F.sqrt(spread)})
         .filter(F.col("_std") > 0)
     )
     missing = stats.filter(F.col("mean") / F.col("_std") > threshold).select(
         "skill",
-        F.explode(F.array_except(periods, F.col("_present"))).alias("period"),
+        F.explode(F.array_except("_periods", F.col("_present"))).alias("period"),
         F.lit(0).cast("bigint").alias("count"),
         "mean", "_std",
     )

@@ -159,15 +159,24 @@ def geography_job(jobs: DataFrame, out: str) -> dict[str, DataFrame]:
     return _write_all(tables, out)
 
 
-def run_all(postings: DataFrame, lexicon: DataFrame, out: str, frequency: str = "monthly") -> dict[str, DataFrame]:
-    """From raw postings to every result table."""
-    cleaned = clean_job(postings, out)
-    jobs = extract_job(cleaned, lexicon, out)
+def run_all(
+    postings: DataFrame,
+    lexicon: DataFrame,
+    out: str,
+    frequency: str = "monthly",
+    clean_options: dict | None = None,
+    extract_options: dict | None = None,
+    cooccurrence_options: dict | None = None,
+    trend_options: dict | None = None,
+) -> dict[str, DataFrame]:
+    """From raw postings to every result table. The options are the named parameters of the single jobs."""
+    cleaned = clean_job(postings, out, **clean_options or {})
+    jobs = extract_job(cleaned, lexicon, out, **extract_options or {})
     return {
         "cleaned": cleaned,
         "jobs_with_skills": jobs,
-        **cooccurrence_job(jobs, out),
-        **trends_job(jobs, out, frequency),
+        **cooccurrence_job(jobs, out, **cooccurrence_options or {}),
+        **trends_job(jobs, out, **{"frequency": frequency, **(trend_options or {})}),
         **geography_job(jobs, out),
     }
 

@@ -113,6 +113,13 @@ def test_all_jobs(spark, posting_file, small_lexicon, tmp_path):
     assert tables["location_stats"].agg(F.sum("job_count")).first()[0] == 60
     assert tables["network_metrics"].count() == tables["clusters"].count() > 3
     assert tables["trends_summary"].first()["num_periods"] == 6
+    other = plans.run_all(
+        postings.read_postings(spark, posting_file), small_lexicon, f"{out}-other", clean_options={"remove_dups": False},
+        extract_options={"top_flags": 1}, cooccurrence_options={"top_n": 2, "matrix": "dense"}, trend_options={"frequency": "quarterly", "top_n": 1},
+    )
+    assert sum(c.startswith("has_") for c in other["jobs_with_skills"].columns) == 1
+    assert other["network_edges"].count() == 2 and other["trends_emerging"].count() <= 1
+    assert other["cooccurrence"].count() > tables["cooccurrence"].count() and other["trends_summary"].first()["num_periods"] == 2
     with pytest.raises(ValueError):
         plans.trends_job(tables["jobs_with_skills"].withColumn("posted_date_parsed", F.lit(None).cast("date")), out)
     with pytest.raises(ValueError):
