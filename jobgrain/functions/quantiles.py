@@ -34,14 +34,17 @@ def exact_quantiles(
     brackets = cut_lineage(_brackets(rows, probabilities, by, accuracy))
     weighted = cut_lineage(_folded(rows, brackets, by))
     wanted = cut_lineage(_located(weighted, brackets, by))
-    if not wanted.filter("_missed").isEmpty():
+    missed, left = wanted.agg(F.bool_or("_missed"), F.max("_left")).first()
+    if missed:
         # Every round reads this table; written once, it spares the passes over the source.
         weighted = cut_lineage(rows.groupBy(*by, "_v").agg(F.count("*").alias("_w")))
         wide = brackets.withColumns({"_lo": F.col("_min"), "_hi": F.col("_max")})
         wanted = cut_lineage(_located(weighted, wide, by))
+        left = wanted.agg(F.max("_left")).first()[0]
     wanted = wanted.select(*by, *_STATE)
-    while _largest(weighted, wanted, by) > rest:
+    while (left or 0) > rest:
         wanted = cut_lineage(_narrow(weighted, wanted, by))
+        left = _largest(weighted, wanted, by)
     ordered = Window.partitionBy(*by, "_p").orderBy("_v")
     found = (
         _inside(weighted, wanted, by)
@@ -119,6 +122,7 @@ def _located(weighted: DataFrame, brackets: DataFrame, by: list[str]) -> DataFra
             F.coalesce(F.sum(F.when(v < F.col("_lo"), F.col("_w"))), F.lit(0)).alias("_below"),
             F.coalesce(F.sum(F.when(v <= F.col("_hi"), F.col("_w"))), F.lit(0)).alias("_upto"),
             F.min(F.when(v > F.col("_hi"), v)).alias("_after"),
+            F.count_if(v.between(F.col("_lo"), F.col("_hi"))).alias("_left"),
         )
         .withColumn("_missed", (F.col("_rank") < F.col("_below")) | (F.col("_rank") >= F.col("_upto")))
     )
