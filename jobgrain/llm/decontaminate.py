@@ -2,13 +2,14 @@
 
 A window is every run of ``WINDOW`` words of an item; an item with fewer words is one window. A window lies in a document
 only if all its shingles do, so its rarest shingle over all documents is a necessary prefix: a first pass counts the
-shingles of the windows in every document, windows whose rarest shingle never occurs are out, and a second pass joins
+shingles of the windows in every document, windows with a shingle that never occurs are out, and a second pass joins
 documents with the others on that shingle alone. The place of the shingle fixes where the window would have to start; the
 bounds of the document and then all words are checked.
 
-The items are taken in blocks of at most ``BLOCK`` words, an item beyond that in parts that share all windows across their
-seams. One block at a time is in the driver, which builds its windows; it is broadcast and run against all rows. No row of
-the documents leaves its task but the counts of the blocks' shingles.
+Windows, counts, prefixes and candidates are tables, whatever the size of the benchmark. Tasks learn which shingles matter
+from an array of bits of at most ``1 << MOST_BITS`` bits, the only thing that passes the driver: it loses no shingle, and
+strangers that pass it find no partner in the join. Places are joined, not documents: a place carries the words that a window
+around it can reach. Equal texts have equal results, so these go by the digest of the text.
 
 Defined cases: a null or empty text has no words and is never contaminated; items without words have no window; items
 under one id count as one item; a null item id stands as the empty string; repeated rows and null ids keep their rows; an
@@ -18,20 +19,22 @@ empty benchmark contaminates nothing; further columns are not read by ``find_pas
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Iterator
-from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Words of a window and of a shingle, words of a block of items, bytes read at once.
-WINDOW, SHINGLE, BLOCK, SLAB = 13, 3, 2_000_000, 1 << 18
+from jobgrain.session import materialise
+
+#: Words of a window and of a shingle, windows handed on at once, bytes read at once.
+WINDOW, SHINGLE, BLOCK, SLAB = 13, 3, 20_000, 1 << 18
+#: Bits for each key of the array of bits, and the most bits as a power of two: 32 MB.
+BITS_PER_KEY, MOST_BITS = 32, 28
+#: Shingles a task holds before it counts them, places it holds before it hands them on.
+FOLD, PLACES = 1 << 20, 10_000
 #: Fixed value: what a word is, once A-Z are in lower case: digits, letters and whatever lies above ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_WORD_OF_TEXT = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _LETTER = np.zeros(256, np.int8)
@@ -40,10 +43,6 @@ for _range in (range(ord("0"), ord("9") + 1), range(ord("a"), ord("z") + 1), ran
 _POWERS: list[np.ndarray] = []
 
 
-def words_of(text: str) -> list[bytes]:
-    return WORD.findall(text.encode().lower())
-
-
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2 ** 64."""
     if not _POWERS or len(_POWERS[0]) < size:
@@ -89,253 +88,209 @@ def word_codes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, by
 
 
 def _mixed(code: np.ndarray, word: np.ndarray) -> np.ndarray:
-    code = (code + word.astype(np.uint64)) * _MIX
+    code = (code + word) * _MIX
     return code ^ code >> np.uint64(29)
 
 
-def shingles(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and numbers of the runs of ``size`` known words. Equal runs have equal numbers."""
-    n = max(len(ids) - size + 1, 0)
-    known = ids[:n] > 0
-    for k in range(1, size):
-        known &= ids[k : k + n] > 0
-    places = np.flatnonzero(known)
-    code = np.full(len(places), size, np.uint64)
+def shingles(codes: np.ndarray, size: int) -> np.ndarray:
+    """Numbers of all runs of ``size`` words, by where they start. Equal runs have equal numbers."""
+    n = max(len(codes) - size + 1, 0)
+    code = np.full(n, size, np.uint64)
     for k in range(size):
-        code = _mixed(code, ids[places + k])
-    return places, code
-
-
-class Windows(NamedTuple):
-    """The distinct windows of a block of items."""
-
-    vocabulary: dict[bytes, int]
-    words: np.ndarray  # one row for each window, padded with -1
-    lengths: np.ndarray
-    items: list[tuple[str, ...]]  # the items each window belongs to
-
-    def width(self) -> np.ndarray:
-        return np.minimum(SHINGLE, self.lengths)
-
-    def places(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shingle, window and offset of every shingle in every window."""
-        found = []
-        for size in range(1, SHINGLE + 1):
-            chosen = np.flatnonzero(self.width() == size)
-            for offset in range(self.words.shape[1] - size + 1):
-                own = chosen[self.lengths[chosen] >= offset + size]
-                if len(own):
-                    code = _columns(self.words[own, offset : offset + size], size)
-                    found.append((code, own, np.full(len(own), offset)))
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def _columns(rows: np.ndarray, size: int) -> np.ndarray:
-    """``shingles`` of rows that are one shingle each."""
-    code = np.full(len(rows), size, np.uint64)
-    for k in range(size):
-        code = _mixed(code, rows[:, k])
+        code = _mixed(code, codes[k : k + n])
     return code
 
 
-def windows_of(items: list[tuple[str, str]], length: int = WINDOW) -> Windows:
-    vocabulary: dict[bytes, int] = {}
-    held: dict[tuple[int, ...], set[str]] = {}
-    for name, text in items:
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)]
-        for at in range(max(1, len(ids) - length + 1) if ids else 0):
-            held.setdefault(tuple(ids[at : at + length]), set()).add(name)
-    table = np.full((len(held), length), -1, np.int64)
-    for row, window in zip(table, held):
-        row[: len(window)] = window
-    return Windows(vocabulary, table, np.array([len(w) for w in held], np.int64), [tuple(x) for x in held.values()])
-
-
-class Reader:
-    """Word numbers of a text under a block's vocabulary; unknown words are 0."""
-
-    def __init__(self, vocabulary: dict[bytes, int]):
-        self.names = [b"", *vocabulary]
-        codes = word_codes(b" ".join(vocabulary).decode())[0]
-        order = np.argsort(codes, kind="stable")
-        self._codes, self._numbers = codes[order], order + 1
-        if len(np.unique(codes)) < len(vocabulary):
-            raise ValueError("two words of the benchmark have one number; choose another base")
-        self._first = np.zeros(1 << 16, bool)
-        self._first[(codes >> np.uint64(48)).astype(np.int64)] = True
-
-    def __call__(self, text: str | None) -> tuple[np.ndarray, tuple]:
-        """Numbers, and what ``same`` needs to compare the words themselves."""
-        codes, starts, ends, data = word_codes(text)
-        ids = np.zeros(len(codes), np.int64)
-        if len(self._codes):
-            likely = np.flatnonzero(self._first[(codes >> np.uint64(48)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self._codes, codes[likely]), len(self._codes) - 1)
-            equal = self._codes[at] == codes[likely]
-            ids[likely[equal]] = self._numbers[at[equal]]
-        return ids, (starts, ends, data)
-
-    def same(self, place: tuple, start: int, window: np.ndarray) -> bool:
-        """Whether the words from ``start`` on are those of the window, by their letters."""
-        starts, ends, data = place
-        return all(data[starts[start + k] : ends[start + k]] == self.names[w] for k, w in enumerate(window))
-
-
-def shingle_counts(docs: DataFrame, text: str, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """The block's distinct shingles and their occurrences in all documents."""
-    codes, _, _ = windows.places()
-    table = np.unique(codes)
-    sizes = sorted(set(windows.width().tolist()))
-    shared = docs.sparkSession.sparkContext.broadcast((windows.vocabulary, table))
+class Bits:
+    """A set of shingles in an array of bits: "no" is sure."""
+
+    _FACTORS = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
+
+    def __init__(self, power: int):
+        self._shift = np.uint64(64 - power)
+        self.words = np.zeros(1 << power - 6, np.uint64)
+
+    def _places(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for factor in self._FACTORS:
+            place = codes * factor >> self._shift
+            yield place >> np.uint64(6), place & np.uint64(63)
+
+    def add(self, codes: np.ndarray) -> None:
+        for word, bit in self._places(codes):
+            np.bitwise_or.at(self.words, word, np.uint64(1) << bit)
+
+    def held(self, codes: np.ndarray) -> np.ndarray:
+        """Indices of the shingles that may be in the set."""
+        at = np.arange(len(codes))
+        for factor in self._FACTORS:
+            place = codes[at] * factor >> self._shift
+            at = at[self.words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1]
+        return at
+
+
+def bits_of(codes: DataFrame, count: int) -> Bits:
+    """The set of the numbers in column ``code``. Tasks fill arrays, which are or-ed word by word."""
+    power = int(np.clip(int(count * BITS_PER_KEY).bit_length(), 16, MOST_BITS))
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Bits(power)
+        for batch in batches:
+            own.add(batch.column(0).to_numpy().view(np.uint64))
+        some = np.flatnonzero(own.words)
+        for at in range(0, len(some), FOLD):
+            word = some[at : at + FOLD]
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(own.words[word].view(np.int64))], ["word", "bits"])
+
+    words = codes.select("code").mapInArrow(filled, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = Bits(power)
+    bits.words[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def windows_of(benchmark: DataFrame, key: str = "item_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """``item, win, n, codes`` of every window: its words joined by spaces, their number, its shingles in order."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                codes, starts, ends, data = word_codes(value.as_py())
+                length = min(WINDOW, len(codes))
+                if not length:
+                    continue
+                size = min(SHINGLE, length)
+                runs, many = shingles(codes, size).view(np.int64), length - size + 1
+                for at in range(0, len(codes) - length + 1, block):
+                    last = min(at + block, len(codes) - length + 1)
+                    words = [data[a:b].decode() for a, b in zip(starts[at : last + length - 1], ends[at : last + length - 1])]
+                    held = np.lib.stride_tricks.sliding_window_view(runs[at : last + many - 1], many)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([item] * (last - at), pa.string()),
+                            pa.array([" ".join(words[k : k + length]) for k in range(last - at)], pa.string()),
+                            pa.array(np.full(last - at, length, np.int32)),
+                            pa.ListArray.from_arrays(np.arange(0, held.size + 1, many, dtype=np.int32), pa.array(held.ravel())),
+                        ],
+                        ["item", "win", "n", "codes"],
+                    )
+
+    items = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
+    return items.mapInArrow(cut, "item string, win string, n int, codes array<long>")
+
+
+def shingle_counts(texts: DataFrame, wanted: Bits, sizes: list[int]) -> DataFrame:
+    """``code, often``: occurrences in all texts of the shingles that may be wanted."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def folded(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes, often = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(often.astype(np.int64))], ["code", "often"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, table = shared.value
-        read, counts = Reader(vocabulary), np.zeros(len(table), np.int64)
+        wanted, held, size = shared.value, [], 0
         for batch in batches:
             for value in batch.column(0):
-                ids, _ = read(value.as_py())
-                for size in sizes:
-                    code = shingles(ids, size)[1]
-                    at = np.minimum(np.searchsorted(table, code), len(table) - 1)
-                    at = at[table[at] == code]
-                    if len(at):
-                        np.add.at(counts, at, 1)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["at", "n"])
-
-    total = np.zeros(len(table), np.int64)
-    for row in docs.select(text).mapInArrow(counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        total[row["at"]] = row["n"]
-    return table, total
-
-
-class Prefixes(NamedTuple):
-    """Windows by their rarest shingle: ``window[first[k] : first[k + 1]]`` belong to ``codes[k]``."""
-
-    codes: np.ndarray
-    first: np.ndarray
-    window: np.ndarray
-    offset: np.ndarray
-    sizes: list[int]
-
-
-def prefixes(windows: Windows, table: np.ndarray, counts: np.ndarray) -> Prefixes:
-    codes, owner, offset = windows.places()
-    often = counts[np.searchsorted(table, codes)] if len(codes) else codes.astype(np.int64)
-    order = np.lexsort((offset, often, owner))
-    _, at = np.unique(owner[order], return_index=True)
-    rarest = order[at]
-    rarest = rarest[often[rarest] > 0]  # a shingle that never occurs rules its window out
-    rarest = rarest[np.argsort(codes[rarest], kind="stable")]
-    keys, first = np.unique(codes[rarest], return_index=True)
-    sizes = sorted(set(windows.width()[owner[rarest]].tolist()))
-    return Prefixes(keys, np.append(first, len(rarest)), owner[rarest], offset[rarest], sizes)
-
-
-def occurrences(ids: np.ndarray, windows: Windows, index: Prefixes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and window of every occurrence in one document."""
-    starts, found = [], []
-    for size in index.sizes:
-        place, code = shingles(ids, size)
-        at = np.minimum(np.searchsorted(index.codes, code), len(index.codes) - 1)
-        same = index.codes[at] == code
-        place, at = place[same], at[same]
-        many = index.first[at + 1] - index.first[at]
-        rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        entry = np.repeat(index.first[at], many) + rank
-        window = index.window[entry]
-        start = np.repeat(place, many) - index.offset[entry]
-        fits = (start >= 0) & (start + windows.lengths[window] <= len(ids))
-        start, window = start[fits], window[fits]
-        if len(start):
-            reach = start[:, None] + np.arange(windows.words.shape[1])
-            read = ids[np.minimum(reach, len(ids) - 1)]
-            equal = ((read == windows.words[window]) | (windows.words[window] < 0)).all(axis=1)
-            starts.append(start[equal])
-            found.append(window[equal])
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(starts), np.concatenate(found)
-
-
-def item_blocks(benchmark: DataFrame, key: str, text: str, most: int = BLOCK) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of at most ``most`` words, or of one window if that is more; one row is read ahead at most."""
-    block, size = [], 0
-    rows = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.coalesce(text, F.lit("")).alias("t"))
-    for row in rows.toLocalIterator():
-        for part, words in _parts(row["t"], max(most, WINDOW)):
-            if block and size + words > most:
-                yield block
-                block, size = [], 0
-            block.append((row["k"], part))
-            size += words
-    if block:
-        yield block
-
-
-def _parts(text: str, most: int) -> Iterator[tuple[str, int]]:
-    """The text in parts of at most ``most`` words, ``WINDOW - 1`` of them shared with the part before, and their words."""
-    starts, first = deque(maxlen=WINDOW - 1), 0
-    count = 0
-    for word in _WORD_OF_TEXT.finditer(text):
-        if count == most:
-            yield text[first : word.start()], count
-            first, count = starts[0], len(starts)
-        starts.append(word.start())
-        count += 1
-    if count:
-        yield text[first:], count
-
-
-_STATE = "n_words long, n_hit long, hits binary, items array<string>"
-
-
-def _match(docs: DataFrame, windows: Windows, index: Prefixes) -> DataFrame:
-    """One more block: hits and items are added to what the blocks before have found."""
-    shared = docs.sparkSession.sparkContext.broadcast((windows, index))
-    names = docs.columns[:-4]
-
-    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, index = shared.value
-        read = Reader(windows.vocabulary)
+                codes = word_codes(value.as_py())[0]
+                for run in sizes:
+                    code = shingles(codes, run)
+                    held.append(code[wanted.held(code)])
+                    size += len(held[-1])
+                if size >= FOLD or len(held) >= FOLD:
+                    yield folded(held)
+                    held, size = [], 0
+        yield folded(held)
+
+    return texts.select("text").mapInArrow(counted, "code long, often long").groupBy("code").agg(F.sum("often").alias("often"))
+
+
+def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``wid, win, n, code, at``: each window whose shingles all occur, with its rarest one and where in the window that is."""
+    places = windows.select("win", "n", F.posexplode("codes").alias("at", "code")).join(counts, "code", "left")
+    rank = F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "at", "code")).alias("r")
+    rarest = places.groupBy("win").agg(F.first("n").alias("n"), rank).filter("r.often > 0")
+    return rarest.select(F.monotonically_increasing_id().alias("wid"), "win", "n", "r.code", "r.at")
+
+
+def read_places(texts: DataFrame, wanted: Bits, sizes: list[int]) -> DataFrame:
+    """A row with ``n_words`` for each text and one with ``code, place, first, words`` for each place of a shingle that may be wanted.
+
+    ``words`` are those a window around the place can reach, from the word ``first`` on.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+    names = [c for c in texts.columns if c != "text"]
+
+    def batch_of(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        own, *rest = zip(*rows)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+        arrays = [pa.array(values, t) for values, t in zip(rest, types)]
+        kept = batch.select(names).take(pa.array(own, pa.int64()))
+        return pa.RecordBatch.from_arrays([*kept.columns, *arrays], [*names, "n_words", "code", "place", "first", "words"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
         for batch in batches:
-            counts, hit_counts, hits, items = [], [], [], []
-            for value, seen, named in zip(batch.column("text"), batch.column("hits"), batch.column("items")):
-                ids, place = read(value.as_py())
-                start, found = occurrences(ids, windows, index) if len(index.codes) else (np.zeros(0, np.int64),) * 2
-                true = [read.same(place, a, windows.words[w, : windows.lengths[w]]) for a, w in zip(start.tolist(), found.tolist())]
-                start, found = start[np.array(true, bool)], found[np.array(true, bool)]
-                edge = np.zeros(len(ids) + 1, np.int64)
-                np.add.at(edge, start, 1)
-                np.add.at(edge, start + windows.lengths[found], -1)
-                hit = np.cumsum(edge)[:-1] > 0
-                if seen.as_py():
-                    hit |= np.unpackbits(np.frombuffer(seen.as_py(), np.uint8), count=len(ids)).astype(bool)
-                own = {*(named.as_py() or []), *(name for w in np.unique(found).tolist() for name in windows.items[w])}
-                counts.append(len(ids))
-                hit_counts.append(int(hit.sum()))
-                hits.append(np.packbits(hit).tobytes() if hit.any() else None)
-                items.append(sorted(own))
-            kept = [batch.column(n) for n in names]
-            new = [pa.array(counts, pa.int64()), pa.array(hit_counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*kept, *new], [*names, "n_words", "n_hit", "hits", "items"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.mapInArrow(matched, f"{fields}, {_STATE}")
-
-
-def _search(rows: DataFrame, benchmark: DataFrame, item_key: str, item_text: str, block: int) -> DataFrame:
-    """``n_words, n_hit, hits, items`` for every row of a frame with a column ``text``."""
-    empty = [F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"),
-             F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("items")]
-    found = rows.select("*", *empty)
-    blocks = item_blocks(benchmark, item_key, item_text, block)
-    for items in chain([next(blocks, [])], blocks):
-        windows = windows_of(items)
-        found = _match(found, windows, prefixes(windows, *shingle_counts(rows, "text", windows)))
-    return found
+            rows = []
+            for own, value in enumerate(batch.column("text")):
+                codes, starts, ends, data = word_codes(value.as_py())
+                n = len(codes)
+                rows.append((own, n, None, None, None, None))
+                for size in sizes:
+                    reach = WINDOW - SHINGLE if size == SHINGLE else 0  # a shorter run is a window of its own
+                    runs = shingles(codes, size)
+                    places = wanted.held(runs)
+                    for place, code in zip(places.tolist(), runs[places].view(np.int64).tolist()):
+                        first, last = max(place - reach, 0), min(place + size + reach, n)
+                        words = [data[a:b].decode() for a, b in zip(starts[first:last], ends[first:last])]
+                        rows.append((own, n, code, place, first, words))
+                        if len(rows) >= PLACES:
+                            yield batch_of(batch, rows)
+                            rows = []
+            if rows:
+                yield batch_of(batch, rows)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*names).schema)
+    return texts.mapInArrow(read, f"{fields}, n_words long, code long, place long, first long, words array<string>")
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+
+
+def _covered(spans: str) -> Column:
+    """Words inside at least one of the spans ``(a, b)``."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
+
+    def step(state: Column, span: Column) -> Column:
+        new = F.greatest(span["b"] - F.greatest(span["a"], state["end"]), F.lit(0).cast("bigint"))
+        return F.struct((state["n"] + new).alias("n"), F.greatest(state["end"], span["b"]).alias("end"))
+
+    return F.aggregate(F.array_sort(spans), zero, step, lambda state: state["n"])
+
+
+def _search(texts: DataFrame, benchmark: DataFrame, item_key: str, item_text: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """The texts without ``text`` and with ``n_words``; ``digest, n_words, n_hit, items`` of the texts that hold a window."""
+    pieces = materialise(windows_of(benchmark, item_key, item_text, block), "windows")
+    windows = pieces.groupBy("win").agg(F.first("n").alias("n"), F.first("codes").alias("codes"))
+    held = pieces.agg(F.collect_set(F.least("n", F.lit(SHINGLE))).alias("sizes"), F.sum(F.size("codes")).alias("codes")).first()
+    sizes = sorted(held["sizes"])
+
+    wanted = bits_of(pieces.select(F.explode("codes").alias("code")), held["codes"] or 0)
+    index = materialise(prefixes(windows, shingle_counts(texts, wanted, sizes)), "prefixes")
+    chosen = bits_of(index, index.count())
+    read = materialise(read_places(texts, chosen, sizes), "places")
+
+    start = F.col("place") - F.col("at")
+    own = F.slice("words", (start - F.col("first") + 1).cast("int"), F.col("n"))
+    fits = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
+    true = F.when(fits, F.array_join(own, " ") == F.col("win"))
+    hits = read.filter("code is not null").select("digest", "n_words", "code", "place", "first", "words").join(index, "code").filter(true)
+    spans = F.collect_set(F.struct(start.alias("a"), (start + F.col("n")).alias("b")))
+    of_text = hits.groupBy("digest").agg(F.first("n_words").alias("n_words"), spans.alias("spans"), F.collect_set("wid").alias("wids"))
+    of_text = of_text.select("digest", "n_words", _covered("spans").alias("n_hit"), F.explode("wids").alias("wid"))
+    owners = pieces.select("item", "win").distinct().join(index.select("win", "wid"), "win").select("wid", "item")
+    found = of_text.join(owners, "wid").groupBy("digest").agg(
+        F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"), F.sort_array(F.collect_set("item")).alias("items")
+    )
+    return read.filter("code is null").drop("code", "place", "first", "words"), found
 
 
 def _contaminated() -> Column:
@@ -347,15 +302,18 @@ def find_passages(
     item_text: str = "text", block: int = BLOCK,
 ) -> DataFrame:
     """``doc_id, n_words, n_hit, items, contaminated`` of every row; ``items`` is sorted."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    found = _search(rows, benchmark, item_key, item_text, block)
-    return found.select("doc_id", "n_words", "n_hit", "items", _contaminated().alias("contaminated"))
+    texts = docs.select(F.col(key).alias("doc_id"), _digest(text).alias("digest"), F.col(text).alias("text"))
+    rows, found = _search(texts, benchmark, item_key, item_text, block)
+    n_hit, items = F.coalesce("n_hit", F.lit(0).cast("bigint")), F.coalesce("items", F.array().cast("array<string>"))
+    judged = rows.join(found.drop("n_words"), "digest", "left").select("doc_id", "n_words", n_hit.alias("n_hit"), items.alias("items"))
+    return judged.withColumn("contaminated", _contaminated())
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", block: int = BLOCK
 ) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.col(text).alias("text"))
-    return _search(rows, benchmark, item_key, item_text, block).filter(~_contaminated()).select("doc.*")
-
+    _, found = _search(docs.select(_digest(text).alias("digest"), F.col(text).alias("text")), benchmark, item_key, item_text, block)
+    bad = materialise(found.filter(_contaminated()).select("digest"), "contaminated")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), _digest(text).alias("digest"))
+    return rows.join(bad, "digest", "left_anti").select("doc.*")

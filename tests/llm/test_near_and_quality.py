@@ -117,18 +117,44 @@ def test_passages_against_plain_python(spark, block):
     assert clean.columns == table.columns and clean.count() == sum(not e[-1] for e in expected)
 
 
-def test_long_items_are_cut_and_blocks_are_bounded(spark):
-    items = [(1, " ".join(f"w{i}é," for i in range(200))), (2, "one two"), (3, None), (4, " ".join(f"v{i}" for i in range(40)))]
-    benchmark = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
-    blocks = [*decontaminate.item_blocks(benchmark, "item_id", "text", 40)]
-    assert max(sum(len(decontaminate.words_of(t)) for _, t in b) for b in blocks) <= 40
-
-    def windows(taken):
-        held = decontaminate.windows_of(taken)
-        names = [b"", *held.vocabulary]
-        return sorted((tuple(names[w] for w in row if w > 0), own) for row, own in zip(held.words.tolist(), held.items))
-
-    assert sorted(w for b in blocks for w in windows(b)) == windows([(str(k), t or "") for k, t in items])
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 40])
+def test_windows_of_long_and_short_items(spark, block):
+    items = [(1, " ".join(f"w{i}é," for i in range(200))), (2, "one Two"), (3, None), (4, " ".join(f"v{i}" for i in range(40))), (None, "a-b")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = Counter()
+    for k, t in items:
+        w = WORD.findall((t or "").translate(LOWER))
+        expected.update(("" if k is None else str(k), " ".join(w[i : i + 13])) for i in range(max(1, len(w) - 12) if w else 0))
+    got = decontaminate.windows_of(benchmark, block=block).collect()
+    assert Counter((r.item, r.win) for r in got) == expected
+    assert all(r.n == len(r.win.split()) and len(r.codes) == r.n - min(r.n, 3) + 1 for r in got)
+
+
+def test_bits_lose_no_shingle(spark, monkeypatch):
+    codes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 5000)
+    frame = spark.createDataFrame([(int(c),) for c in codes], "code long")
+    others = np.random.default_rng(4).integers(-(2**63), 2**63 - 1, 100_000).view(np.uint64)
+    bits = decontaminate.bits_of(frame, 5000)
+    assert len(bits.held(codes.view(np.uint64))) == 5000 and len(bits.held(others)) < 200
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 16)
+    small = decontaminate.bits_of(frame, 5000)
+    assert len(small.words) == 1 << 10 and len(small.held(codes.view(np.uint64))) == 5000
+
+
+def test_a_full_array_of_bits_changes_no_result(spark, monkeypatch):
+    """Every shingle passes an array that is too small; long and hot texts come back whole, in several batches."""
+    monkeypatch.setattr(decontaminate, "MOST_BITS", 16)
+    monkeypatch.setattr(decontaminate, "BITS_PER_KEY", 0)
+    monkeypatch.setattr(decontaminate, "PLACES", 50)
+    monkeypatch.setattr(decontaminate.Bits, "held", lambda self, codes: np.arange(len(codes)))
+    rng = random.Random(8)
+    prose = [" ".join(rng.choice("red blue one two six".split()) for _ in range(30)) for _ in range(8)]
+    items = [(k, t) for k, t in enumerate(prose)] + [(50, prose[0]), (51, "red"), (52, "blue one")]
+    docs = [(i, prose[0]) for i in range(40)] + [(100, " x ".join(prose * 3)), (101, "six " * 500), (102, prose[1][:40])]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_passages(table, benchmark).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in got) == Counter(plain_passages(docs, items))
 
 
 def test_passages_of_empty_tables(spark, odd_docs, no_docs):
