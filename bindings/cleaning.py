@@ -261,6 +261,6 @@ ORACLE = {
     "date_range": "SELECT o_orderkey AS job_id, CAST(o_orderdate AS DATE) AS posted_date FROM orders WHERE o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '1998-07-01'",
     "email_report": "WITH words AS (SELECT source, unnest(regexp_split_to_array(text, '[ \\t\\r\\n]+')) AS w FROM documents) "
     "SELECT source, count(*) FILTER (ok) AS well_formed, count(*) FILTER (NOT ok) AS malformed FROM (SELECT source, "
-    "regexp_matches(w, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$') AS ok FROM words WHERE contains(w, '@')) q GROUP BY source",
+    f"regexp_matches(w, '{cleaning.EMAIL_PATTERN}') AS ok FROM words WHERE contains(w, '@')) q GROUP BY source",
     "avg_salary": sql("jobs0", "SELECT job_id, round((salary_min + salary_max) / 2, 4) AS avg_salary FROM jobs0"),
 }

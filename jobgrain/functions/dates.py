@@ -47,20 +47,18 @@ def _day(text: str, fmt: str) -> date:
     return datetime.strptime(text, fmt).date()
 
 
-def valid_date_range(start: str, end: str, fmt: str = "%Y-%m-%d") -> bool:
-    """Both bounds are dates in the format and in order."""
-    try:
-        return _day(start, fmt) <= _day(end, fmt)
-    except ValueError:
-        return False
+def day_bounds(start: str, end: str, fmt: str = "%Y-%m-%d") -> tuple[date, date]:
+    """Both bounds as days. What is no date in the format, or an end before the start, is an error that names it."""
+    first, last = _day(start, fmt), _day(end, fmt)
+    if last < first:
+        raise ValueError(f"the range ends on {end}, before it starts on {start}")
+    return first, last
 
 
 def within_dates(
     df: DataFrame, day: str, start: str = STUDY_START, end: str = STUDY_END, fmt: str = "%Y-%m-%d"
 ) -> DataFrame:
     """Rows between two dates, both inclusive. The bounds are checked before anything is read."""
-    if not valid_date_range(start, end, fmt):
-        raise ValueError(f"bad date range: {start} .. {end}")
+    first, last = day_bounds(start, end, fmt)
     # A half-open range on the column itself reaches the scan as a pushed filter, for dates and timestamps alike.
-    first, after = F.lit(_day(start, fmt)), F.date_add(F.lit(_day(end, fmt)), 1)
-    return df.filter((F.col(day) >= first) & (F.col(day) < after))
+    return df.filter((F.col(day) >= F.lit(first)) & (F.col(day) < F.date_add(F.lit(last), 1)))
