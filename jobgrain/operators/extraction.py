@@ -88,26 +88,27 @@ def extract_phrases(df: DataFrame, lexicon: DataFrame, text_column: str = "descr
 def phrase_probes(df: DataFrame, keys: DataFrame, text_column: str, id_column: str) -> DataFrame:
     """Places where a phrase may begin: (id, position, prefix, following), one row for each prefix that may be one.
 
-    A prefix is the first two tokens of a phrase, or its only one. Places whose one and two tokens are no prefix of the
-    lexicon leave through a ``KeyFilter`` in the task that unfolds them, so a frequent token that begins some phrase
-    does not bring all its places along.
+    A prefix is the first two tokens of a phrase, or its only one. A place costs one lookup of its token among the first
+    tokens; where that passes, a second ``KeyFilter`` is asked for the prefixes, so a frequent token that begins some
+    phrase does not bring all its places along. Both stand in the task that unfolds the places.
     """
     longest = keys.agg(F.max("n_tokens")).first()[0] or 1
-    words = F.col("_words")
-    following = [words, *[F.slice(words, k + 1, F.size(words)) for k in range(1, longest)]]
-    names = [f"_w{k}" for k in range(longest)]
+    words, at = F.col("_words"), F.col("position")
+    first = KeyFilter(keys.withColumn("_first", F.substring_index("prefix", " ", 1)), "_first")
     known = KeyFilter(keys, "prefix")
-    pair = F.concat_ws(" ", "_w0", "_w1") if longest > 1 else F.lit(None).cast("string")
-    next_word = F.col("_w1") if longest > 1 else F.lit(None).cast("string")
+    following = F.slice(words, at + 1, F.lit(longest))
+    pair = F.concat_ws(" ", "_w0", F.get(words, at + 1)) if longest > 1 else F.lit(None).cast("string")
+    has_next = at + 1 < F.size(words)
+    # The array of tokens stays beside its unfolded items: what follows a place is only read where the place passes.
     return (
         df.select(id_column, F.coalesce(tokens(F.col(text_column)), _literal([])).alias("_words"))
-        .select(id_column, F.posexplode_outer(F.arrays_zip(*following)).alias("position", "_z"))
-        .select(id_column, "position", *[F.col("_z").getField(str(k) if k else "_words").alias(n) for k, n in enumerate(names)])
-        .withColumns({"_one": known.may_hold(F.col("_w0")), "_two": next_word.isNotNull() & known.may_hold(pair)})
-        .filter("_one OR _two")
+        .select(id_column, "_words", F.posexplode_outer("_words").alias("position", "_w0"))
+        .filter(first.may_hold(F.col("_w0")))
         .select(
-            id_column, "position", F.array(*names).alias("following"),
-            F.explode(F.array(F.when(F.col("_one"), F.col("_w0")), F.when(F.col("_two"), pair))).alias("prefix"),
+            id_column, "position", following.alias("following"),
+            F.explode(
+                F.array(F.when(known.may_hold(F.col("_w0")), F.col("_w0")), F.when(has_next & known.may_hold(pair), pair))
+            ).alias("prefix"),
         )
         .filter(F.col("prefix").isNotNull())
     )

@@ -160,6 +160,20 @@ def test_places_that_begin_no_phrase_stay_out_of_the_join(spark):
     ]
 
 
+def test_places_are_unfolded_alone(spark):
+    """What follows a token is read after the filter, not copied beside every token."""
+    lexicon = spark.createDataFrame([("a b c", "c", None, None), ("d", "c", None, None)], "skill_name string, category string, subcategory string, aliases string")
+    df = spark.createDataFrame([(1, "x a b c d a b"), (2, "a b"), (3, "a"), (4, None), (5, "c d")], "job_id int, t string")
+    keys = phrase_keys(lexicon).withColumn("prefix", F.substring_index("phrase_key", " ", 2))
+    probes = extraction.phrase_probes(df, keys, "t", "job_id")
+    plan = probes._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan and "posexplode(_words" in plan
+    assert rows(probes, "job_id", "position", "prefix", "following") == [
+        (1, 1, "a b", ["a", "b", "c"]), (1, 4, "d", ["d", "a", "b"]), (1, 5, "a b", ["a", "b"]), (2, 0, "a b", ["a", "b"]), (5, 1, "d", ["d"]),
+    ]
+    assert rows(extraction.match_phrases(df, lexicon, "t", "job_id"), "job_id", "position", "skill") == [(1, 1, "a b c"), (1, 4, "d"), (5, 1, "d")]
+
+
 @pytest.mark.parametrize("most", [1 << 24, 64])
 def test_key_filter_loses_no_key(spark, most):
     keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
