@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.functions.arrays import unfold
 from jobgrain.functions.membership import KeyFilter
-from jobgrain.functions.text import TOKEN_PATTERN, tokens
+from jobgrain.functions.text import TOKEN, pieces, tokens
 from jobgrain.session import materialise
 from jobgrain.sources.lexicon import phrase_keys
 
@@ -132,24 +132,38 @@ def match_phrases(df: DataFrame, lexicon: DataFrame, text_column: str, id_column
 
 def phrase_offsets(df: DataFrame, lexicon: DataFrame, text_column: str, id_column: str,
                    inline_phrases: int = INLINE_PHRASES) -> DataFrame:
-    """Phrase occurrences with character offsets: (id, start, end, skill, surface), end exclusive.
+    """Phrase occurrences with character offsets: (id, start, end, skill, surface), end exclusive."""
+    listed = _listed(df.select(id_column, text_column), lexicon, text_column, inline_phrases, "inner")
+    return listed.select(id_column, F.inline_outer("_found")).filter(F.col("start").isNotNull())
 
-    With a lexicon of ordinary size everything happens in the row of the text and only the hits leave it: no join and
-    no shuffle. Above ``inline_phrases`` the token join of ``match_phrases`` finds the hits, whatever the size of the
-    lexicon, and they come back to their text once for their offsets.
+
+def phrase_lists(df: DataFrame, lexicon: DataFrame, text_column: str, name: str = "hits",
+                 inline_phrases: int = INLINE_PHRASES) -> DataFrame:
+    """The same beside each row: ``df`` with an array of (start, end, skill, surface), empty where nothing is found.
+
+    For what is done with the spans and their text together: neither has to be brought back to the other by a join.
+    """
+    listed = _listed(df, lexicon, text_column, inline_phrases, "left")
+    none = F.array().cast("array<struct<start:bigint,end:bigint,skill:string,surface:string>>")
+    return listed.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("_found", none).alias(name))
+
+
+def _listed(df: DataFrame, lexicon: DataFrame, text_column: str, inline_phrases: int, how: str) -> DataFrame:
+    """``df`` with the array ``_found``.
+
+    With a lexicon of ordinary size everything happens in the row of the text: no join and no shuffle. Above
+    ``inline_phrases`` the token join of ``match_phrases`` finds the hits, whatever the size of the lexicon, and they
+    come back to their text once for their offsets.
     """
     keys = phrase_keys(lexicon).select("skill", "phrase_key")
     phrases = [tuple(r) for r in keys.limit(inline_phrases + 1).collect()]
     if len(phrases) <= inline_phrases:
-        return _offsets_of(df, phrases, text_column, id_column)
-    numbered = materialise(
-        df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_column), F.col(text_column)), "numbered"
-    )
+        return _found_in_row(df, phrases, text_column)
+    numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     hits = match_phrases(numbered, lexicon, text_column, "_row")
     own = hits.groupBy("_row").agg(F.collect_list(F.struct("position", "n_tokens", "skill")).alias("_hits"))
-    source = _measured(numbered.join(own, "_row"), text_column, id_column, "_hits")
     found = F.transform("_hits", lambda h: _hit(h["position"] + 1, h["n_tokens"], h["skill"]))
-    return source.select(id_column, F.inline(found))
+    return _measured(numbered.join(own, "_row", how), text_column).withColumn("_found", found)
 
 
 _BLOCK = 64
@@ -178,84 +192,94 @@ def _blocks(values: Column | str, size: Column) -> Column:
     )
 
 
-def _measured(df: DataFrame, text_column: str, id_column: str, *keep: str) -> DataFrame:
-    """Tokens as written, the gaps before them, and the lengths before each block of tokens and each block of blocks.
-
-    An offset then adds one entry of either table and fewer than ``_BLOCK`` lengths, wherever in the text it lies.
-    """
-    text = F.col(text_column)
-    written = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+def _with_starts(df: DataFrame) -> DataFrame:
+    """``_starts``: what lies before each of ``_lengths``, by blocks and blocks of blocks, so in time linear in their number."""
+    part = lambda values, b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))
     return (
-        df.select(id_column, text_column, *keep, written.alias("_written"))
-        # One gap more than tokens: the last one follows the last token and is not needed.
-        .withColumn("_gaps", F.slice(F.split(text, TOKEN_PATTERN), F.lit(1), F.size("_written")))
-        .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
-        .withColumn("_sums", _blocks("_lengths", F.size("_written")))
+        df.withColumn("_sums", _blocks("_lengths", F.size("_lengths")))
         .withColumn("_far", _running(_blocks("_sums", F.size("_sums"))))
+        .withColumn("_near", F.flatten(F.transform("_far", lambda far, b: F.transform(_running(part("_sums", b)), lambda n: n + far))))
         .withColumn(
-            "_near",
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(0), F.size("_far") - 1), lambda b: _running(F.slice("_sums", b * _BLOCK + 1, F.lit(_BLOCK)))
-                )
-            ),
+            "_starts",
+            F.flatten(F.transform("_near", lambda near, b: F.transform(_running(part("_lengths", b)), lambda n: n + near))),
         )
     )
 
 
+def _measured(df: DataFrame, text_column: str) -> DataFrame:
+    """Tokens as written, the gaps before them, and what lies before each of them and its gap."""
+    text = F.col(text_column)
+    return _with_starts(
+        df.withColumn("_written", F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
+        # One gap more than tokens: the last one follows the last token and is not needed.
+        .withColumn("_gaps", F.slice(F.split(text, TOKEN), F.lit(1), F.size("_written")))
+        .withColumn("_lengths", F.zip_with("_written", "_gaps", lambda w, g: F.length(g) + F.length(w)))
+    )
+
+
+def _span(start: Column, skill: Column, surface: Column) -> Column:
+    return F.struct(
+        start.alias("start"), (start + F.length(surface)).alias("end"), skill.alias("skill"), surface.alias("surface")
+    )
+
+
 def _hit(i: Column, n_tokens: Column, skill: Column) -> Column:
     """Span of ``n_tokens`` tokens from the ``i``-th (from 1)."""
-    in_block = F.floor((i - 1) / _BLOCK).cast("int")
-    far = F.floor(in_block / _BLOCK).cast("int")
-    before = F.element_at("_far", far + 1) + F.element_at("_near", in_block + 1)
-    before = before + _total(F.slice("_lengths", in_block * _BLOCK + 1, i - 1 - in_block * _BLOCK))
-    gap = F.length(F.element_at("_gaps", i))
-    size = _total(F.slice("_lengths", i, n_tokens)) - gap
     # The text of a phrase is put together from its tokens and the gaps between them.
     rest = F.zip_with(
         F.slice("_gaps", i + 1, n_tokens - 1), F.slice("_written", i + 1, n_tokens - 1), lambda g, w: F.concat(g, w)
     )
     surface = F.concat(F.element_at("_written", i), F.when(n_tokens == 1, "").otherwise(F.array_join(rest, "")))
-    start = before + gap
-    return F.struct(start.alias("start"), (start + size).alias("end"), skill.alias("skill"), surface.alias("surface"))
-
-
-def _offsets_of(df: DataFrame, phrases: list[tuple[str, str]], text_column: str, id_column: str) -> DataFrame:
-    # Lengths come from the text as written, the comparison from its lower case.
-    lexicon = F.array(
-        *[
-            F.struct(F.lit(s).alias("skill"), F.lit(k).alias("key"), F.lit(k.split(" ")[0]).alias("first"),
-                     F.lit(k.count(" ") + 1).alias("n"))
-            for s, k in sorted(phrases)
-        ]
-    ) if phrases else F.array().cast("array<struct<skill:string,key:string,first:string,n:int>>")
-    firsts = _literal(sorted({k.split(" ")[0] for _, k in phrases}))
-    words = F.col("_words")
+    return _span(F.element_at("_starts", i) + F.length(F.element_at("_gaps", i)), skill, surface)
+
+
+def _found_in_row(df: DataFrame, phrases: list[tuple[str, str]], text_column: str) -> DataFrame:
+    """The text is cut before the places where a phrase may begin; only these are compared with the lexicon.
+
+    So what follows the one pass over the text costs by candidate places, not by tokens. Places are found whatever the
+    case, a few too many; the comparison takes the lower case of the tokens there, offsets the text as written.
+    """
+    by_first: dict[str, list[Column]] = {}
+    for skill, key in sorted(phrases):
+        phrase = F.struct(F.lit(skill).alias("skill"), F.lit(key).alias("key"), F.lit(key.count(" ") + 1).alias("n"))
+        by_first.setdefault(key.split(" ")[0], []).append(phrase)
+    none = F.array().cast("array<struct<skill:string,key:string,n:int>>")
+    lexicon = F.create_map(*[x for first, held in by_first.items() for x in (F.lit(first), F.array(*held))])
+    longest = max((k.count(" ") + 1 for _, k in phrases), default=1)
+    every = lambda pattern, text: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    front = rf"^(?:{TOKEN}\s*+){{1,{longest}}}+"
+
+    def hit(i: Column, n: Column, skill: Column) -> Column:
+        written = F.get("_written", i)
+        # Tokens with the gaps after them, but for the last.
+        before = F.array_join(F.slice(every(rf"{TOKEN}\s*+", F.get("_fronts", i)), F.lit(1), n - 1), "")
+        surface = F.when(n == 1, F.get(written, F.lit(0))).otherwise(F.concat(before, F.element_at(written, n)))
+        return _span(F.get("_starts", i), skill, surface)
+
     source = (
-        _measured(df, text_column, id_column)
-        .withColumn("_words", F.transform("_written", lambda w: F.lower(w)))
-        .withColumn("_starts", F.array_intersect("_words", firsts))
-        .withColumn("_lexicon", F.filter(lexicon, lambda c: F.array_contains("_starts", c["first"])))
+        df.withColumn("_pieces", F.coalesce(pieces(F.col(text_column), [k for _, k in phrases]), _literal([])))
+        .withColumn("_lengths", F.transform("_pieces", lambda p: F.length(p)))
+        # Each piece has a token at least, but a blank first one.
         .withColumn(
-            "_at",
-            F.filter(F.slice(F.sequence(F.lit(0), F.size("_words")), F.lit(2), F.size("_words")),
-                     lambda i: F.array_contains("_starts", F.element_at("_words", i))),
+            "_fronts",
+            F.transform(
+                "_pieces", lambda p, i: F.regexp_extract(F.array_join(F.slice("_pieces", i + 1, F.lit(longest)), ""), front, 0)
+            ),
         )
+        .withColumn("_written", F.transform("_fronts", lambda f: every(TOKEN, f)))
+        .withColumn("_words", F.transform("_written", lambda ws: F.transform(ws, lambda w: F.lower(w))))
     )
-    hits = F.flatten(
-        F.transform(
-            "_at",
-            lambda i: F.transform(
-                F.filter(
-                    "_lexicon",
-                    lambda c: (c["first"] == F.element_at(words, i))
-                    & ((c["n"] == 1) | (F.array_join(F.slice(words, i, c["n"]), " ") == c["key"])),
-                ),
-                lambda c: _hit(i, c["n"], c["skill"]),
+    found = F.transform(
+        "_words",
+        lambda ws, i: F.transform(
+            F.filter(
+                F.coalesce(F.try_element_at(lexicon, F.get(ws, F.lit(0))), none) if phrases else none,
+                lambda c: (c["n"] == 1) | (F.array_join(F.slice(ws, F.lit(1), c["n"]), " ") == c["key"]),
             ),
-        )
+            lambda c: hit(i, c["n"], c["skill"]),
+        ),
     )
-    return source.select(id_column, F.inline_outer(hits)).filter(F.col("start").isNotNull())
+    return _with_starts(source).withColumn("_found", F.flatten(found))
 
 
 def union_skills(first: DataFrame, second: DataFrame, id_column: str = "job_id") -> DataFrame:

@@ -7,6 +7,7 @@ from helpers import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from jobgrain.functions import text
 from jobgrain.functions.membership import KeyFilter
 from jobgrain.operators import embedding, extraction
 from jobgrain.sources.lexicon import lexicon_phrases, phrase_keys
@@ -210,3 +211,24 @@ def test_blocks_and_matrix_agree_on_ties(spark, monkeypatch):
     assert packed.count() <= 90 / 7 + 5 and packed.agg(F.sum(F.size("numbers"))).first()[0] == 90
     nothing = embedding.closest_skills(texts, skills.limit(0), 4, 0.3, broadcast_bytes=-1)
     assert nothing.count() == 0
+
+
+def test_only_places_where_a_phrase_may_begin_are_compared(spark):
+    """A long text without a candidate is one piece, so what follows the pass over the text does not grow with its tokens."""
+    keys = ["c ++", "c++", "i̇t", "mit license", "k", "οδος"]
+    texts = [("plain words, no end " * 400, 1), (" C++ mitigates the MIT  LICENSE", 3), ("İt K ΟΔΟΣ", 3), ("", 0), (" ", 1), (None, None)]
+    df = spark.createDataFrame(texts, "t string, n int").withColumn("p", text.pieces(F.col("t"), keys))
+    for t, n, found in df.collect():
+        assert t is None and found is None or (len(found) == n and "".join(found) == t)
+
+
+def test_lists_and_rows_of_offsets_agree(spark, small_lexicon):
+    texts = [(1, "İ C++ and sql  Server,SQL"), (1, "CI/CD. Machine\nlearning ML"), (None, "python " * 200), (4, None), (5, ""), (6, "a.b.c" * 3000 + " py")]
+    df = spark.createDataFrame(texts, "job_id int, t string")
+    for inline in (extraction.INLINE_PHRASES, 0):
+        lists = extraction.phrase_lists(df, small_lexicon, "t", "found", inline)
+        assert lists.columns == ["job_id", "t", "found"] and lists.count() == 6
+        apart = rows(lists.select("job_id", F.inline("found")))
+        assert apart == rows(extraction.phrase_offsets(df, small_lexicon, "t", "job_id", inline))
+        assert all(t[s:e] == part for _, t, found in lists.collect() for s, e, _, part in found)
+        assert len(apart) == 4 + 1 + 1 + 2 + 200 + 1 - 1
