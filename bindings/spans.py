@@ -9,7 +9,7 @@ from jobgrain.functions.arrays import unfold
 from jobgrain.functions import salary
 from jobgrain.functions.text import TOKEN_PATTERN
 from jobgrain.operators import extraction, spans
-from jobgrain.session import shared_path
+from jobgrain.session import materialise, shared_path
 from jobgrain.sources import annotations, files, postings
 from jobgrain.sources.sinks import write_table
 
@@ -29,21 +29,37 @@ def _weak(spark, sf):
     return spans.weak_labels(_documents(spark, sf), lexicon(spark))
 
 
-def _predicted(spark, sf):
-    shift = F.when(F.col("doc_id") % SHIFTED == 0, 1).otherwise(0)
-    kept = _weak(spark, sf).filter(F.col("skill") != MISSED)
+def _shift(doc_id):
+    return F.when(doc_id % SHIFTED == 0, 1).otherwise(0)
+
+
+def _predicted(found):
+    """The stand-in predictor's spans, made from the weak labels."""
+    shift = _shift(F.col("doc_id"))
+    kept = found.filter(F.col("skill") != MISSED)
     return kept.withColumns({"start": F.col("start") + shift, "end": F.col("end") + shift})
 
 
+def _predicted_lists(spark, sf):
+    """The same as an array beside each text."""
+    shift = _shift(F.col("doc_id"))
+    kept = F.filter("entities", lambda e: e["skill"] != MISSED)
+    moved = F.transform(
+        kept, lambda e: F.struct((e["start"] + shift).alias("start"), (e["end"] + shift).alias("end"), e["skill"].alias("skill"))
+    )
+    listed = extraction.phrase_lists(_documents(spark, sf), lexicon(spark), "text", "entities")
+    return listed.withColumn("entities", moved)
+
+
 def _annotated(spark, sf):
     """Texts with their spans written as JSON lines and read back with the declared schema."""
-    found = _predicted(spark, sf).select(
-        "doc_id", F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "label").alias("e")
+    entity = lambda e: F.struct(
+        e["start"].cast("int").alias("start"), e["end"].cast("int").alias("end"), F.lit(spans.LABEL).alias("label")
     )
-    lists = found.groupBy("doc_id").agg(F.array_sort(F.collect_list("e")).alias("entities"))
+    lists = F.array_sort(F.transform("entities", entity))
+    df = _predicted_lists(spark, sf).select("text", F.when(F.size("entities") > 0, lists).alias("entities"))
     path = shared_path(spark, "annotations")
-    df = _documents(spark, sf).join(lists, "doc_id", "left")
-    annotations.write_records(df.select("text", "entities"), path)
+    annotations.write_records(df, path)
     return annotations.read_annotations(spark, path, multi_line=False)
 
 
@@ -53,8 +69,13 @@ def _span_rows(spark, sf):
 
 
 def _span_check(spark, sf):
-    rows = _predicted(spark, sf).join(_documents(spark, sf), "doc_id")
-    return spans.check_spans(rows).select("doc_id", "start", "end", "skill", "is_valid")
+    return spans.check_entities(_predicted_lists(spark, sf))
+
+
+def _span_prf(spark, sf):
+    """Gold and predicted spans come from one pass over the texts, written as a table of offsets."""
+    gold = materialise(_weak(spark, sf).drop("surface"), "gold")
+    return rounded(spans.span_scores(gold, _predicted(gold)), ["precision", "recall", "f1"])
 
 
 def _votes(spark, sf):
@@ -136,7 +157,7 @@ QUERIES = {
     "spans": _span_rows,
     "span_check": _span_check,
     "split_sets": _split,
-    "span_prf": lambda s, d: rounded(spans.span_scores(_weak(s, d), _predicted(s, d)), ["precision", "recall", "f1"]),
+    "span_prf": _span_prf,
     "ensemble_vote": _votes,
     "read_postings": _read_postings,
     "input_audit": _input_audit,

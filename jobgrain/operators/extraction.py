@@ -142,6 +142,7 @@ def phrase_lists(df: DataFrame, lexicon: DataFrame, text_column: str, name: str
     """The same beside each row: ``df`` with an array of (start, end, skill, surface), empty where nothing is found.
 
     For what is done with the spans and their text together: neither has to be brought back to the other by a join.
+    Unfold them with ``inline_outer``: a plain ``inline`` adds a filter below, which finds all spans a second time.
     """
     listed = _listed(df, lexicon, text_column, inline_phrases, "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint,skill:string,surface:string>>")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobgrain.functions.hashing import split_name
+from jobgrain.functions.text import blocks, cut
 from jobgrain.operators.extraction import phrase_offsets
 
 LABEL = "SKILL"
@@ -19,26 +20,55 @@ _WORD = r"[\p{L}\p{N}]"
 def spans(df: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:
     """One row per span with its surface text; offsets count characters from 0, the end is exclusive."""
     rest = [c for c in df.columns if c != entities]
-    return df.select(*rest, F.inline(entities)).withColumn(
-        "surface", F.substring(F.col(text), F.col("start") + 1, F.col("end") - F.col("start"))
-    )
+    start, size = F.col("start"), F.col("end") - F.col("start")
+    # Blocks are made once per text. Only a start before the text leaves them, for what ``substring`` makes of it.
+    surface = F.when(start >= 0, cut(F.col("_blocks"), start, size)).otherwise(F.substring(F.col(text), start + 1, size))
+    unfolded = df.withColumn("_blocks", blocks(F.col(text))).select(*rest, "_blocks", F.inline(entities))
+    return unfolded.withColumn("surface", surface).drop("_blocks")
+
+
+def _around(start: Column, end: Column) -> tuple[Column, Column]:
+    """First character and size of the span with one character more at either side, where there is one."""
+    first = F.greatest(start - 1, F.lit(0))
+    return first, end + 1 - first
+
+
+def _boundary(around: Column, start: Column, end: Column) -> Column:
+    first, _ = _around(start, end)
+    inside = (start >= 0) & (start < end) & (end - first <= F.length(around))
+    char = lambda at, n=1: F.substring(around, (at - first).cast("int"), F.lit(n))
+    cut_left = (start > 0) & char(start, 2).rlike(f"^{_WORD}{_WORD}")
+    cut_right = (end - first < F.length(around)) & char(end, 2).rlike(f"^{_WORD}{_WORD}")
+    visible = char(start + 1).rlike(r"\S") & char(end).rlike(r"\S")
+    return F.coalesce(inside & visible & ~cut_left & ~cut_right, F.lit(False))
 
 
 def on_boundary(text: Column, start: Column, end: Column) -> Column:
     """Neither edge of the span cuts through a word, the span lies in the text and has visible edges."""
-    char = lambda at: F.substring(text, at.cast("int"), F.lit(1))
-    word = lambda at: char(at).rlike(_WORD)
-    inside = (start >= 0) & (start < end) & (end <= F.length(text))
-    cut_left = (start > 0) & word(start) & word(start + 1)
-    cut_right = (end < F.length(text)) & word(end) & word(end + 1)
-    visible = char(start + 1).rlike(r"\S") & char(end).rlike(r"\S")
-    return inside & visible & ~cut_left & ~cut_right
+    first, size = _around(start, end)
+    return _boundary(F.substring(text, (first + 1).cast("int"), size.cast("int")), start, end)
 
 
 def check_spans(span_df: DataFrame, text: str = "text") -> DataFrame:
     """Flag each span as valid or not; callers keep one side and report the other."""
-    return span_df.withColumn(
-        "is_valid", F.coalesce(on_boundary(F.col(text), F.col("start"), F.col("end")), F.lit(False))
+    return span_df.withColumn("is_valid", on_boundary(F.col(text), F.col("start"), F.col("end")))
+
+
+def check_entities(df: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:
+    """The same for spans in an array beside their text: one row per span with ``is_valid``, without the text.
+
+    A span costs its own length, wherever in the text it lies, and no text is brought to its spans by a join.
+    """
+    rest = [c for c in df.columns if c not in (text, entities)]
+    parts, start, end = F.col("_blocks"), F.col("start"), F.col("end")
+    return (
+        df.withColumn("_blocks", blocks(F.col(text)))
+        .select(*rest, "_blocks", F.posexplode_outer(entities).alias("_at", "_span"))
+        .filter(F.col("_at").isNotNull())
+        .select(*rest, "_blocks", "_span.*")
+        .withColumn("_around", cut(parts, *_around(start, end)))
+        .withColumn("is_valid", _boundary(F.col("_around"), start, end))
+        .drop("_blocks", "_around")
     )
 
 

@@ -228,7 +228,7 @@ def test_lists_and_rows_of_offsets_agree(spark, small_lexicon):
     for inline in (extraction.INLINE_PHRASES, 0):
         lists = extraction.phrase_lists(df, small_lexicon, "t", "found", inline)
         assert lists.columns == ["job_id", "t", "found"] and lists.count() == 6
-        apart = rows(lists.select("job_id", F.inline("found")))
+        apart = rows(lists.select("job_id", F.inline_outer("found")).filter("start IS NOT NULL"))
         assert apart == rows(extraction.phrase_offsets(df, small_lexicon, "t", "job_id", inline))
         assert all(t[s:e] == part for _, t, found in lists.collect() for s, e, _, part in found)
         assert len(apart) == 4 + 1 + 1 + 2 + 200 + 1 - 1

@@ -1,8 +1,11 @@
+import re
+
 import numpy as np
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from bindings import spans as bound
 from jobgrain.operators import geography as geo, reports, spans
 
 
@@ -122,6 +125,44 @@ def test_spans(spark):
     ]
 
 
+def test_spans_are_checked_beside_their_text(spark):
+    """Spans anywhere in a long text, across blocks, outside of it and null: as rows and as arrays, and as plain Python has them."""
+    text = "é, Σx  (y) " * 300 + "end"
+    n = len(text)
+    places = [(a, b) for a in [*range(-3, 14), *range(1018, 1030), *range(n - 4, n + 3)] for b in (a - 1, a, a + 1, a + 3, a + 1500)]
+    schema = "doc_id int, text string, entities array<struct<start:int, end:int, label:string>>"
+    given = [(1, text, [(a, b, "S") for a, b in places]), (2, "", [(0, 1, "S")]), (3, None, [(0, 1, "S")]), (4, "ab", []), (5, "ab", None)]
+    df = spark.createDataFrame(given, schema)
+    word = str.isalnum
+
+    def valid(t, a, b):
+        if not 0 <= a < b <= len(t):
+            return False
+        cut = a > 0 and word(t[a - 1]) and word(t[a]) or b < len(t) and word(t[b - 1]) and word(t[b])
+        return not cut and not t[a].isspace() and not t[b - 1].isspace()
+
+    checked = spans.check_entities(df)
+    assert checked.columns == ["doc_id", "start", "end", "label", "is_valid"]
+    got = rows(checked.drop("label"))
+    texts = {i: t for i, t, _ in given}
+    assert got == sorted(
+        [(i, a, b, texts[i] is not None and valid(texts[i], a, b)) for i, _, e in given for a, b, _ in e or []],
+        key=lambda r: tuple((v is None, str(v)) for v in r),
+    )
+    unfolded = spans.spans(df)
+    assert rows(spans.check_spans(unfolded), "doc_id", "start", "end", "is_valid") == got
+    inside = unfolded.filter("doc_id = 1 AND start >= 0 AND `end` >= start").collect()
+    assert inside and all(r.surface == text[r.start : r.end] for r in inside)
+
+
+def test_span_queries_bring_no_text_through_a_shuffle(spark):
+    sf = "/root/testdata/sf0.001"
+    for name in ("span_check", "weak_labels"):
+        assert "Exchange" not in bound.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    tables = re.findall(r"documents[.]parquet", bound.QUERIES["span_prf"](spark, sf)._jdf.queryExecution().executedPlan().toString())
+    assert not tables  # gold and predicted are read from the table of offsets
+
+
 def test_span_scores(spark):
     schema = "doc_id int, start int, `end` int, label string"
     gold = spark.createDataFrame([(1, 0, 3, "S"), (1, 5, 8, "S"), (2, 0, 3, "S")], schema)
