@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -81,8 +82,8 @@ class Merges:
             if best == _NONE:
                 break
             i = ranks.index(best)
-            parts[i : i + 2] = [made[best]]
-            del ranks[i]
+            parts[i] = made[best]
+            del parts[i + 1], ranks[i]
             if i:
                 ranks[i - 1] = rank(parts[i - 1] << 32 | parts[i], _NONE)
             if i < len(ranks):
@@ -162,9 +163,12 @@ class StreamEncoder:
         self.kind = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self._window = window
         self._chunks = pretokens.BoundedCache(self._chunk, cache)
+        # A word comes back in other chunks: with other marks and digits beside it.
+        self._words = pretokens.BoundedCache(self._ids, cache // 4)
 
     def _bytes(self, ids: Iterable[int]) -> bytes:
-        return np.fromiter(ids, self.kind).tobytes()
+        ids = [*ids]
+        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a part without white space."""
@@ -174,10 +178,22 @@ class StreamEncoder:
                 ids.append(self.special[part])
                 continue
             for word in pretokens.words_of(pretokens.lower_form(part)):
-                ids += self._word(word)
+                ids += self._words[word]
         return self._bytes(ids)
 
-    def _word(self, word: str) -> Iterator[int]:
+    def _ids(self, word: str) -> list[int]:
+        return [*self._word(word)]
+
+    def _word(self, word: str) -> Iterable[int]:
+        data = word.encode()
+        if len(data) <= BLOCK:  # within one buffer: what a transducer's end makes of it
+            merges = self.merges
+            parts = [*map(merges.inner.__getitem__, data)]
+            parts[-1] = merges.last[parts[-1]]
+            return merges.merged(parts)
+        return self._fed(word)
+
+    def _fed(self, word: str) -> Iterator[int]:
         transducer = WordTransducer(self.merges)
         yield from transducer.feed(word)
         yield from transducer.finish()

@@ -37,6 +37,17 @@ def test_marks_longer_than_a_window(word_path, word_tokenizer, text):
     assert np.frombuffer(b"".join(encoder.encode(text)), encoder.kind).tolist() == word_tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_is_merged_once_whatever_stands_beside_it(word_path, word_tokenizer, monkeypatch):
+    merged, calls = bpe.Merges.merged, []
+    monkeypatch.setattr(bpe.Merges, "merged", lambda self, symbols: calls.append(1) or merged(self, symbols))
+    encoder, text = bpe.StreamEncoder(word_path), " ".join(f"tokeniser{x} ({x}tokeniser" for x in ",.;:!?")
+    ids = np.frombuffer(b"".join(encoder.encode(text)), encoder.kind).tolist()
+    assert ids == word_tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(calls) <= 1 + 6 + 1 + 6
+    long = "x" * (3 * bpe.BLOCK) + "é" * bpe.BLOCK
+    assert np.frombuffer(b"".join(encoder.encode(long)), encoder.kind).tolist() == word_tokenizer.encode(long, add_special_tokens=False).ids
+
+
 def test_transducer_emits_only_stable_ids(word_path, word_tokenizer):
     merges, rng = bpe.Merges(word_path), random.Random(2)
     assert 32 <= merges.lookahead < 2000
